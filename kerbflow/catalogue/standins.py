@@ -119,6 +119,20 @@ _TABLES = {
                time __DIV__ 1000 as alarmdate, 'u' || event_id as dateuuid,
                'k=' || k as message, cast(k % 5 as __STR__) as severitycode
         from {ticks}""",
+    "status_with_gaps": """
+        select nodeid, time, case when channel = 0 then null else active end as active,
+               nullif(channel, 1) as channel, nullif(count, 7) as count,
+               nullif(data, 'not json') as data,
+               case when channel = 2 then null else name end as name,
+               case when channel = 3 then null else type end as type,
+               nullif(orgid, 'o1') as orgid, nullif(siteid, 's4') as siteid,
+               nullif(trafficdetectioneventid, 'e5') as trafficdetectioneventid,
+               nullif(updated, 'v3') as updated
+        from {traffic_status}""",
+    "filters": """
+        select case when c_acctbal > 2000 then 'connection_nodes' else 'other_nodes' end as type,
+               'n' || c_custkey as obj
+        from {customer}""",
     "orgs": """
         select 'o' || s_suppkey as orgid, s_name as name,
                case when s_suppkey % 3 = 0 then 'partner' else 'customer' end as type,
@@ -148,16 +162,16 @@ _TABLES = {
         from {orders} where o_orderkey % 13 <> 0""",
     "fixtures": """
         select 'f' || l_orderkey || '-' || l_linenumber as fixtureid,
-               case when l_linenumber = 6 then '' else cast(l_quantity as __STR__)
-                 || case when l_partkey % 2 = 0 then 'W' else ' w' end end as LegacyPowerDraw,
-               case when l_suppkey % 17 = 0 then null
-                 else (l_partkey % 40) || 'W' end as PowerDraw
-        from {lineitem}""",
+               case when l_linenumber = 6 then '' else cast(max(l_quantity) as __STR__)
+                 || case when max(l_partkey) % 2 = 0 then 'W' else ' w' end end as LegacyPowerDraw,
+               case when max(l_suppkey) % 17 = 0 then null
+                 else (max(l_partkey) % 40) || 'W' end as PowerDraw
+        from {lineitem} group by l_orderkey, l_linenumber""",
     "site_fixture": """
-        select 'f' || l_orderkey || '-' || l_linenumber as fixtureid, 's' || o_custkey as siteid
+        select distinct 'f' || l_orderkey || '-' || l_linenumber as fixtureid, 's' || o_custkey as siteid
         from {lineitem} join {orders} on l_orderkey = o_orderkey""",
     "fixture_node": """
-        select 'f' || l_orderkey || '-' || l_linenumber as fixtureid, 'n' || l_orderkey as nodeid
+        select distinct 'f' || l_orderkey || '-' || l_linenumber as fixtureid, 'n' || l_orderkey as nodeid
         from {lineitem}""",
     "groups": """
         select 'g' || p_partkey as groupid, p_name as name, p_brand as description,
@@ -170,7 +184,7 @@ _TABLES = {
         select 'g' || p_partkey as groupid, 's' || (p_partkey * 3 __DIV__ 4) as siteid
         from {part}""",
     "group_node": """
-        select 'g' || l_partkey as groupid, 'n' || l_orderkey as nodeid
+        select distinct 'g' || l_partkey as groupid, 'n' || l_orderkey as nodeid
         from {lineitem}""",
     "users": """
         select 'u' || c_custkey as userid, c_name as name, c_mktsegment as roles,
@@ -198,14 +212,18 @@ def inputs_of(name: str) -> list[str]:
     return [n for n in dict.fromkeys(re.findall(r"\{(\w+)\}", _TABLES[name])) if n in known]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table or a stand-in as a lazy frame."""
+def table(
+    spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """A benchmark table or a stand-in as a lazy frame; ``given`` frames replace tables."""
+    if given and name in given:
+        return given[name]
     if name in BENCHMARK_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = _render(_TABLES[name], "spark")
     frames = {}
     for source in inputs_of(name):
-        frames[f"src_{source}"] = table(spark, sf_dir, source)
+        frames[f"src_{source}"] = table(spark, sf_dir, source, given)
         sql = sql.replace(f"{{{source}}}", f"@src_{source}@")
     # Braces that are left belong to JSON text, not to frame references.
     sql = sql.replace("{", "{{").replace("}", "}}")

@@ -1,0 +1,52 @@
+"""Streams drained once, compared with their batch results."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kerbflow.catalogue import register
+from kerbflow.catalogue.parking_queries import prior_states
+from kerbflow.catalogue.standins import PARKING_GRID, ctes, table
+from kerbflow.streaming import carry, tumbling
+
+_START, _N = PARKING_GRID.start_us, PARKING_GRID.size
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return tumbling.file_stream(spark, sf_dir, schema, "events.parquet")
+
+
+@register(
+    "stream_tumbling",
+    "with "
+    + ctes("ticks")
+    + """
+select event_type, time - time % 900000000 as starttime, time - time % 900000000 + 900000000 as endtime,
+  count(*) as eventcnt, round(sum(value), 4) as total, min(value) as low, max(value) as high
+from ticks group by 1, 2""",
+)
+def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks = table(spark, sf_dir, "ticks", given={"events": event_stream(spark, sf_dir)})
+    counts = tumbling.run_tumbling(ticks, "time", ["event_type"], "value")
+    return counts.withColumn("total", F.round("total", 4))
+
+
+@register(
+    "state_carry",
+    "with "
+    + ctes("occupancy", "spots")
+    + f""",
+spine as (select parkingspotid, r.i from (select distinct parkingspotid from occupancy) o
+  cross join (select unnest(range({_N})) as i) r),
+latest as (
+  select b.parkingspotid, b.i, s.occupancy from spine b asof left join occupancy s
+    on b.parkingspotid = s.parkingspotid and {_START} + (b.i + 1) * 900000000 > s.since)
+select l.parkingspotid, cast({_START} + i * 900000000 as bigint) as starttime,
+  coalesce(l.occupancy, cast(substr(p.parkingspotid, 2) as bigint) % 3 = 0, false) as occupancy
+from latest l left join spots p on l.parkingspotid = p.parkingspotid""",
+)
+def state_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = table(spark, sf_dir, "occupancy", given={"events": event_stream(spark, sf_dir)})
+    return carry.run_state_carry(changes, prior_states(spark, sf_dir), PARKING_GRID)

@@ -75,7 +75,8 @@ facts as (
 
 _SPEED = "nullif(objectvelocity, 0)"
 _MEASURES = f"""round(avg({_SPEED}), 6) as avgvelocity, round(avg(nullif(dwell, 0)), 3) as avgdwell,
-    quantile_disc({_SPEED}, 0.5) as medianvelocity, quantile_disc({_SPEED}, 0.85) as p85velocity,
+    round(quantile_disc({_SPEED}, 0.5), 6) as medianvelocity,
+    round(quantile_disc({_SPEED}, 0.85), 6) as p85velocity,
     count(*) as eventcnt"""
 _WIDTHS = {"15min": 900_000_000, "1hr": 3_600_000_000, "1day": 86_400_000_000}
 
@@ -104,9 +105,10 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(rolled: DataFrame) -> DataFrame:
-    """Averages rounded, because the order of a floating sum is not fixed."""
+    """Speeds and stays rounded, because the order of a floating sum is not fixed."""
+    speeds = ("avgvelocity", "medianvelocity", "p85velocity")
     return rolled.withColumns(
-        {"avgvelocity": F.round("avgvelocity", 6), "avgdwell": F.round("avgdwell", 3)}
+        {**{c: F.round(c, 6) for c in speeds}, "avgdwell": F.round("avgdwell", 3)}
     )
 
 

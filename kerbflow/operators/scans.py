@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from kerbflow.functions import times
 
@@ -11,9 +12,20 @@ from kerbflow.functions import times
 def time_window(
     df: DataFrame, time: str, from_us: int, until_us: int, lookback_us: int = 0
 ) -> DataFrame:
-    """Rows with ``from - lookback <= time < until``."""
+    """Rows with ``from - lookback <= time < until``.
+
+    ``time`` is epoch µs or a timestamp.  The bounds are literals of its own type, so the
+    file scan can skip row groups by them.
+    """
+    kind = df.schema[time].dataType
+
+    def bound(us: int) -> Column:
+        if isinstance(kind, (TimestampType, TimestampNTZType)):
+            return F.timestamp_micros(F.lit(us)).cast(kind)
+        return F.lit(us)
+
     column = F.col(time)
-    return df.filter((column >= F.lit(from_us - lookback_us)) & (column < F.lit(until_us)))
+    return df.filter((column >= bound(from_us - lookback_us)) & (column < bound(until_us)))
 
 
 def day_pruned_window(

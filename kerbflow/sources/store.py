@@ -66,14 +66,14 @@ class TableStore:
 
     def append(self, name: str, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         self._writer(df, "append", by).save(self.path(name))
-        return self.read(name)
+        return self.read(name, df.schema)
 
     def replace(self, name: str, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """All rows replaced.  ``df`` must not read the table it replaces."""
         self._writer(df, "overwrite", by).option("partitionOverwriteMode", "static").save(
             self.path(name)
         )
-        return self.read(name)
+        return self.read(name, df.schema)
 
     def overwrite_days(self, name: str, df: DataFrame, day: str = DAY) -> DataFrame:
         """Replace exactly the day partitions that occur in ``df``.
@@ -84,7 +84,7 @@ class TableStore:
         self._writer(df, "overwrite", [day]).option("partitionOverwriteMode", "dynamic").save(
             self.path(name)
         )
-        return self.read(name)
+        return self.read(name, df.schema)
 
     def upsert(
         self,

@@ -74,7 +74,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     spark = get_session(
         master="local[8]",
         shuffle_partitions=8,
-        conf={"spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        conf={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
