@@ -95,11 +95,10 @@ select nodeid, starttime, p_time, round(p_rate, 6) as p_rate, q_time, round(q_ra
 from powered""",
 )
 def asof_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = energy.positive_rates(
-        table(spark, sf_dir, "samples"), table(spark, sf_dir, "settings")
-    )
+    rates = energy.positive_rates(table(spark, sf_dir, "samples"))
     summary = energy.neighbour_summary(rates, ENERGY_GRID, energy.EnergyRules().zero_watts)
-    return energy.bucket_neighbours(summary, ENERGY_GRID).select(
+    known = summary.join(table(spark, sf_dir, "settings").select("nodeid"), "nodeid")
+    return energy.bucket_neighbours(known, ENERGY_GRID).select(
         "nodeid",
         ENERGY_GRID.start_of(F.col("grid_bucket")).alias("starttime"),
         "p_time",

@@ -25,7 +25,9 @@ def store(spark: SparkSession, label: str, fmt: str = "parquet") -> TableStore:
 
 
 def _staged_alarms(spark: SparkSession, sf_dir: str, message: str | None = None) -> DataFrame:
-    alarms = table(spark, sf_dir, "alarms").select("nodeid", "alarmtype", "alarmdate", "message")
+    alarms = table(spark, sf_dir, "alarms").select(
+        "nodeid", "alarmtype", "alarmdate", "dateuuid", "message"
+    )
     if message:
         alarms = alarms.withColumn("message", F.lit(message))
     return warehouse.stage_utc(alarms, "alarmdate", "ms", RUN_S)
@@ -35,7 +37,7 @@ _STAGED = (
     "with "
     + ctes("alarms")
     + f""",
-staged as (select nodeid, alarmtype, alarmdate, message, cast({RUN_S} as bigint) as ts,
+staged as (select nodeid, alarmtype, alarmdate, dateuuid, message, cast({RUN_S} as bigint) as ts,
   {_DAY.format("alarmdate * 1000")} as startday from alarms)"""
 )
 
@@ -110,13 +112,13 @@ def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     "upsert_latest",
     _STAGED
     + f"""
-select nodeid, alarmtype, alarmdate,
+select nodeid, alarmtype, alarmdate, dateuuid,
   case when alarmdate >= {_MARK_US // 1000} then 'late' else message end as message, ts, startday
 from staged""",
 )
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = store(spark, "upsert")
-    keys = ["nodeid", "alarmtype", "alarmdate"]
+    keys = warehouse.FACT_TABLES["device_alarms"].keys
     until = (BASE_US + 30 * times.HOUR_US) // 1000
     target.upsert(
         "device_alarms", _staged_alarms(spark, sf_dir).filter(F.col("alarmdate") < until), keys
@@ -130,7 +132,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "refresh_recent",
     _STAGED
     + f"""
-select nodeid, alarmtype, alarmdate, case when alarmdate >= {_MARK_US // 1000} then 'again' else message end
+select nodeid, alarmtype, alarmdate, dateuuid, case when alarmdate >= {_MARK_US // 1000} then 'again' else message end
   as message, cast(case when alarmdate >= {_MARK_US // 1000} then {RUN_S + 900} else ts end as bigint) as ts,
   startday from staged""",
 )

@@ -78,9 +78,11 @@ def shift_day(day: Column, days: int) -> Column:
 
 def bucket_labels(start: str = "starttime", end: str = "endtime") -> dict[str, Column]:
     """The four display columns every bucket fact carries."""
+    # All start labels are cuts of one formatted string, which is then built once per row.
+    startdt = minute_label(F.col(start))
     return {
-        "startdt": minute_label(F.col(start)),
+        "startdt": startdt,
         "enddt": minute_label(F.col(end)),
-        "starthr": hour_label(F.col(start)),
-        "startday": day_label(F.col(start)),
+        "starthr": F.substring(startdt, 1, 13),
+        "startday": F.substring(startdt, 1, 10),
     }

@@ -43,6 +43,17 @@ class Grid:
         return F.lit(self.start_us) + index.cast("long") * F.lit(self.width_us)
 
 
+def spread_by_key(df: DataFrame, key: str) -> DataFrame:
+    """Shuffle by key into the configured number of partitions.
+
+    Used before :func:`emit_to_next`: the step multiplies its rows, so its tasks must not
+    be merged because their input is small.  A later window or grouping that starts with
+    the key needs no further shuffle.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, key)
+
+
 def emit_to_next(
     df: DataFrame, keys: Sequence[str], bucket: str, grid: Grid, lead_in: bool = True
 ) -> DataFrame:

@@ -4,7 +4,8 @@ A window over the bare key would pull every row of a busy key into one task.  He
 key's time line is cut into slices: the neighbour is looked up inside ``(key, slice)``,
 and the one edge row per slice is passed on to the adjacent non-empty slice.  A task
 never holds more than one slice of a key, and the edge pass sees at most one row per key
-and slice.
+and slice.  The shuffle by ``(key, slice)`` is explicit, because a partitioning by the
+bare key left by an earlier join would also satisfy the window.
 
 ``order`` must identify a row within its key (time first, then tie breakers); tables
 kept by ``versions.upsert`` meet this.
@@ -38,6 +39,7 @@ def _neighbour(
     packed = F.struct(*order, *(c for c in payload if c not in order))
     pick = F.lead if forward else F.lag
     sliced = df.withColumn(SLICE, time_slice(order[0], slice_us))
+    spread = sliced.repartition(*keys, SLICE)
     inside = pick(packed).over(Window.partitionBy(*keys, SLICE).orderBy(*order))
 
     edge = F.min(packed) if forward else F.max(packed)
@@ -46,7 +48,7 @@ def _neighbour(
     edges = edges.select(*keys, SLICE, across.alias("_across"))
 
     return (
-        sliced.withColumn("_inside", inside)
+        spread.withColumn("_inside", inside)
         .join(edges, [*keys, SLICE], "left")
         .withColumn(name, F.coalesce("_inside", "_across"))
         .drop("_inside", "_across", SLICE)
@@ -99,8 +101,10 @@ def with_recent_previous(
     copies = F.when(
         until_slice_end < F.lit(max_gap_us), F.array(F.lit(0), F.lit(1))
     ).otherwise(F.array(F.lit(0)))
-    spread = df.withColumn("_copy", F.explode(copies)).withColumn(
-        SLICE, time_slice(time, slice_us) + F.col("_copy")
+    spread = (
+        df.withColumn("_copy", F.explode(copies))
+        .withColumn(SLICE, time_slice(time, slice_us) + F.col("_copy"))
+        .repartition(*keys, SLICE)
     )
     before = F.lag(packed).over(Window.partitionBy(*keys, SLICE).orderBy(*order))
     near = F.col(time) - F.col(f"_before.{time}") < F.lit(max_gap_us)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.functions import times
 from kerbflow.operators.counters import counter_rate
-from kerbflow.operators.grids import Grid, emit_to_next
+from kerbflow.operators.grids import Grid, emit_to_next, spread_by_key
 from kerbflow.sources.schemas import ENERGY_SENSORS
 
 BUCKET_HOURS = 0.25
@@ -35,16 +35,13 @@ class EnergyRules:
         return self.interval_s * times.SECOND_US
 
 
-def positive_rates(samples: DataFrame, settings: DataFrame, per_sensor: bool = False) -> DataFrame:
-    """Power per sample of the nodes that have settings.
-
-    First samples, resets and flat readings have no positive rate and drop out.
-    """
+def positive_rates(samples: DataFrame, per_sensor: bool = False) -> DataFrame:
+    """Power per sample.  First samples, resets and flat readings drop out."""
     keys = ("nodeid", "sensor") if per_sensor else ("nodeid",)
     ties = () if per_sensor else ("sensor",)
     meters = samples.filter(F.col("sensor").isin(*ENERGY_SENSORS))
     rates = counter_rate(meters, keys, ties=ties).filter(F.col("rate") > 0)
-    return rates.select("nodeid", "time", "rate").join(settings, "nodeid")
+    return rates.select("nodeid", "time", "rate")
 
 
 def neighbour_summary(rates: DataFrame, grid: Grid, zero_watts: float) -> DataFrame:
@@ -52,7 +49,7 @@ def neighbour_summary(rates: DataFrame, grid: Grid, zero_watts: float) -> DataFr
     live = F.when(F.col("rate") > zero_watts, F.col("rate"))
     return (
         rates.withColumn("bucket", grid.index(F.col("time")))
-        .groupBy("siteid", "nodeid", "legacy_power", "max_led_power", "bucket")
+        .groupBy("nodeid", "bucket")
         .agg(
             F.min("time").alias("first_time"),
             F.min_by("rate", "time").alias("first_rate"),
@@ -67,7 +64,7 @@ def bucket_neighbours(summary: DataFrame, grid: Grid) -> DataFrame:
     """Per node and grid bucket: the last row before the bucket's end (``p_``) and the
     first row at or after it (``q_``); null where there is none."""
     order = Window.partitionBy("nodeid").orderBy("bucket")
-    paired = summary.withColumns(
+    paired = spread_by_key(summary, "nodeid").withColumns(
         {
             "q_time": F.lead("first_time").over(order),
             "q_rate": F.lead("first_rate").over(order),
@@ -93,9 +90,15 @@ def node_15min(
     rules: EnergyRules = EnergyRules(),
     per_sensor: bool = False,
 ) -> DataFrame:
-    """One row per node and bucket; empty buckets between near neighbours are filled."""
-    rates = positive_rates(samples, settings, per_sensor)
-    rows = bucket_neighbours(neighbour_summary(rates, grid, rules.zero_watts), grid)
+    """One row per node and bucket; empty buckets between near neighbours are filled.
+
+    ``settings`` has one row per node; nodes without settings are left out.  It joins the
+    summaries, not the samples: there is at most one summary per node and bucket, so a
+    busy node does not make a heavy join key.
+    """
+    rates = positive_rates(samples, per_sensor)
+    summary = neighbour_summary(rates, grid, rules.zero_watts).join(settings, "nodeid")
+    rows = bucket_neighbours(summary, grid)
 
     gap_s = F.floor((F.col("q_time") - F.col("p_time")) / F.lit(times.SECOND_US))
     between = (F.col("p_rate") + F.col("q_rate")) / 2

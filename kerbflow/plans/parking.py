@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kerbflow.functions import times
 from kerbflow.functions.values import zero_as_null
 from kerbflow.operators import scans
-from kerbflow.operators.grids import Grid, emit_to_next
+from kerbflow.operators.grids import Grid, emit_to_next, spread_by_key
 
 SLICES_PER_BUCKET = 15
 
@@ -35,11 +35,11 @@ def _slice_summary(events: DataFrame, grid: Grid) -> DataFrame:
     order = Window.partitionBy("parkingspotid", "slice").orderBy("since", "occupancy")
     before = F.lag("occupancy").over(order)
     following = F.lead("since").over(order)
+    sliced = F.floor((F.col("since") - F.lit(grid.start_us)) / F.lit(slice_us))
     paired = (
         events.withColumn("bucket", grid.index(F.col("since")))
-        .withColumn(
-            "slice", F.floor((F.col("since") - F.lit(grid.start_us)) / F.lit(slice_us))
-        )
+        .withColumn("slice", sliced)
+        .repartition("parkingspotid", "slice")
         .withColumns(
             {
                 "held": F.when(F.col("occupancy"), F.coalesce(following - F.col("since"), F.lit(0)))
@@ -65,7 +65,7 @@ def _merge_slices(slices: DataFrame) -> DataFrame:
     bridge = F.when(before["occupancy"], F.col("first.since") - before["since"]).otherwise(0)
     turn = F.when(F.col("first.occupancy") & ~before["occupancy"], 1).otherwise(0)
     # One shuffle by spot serves this window, the grouping and the carry that follows.
-    by_spot = slices.repartition("parkingspotid")
+    by_spot = spread_by_key(slices, "parkingspotid")
     return (
         by_spot.withColumns({"bridge": bridge, "turn": turn})
         .groupBy("parkingspotid", "bucket")

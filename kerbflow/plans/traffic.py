@@ -32,12 +32,19 @@ DWELL_KEYS = (
 
 def expand_detections(status: DataFrame) -> DataFrame:
     """One row per detected object; one "na" row without speed if there is none."""
-    found = F.col("detection")
-    present = found.isNotNull()
+    found, present = F.col("detection"), F.col("position").isNotNull()
     dwell = F.when(F.col("type") == DWELL_TYPE, F.col("time").cast("double")).otherwise(0.0)
-    return status.withColumn(
-        "detection", F.explode_outer(detections.detected_objects(F.col("data")))
-    ).select(
+    each = F.posexplode_outer(detections.detected_objects(F.col("data")))
+    # The texts are a projection of their own, so that each is built once per row.
+    texts = status.select("*", each.alias("position", "detection")).withColumns(
+        {
+            "class_text": detections.class_text(found),
+            "id_text": detections.id_text(found),
+            "speed": detections.object_speed(found),
+        }
+    )
+    named = F.when(present & (F.length("class_text") > 0), F.col("class_text"))
+    return texts.select(
         "nodeid",
         times.bucket_start(F.col("time")).alias("starttime"),
         F.col("type").alias("eventtype"),
@@ -45,9 +52,9 @@ def expand_detections(status: DataFrame) -> DataFrame:
         F.col("trafficdetectioneventid").alias("eventid"),
         "data",
         F.col("time").alias("eventtime"),
-        F.when(present, detections.object_class(found)).otherwise("na").alias("objectclass"),
-        F.when(present, detections.object_id(found)).otherwise("na").alias("objectid"),
-        F.when(present, detections.object_speed(found)).alias("objectvelocity"),
+        F.coalesce(named, F.lit("na")).alias("objectclass"),
+        F.when(present, F.col("id_text")).otherwise("na").alias("objectid"),
+        F.when(present, F.col("speed")).alias("objectvelocity"),
         F.when(present, dwell).alias("dwell"),
         "siteid",
     )

@@ -24,7 +24,9 @@ LOCAL_COLUMNS = ("startdt", "enddt", "starthr", "startday")
 class FactTable:
     """How one fact table is staged and versioned.
 
-    ``time`` is in ``unit`` ("us" or "ms").  ``overlap_us`` is how far before the mark a
+    ``keys`` identify a row completely: versions are settled to one row per key, so a key
+    that left out, say, the object class would lose rows.  ``time`` is in ``unit`` ("us" or
+    "ms").  ``overlap_us`` is how far before the mark a
     run reads again to pick up late rows.  Tables with ``local`` get site-local display
     times and are partitioned by the site's own day.
     """
@@ -56,7 +58,7 @@ FACT_TABLES = {
         ),
         FactTable(
             "aggregation_traffic_events",
-            ("eventid", "aggregation_type", "starttime"),
+            ("siteid", "eventid", "aggregation_type", "type", "objectclass", "starttime"),
             "starttime",
             overlap_us=times.HOUR_US,
             local=True,
@@ -69,7 +71,12 @@ FACT_TABLES = {
             local=True,
         ),
         FactTable("device_sensor_samples", ("nodeid", "sensor", "time"), "time"),
-        FactTable("device_alarms", ("nodeid", "alarmtype", "alarmdate"), "alarmdate", unit="ms"),
+        FactTable(
+            "device_alarms",
+            ("nodeid", "alarmtype", "alarmdate", "dateuuid"),
+            "alarmdate",
+            unit="ms",
+        ),
         FactTable("connection_status", ("nodeid", "since"), "since", unit="ms"),
         FactTable(
             "aggregation_connection_node",

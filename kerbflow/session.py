@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even if the grouping after it then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Day partitions are text labels, also when read back.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Percentile aggregates use the object hash aggregate; 128 groups per task before

@@ -93,13 +93,20 @@ class TableStore:
         keys: Sequence[str],
         newest_first: Sequence[Column] = (),
         day: str = DAY,
+        days: tuple[str, str] | None = None,
     ) -> DataFrame:
         """Merge rows by key, rewriting only the day partitions they fall in.
 
-        The key has to determine the day.
+        The key has to determine the day.  A caller that knows the first and last day of
+        ``df`` passes ``days``; stored partitions are then pruned by literals and ``df`` is
+        computed once.
         """
         if self.exists(name):
-            current = scans.only_keys(self.read(name, df.schema), day, df)
+            stored = self.read(name, df.schema)
+            if days is None:
+                current = scans.only_keys(stored, day, df)
+            else:
+                current = stored.filter(F.col(day).between(*days))
             df = versions.upsert(current, df, keys, newest_first)
         else:
             df = versions.latest_per_key(df, keys, list(newest_first) or [F.lit(1)])
