@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.functions import times
-from kerbflow.operators import scans
+from kerbflow.operators import counters, scans
 from kerbflow.operators.grids import Grid
 from kerbflow.plans import capacity, energy, parking, traffic, warehouse
 from kerbflow.session import scratch_path
@@ -75,6 +76,14 @@ def parking_grid(mark_us: int, until_us: int, buckets_back: int = 1) -> Grid:
     return Grid(start, until_us)
 
 
+def day_span(from_us: int, until_us: int) -> tuple[str, str]:
+    """First and last UTC day label of a window, for pruning stored partitions."""
+    first, last = (
+        datetime.fromtimestamp(us // times.SECOND_US, timezone.utc) for us in (from_us, until_us)
+    )
+    return f"{first:%Y-%m-%d}", f"{last:%Y-%m-%d}"
+
+
 def with_day(facts: DataFrame) -> DataFrame:
     """Aggregates carry ``startday`` already; raw facts get it from their time."""
     return facts if DAY in facts.columns else facts.withColumn(DAY, times.day_label(F.col("starttime")))
@@ -95,12 +104,8 @@ class Jobs:
 
     def move_mark(self, job: str, window: RunWindow) -> None:
         if not window.partial:
-            label = (
-                self.spark.range(1)
-                .select(times.minute_label(F.lit(window.until_us).cast("long")).alias("m"))
-                .collect()[0]["m"]
-            )
-            self.control.put(MARK_TYPE, job, label, stamp=window.until_us)
+            moment = datetime.fromtimestamp(window.until_us // times.SECOND_US, timezone.utc)
+            self.control.put(MARK_TYPE, job, f"{moment:%Y-%m-%d %H:%M}", stamp=window.until_us)
 
     def _written(self, df: DataFrame, label: str) -> DataFrame:
         """Write a frame several outputs share, and go on from the written table."""
@@ -124,6 +129,7 @@ class Jobs:
                 table,
                 traffic.rollup_all(facts, by_event, grains),
                 [*keys, "aggregation_type", "starttime"],
+                days=day_span(start, window.until_us),
             )
         self.move_mark("traffic", window)
 
@@ -147,7 +153,12 @@ class Jobs:
             ("aggregation_energy_savings_node", node, ["siteid", "nodeid"]),
             ("aggregation_energy_savings_site", site, ["siteid"]),
         ):
-            self.store.upsert(table, facts, [*keys, "aggregation_type", "starttime"])
+            self.store.upsert(
+                table,
+                facts,
+                [*keys, "aggregation_type", "starttime"],
+                days=day_span(grid.start_us, grid.end_us),
+            )
         self.move_mark("energy", window)
 
     def parking(self, window: RunWindow, buckets_back: int = 1) -> None:
@@ -188,7 +199,9 @@ class Jobs:
             ("aggregation_parking_site", parking.area_rollup(zone, "siteid"), ["siteid", "parkingtype"]),
         )
         for table, facts, keys in outputs:
-            self.store.upsert(table, facts, [*keys, "starttime"])
+            self.store.upsert(
+                table, facts, [*keys, "starttime"], days=day_span(grid.start_us, grid.end_us)
+            )
         self.move_mark("parking", window)
 
     def refresh(
@@ -210,3 +223,39 @@ class Jobs:
         else:
             batch = warehouse.stage_utc(rows, table.time, table.unit, run_s)
         return warehouse.refresh_warehouse(self.store, table, self._written(batch, name))
+
+    def update_counters(self, events: DataFrame, window: RunWindow) -> DataFrame:
+        """Add the window's events to the running totals per detection event."""
+        name = "traffic_current_status"
+        totals = self.store.read_input(name, schema_of(name))
+        fresh = scans.time_window(events, "time", window.from_us, window.until_us)
+        counted = counters.running_counter(
+            totals, fresh, "trafficdetectioneventid", "time", window.from_us
+        )
+        plain = totals.select("count", "trafficdetectioneventid")
+        merged = plain.join(counted, "trafficdetectioneventid").select(*totals.columns)
+        # The table is read and replaced, so the new rows are written elsewhere first.
+        return self.store.replace(name, self._written(merged, name))
+
+    def snapshots(self, run_s: int) -> None:
+        """Reload the zone and spot snapshots."""
+        spots = self.store.read_input("parking_spot_current", schema_of("parking_spot_current"))
+        zones = self.store.read_input("parking_zone_status", schema_of("parking_zone_status"))
+        held = capacity.zone_capacity(zones, spots)
+        prefix = warehouse.WAREHOUSE_PREFIX
+        self.store.replace(
+            f"{prefix}parking_zone_status", warehouse.zone_status_snapshot(held, run_s)
+        )
+        self.store.replace(f"{prefix}parking_spot", warehouse.snapshot(spots, run_s))
+
+    def copy_dimensions(self, tables: dict[str, DataFrame]) -> None:
+        """Replace the given dimensions; a missing table is created."""
+        for name, rows in tables.items():
+            self.store.replace(warehouse.WAREHOUSE_PREFIX + name, rows)
+
+    def retire_staging(self, name: str, today: str, keep_days: int = warehouse.STAGING_DAYS) -> list[str]:
+        """Drop a table's staged days older than ``keep_days`` before ``today``."""
+        first_kept = datetime.strptime(today, "%Y-%m-%d") - timedelta(days=keep_days)
+        return self.store.drop_days_before(
+            warehouse.STAGING_PREFIX + name, f"{first_kept:%Y-%m-%d}"
+        )

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from kerbflow.operators.versions import latest_per_key
 from kerbflow.sources.store import TableStore
 
 TABLE = "aggregation_control"
-LOG_SCHEMA = StructType.fromDDL("type string, key string, val string, stamp bigint")
+LOG_SCHEMA = "type string, key string, val string, stamp bigint"
 KEYS = ("type", "key")
 
 

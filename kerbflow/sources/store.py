@@ -37,7 +37,7 @@ class TableStore:
             return False
         return True
 
-    def read(self, name: str, schema: StructType | None = None) -> DataFrame:
+    def read(self, name: str, schema: StructType | str | None = None) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)
@@ -45,12 +45,12 @@ class TableStore:
             reader = reader.option("header", "true")
         return reader.load(self.path(name))
 
-    def read_or_empty(self, name: str, schema: StructType) -> DataFrame:
+    def read_or_empty(self, name: str, schema: StructType | str) -> DataFrame:
         if self.exists(name):
             return self.read(name, schema)
         return self.spark.createDataFrame([], schema)
 
-    def read_input(self, name: str, schema: StructType | None = None) -> DataFrame:
+    def read_input(self, name: str, schema: StructType | str | None = None) -> DataFrame:
         """Read with the table's null sentinels filled in."""
         return scans.with_defaults(self.read(name, schema), NULL_DEFAULTS.get(name, {}))
 
