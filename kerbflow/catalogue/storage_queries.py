@@ -219,10 +219,10 @@ where ts >= timestamp '2024-01-17 00:00:00' and ts < timestamp '2024-01-29 00:00
 )
 def hwm_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = ControlTable(store(spark, "control"))
-    marks.seed(runs.MARK_TYPE, "events", "2024-01-01 00:00")
-    marks.put(runs.MARK_TYPE, "events", "2024-01-10 00:00", stamp=1)
+    marks.seed("events", runs.MARK_KEY, "2024-01-01 00:00")
+    marks.put("events", runs.MARK_KEY, "2024-01-10 00:00", stamp=1)
     window = runs.run_window(
-        times.epoch_us(marks.get(runs.MARK_TYPE, "events")),
+        times.epoch_us(marks.get("events", runs.MARK_KEY)),
         now_us=times.epoch_us("2024-01-29 00:00"),
         max_lag_us=12 * times.DAY_US,
     )

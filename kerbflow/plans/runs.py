@@ -18,8 +18,12 @@ from kerbflow.sources.control import ControlTable
 from kerbflow.sources.schemas import schema_of
 from kerbflow.sources.store import DAY, TableStore
 
-MARK_TYPE = "hwm"
-PARAMETER_TYPE = "parameter"
+# Names in the control table.
+MARK_KEY = "last_agg_min"
+SHARED_PARAMETERS = "refreshDWH"
+LAG_LIMIT_KEY = "hwmlimitmins"
+ZERO_POWER_KEY = "threshold_zero_power"
+INTERVAL_KEY = "power_sampling_interval_sec"
 
 
 @dataclass(frozen=True)
@@ -76,6 +80,11 @@ def parking_grid(mark_us: int, until_us: int, buckets_back: int = 1) -> Grid:
     return Grid(start, until_us)
 
 
+def minute_text(us: int) -> str:
+    """Driver-side twin of ``times.minute_label`` for marks."""
+    return f"{datetime.fromtimestamp(us // times.SECOND_US, timezone.utc):%Y-%m-%d %H:%M}"
+
+
 def day_span(from_us: int, until_us: int) -> tuple[str, str]:
     """First and last UTC day label of a window, for pruning stored partitions."""
     first, last = (
@@ -90,22 +99,50 @@ def with_day(facts: DataFrame) -> DataFrame:
 
 
 class Jobs:
-    """The four jobs over one store.  ``run_s`` stamps and inputs are passed in, so a run
-    can be repeated with the same result."""
+    """The four jobs over one store.
+
+    The current time is always passed in, so a run can be repeated with the same result.
+    ``only`` restricts a run to one node (traffic) or site (parking, energy); use a partial
+    window with it.
+    """
 
     def __init__(self, store: TableStore):
         self.store = store
         self.spark = store.spark
         self.control = ControlTable(store)
 
-    def mark(self, job: str) -> int:
-        self.control.seed(MARK_TYPE, job, "na")
-        return times.epoch_us(self.control.get(MARK_TYPE, job))
+    def mark(self, job: str, now_us: int) -> int:
+        """The job's high-water mark; an hour ago if it never ran."""
+        self.control.seed(job, MARK_KEY, minute_text(now_us - times.HOUR_US))
+        return times.epoch_us(self.control.get(job, MARK_KEY))
 
     def move_mark(self, job: str, window: RunWindow) -> None:
         if not window.partial:
-            moment = datetime.fromtimestamp(window.until_us // times.SECOND_US, timezone.utc)
-            self.control.put(MARK_TYPE, job, f"{moment:%Y-%m-%d %H:%M}", stamp=window.until_us)
+            self.control.put(job, MARK_KEY, minute_text(window.until_us), stamp=window.until_us)
+
+    def window(
+        self,
+        job: str,
+        now_us: int,
+        start_us: int | None = None,
+        until_us: int | None = None,
+        only_key: bool = False,
+    ) -> RunWindow:
+        """The next window of a job; the stored lag limit caps how far back it goes."""
+        limit = self.control.get(SHARED_PARAMETERS, LAG_LIMIT_KEY)
+        max_lag_us = None if limit == "na" else int(limit) * times.MINUTE_US
+        mark_us = self.mark(job, now_us)
+        return run_window(mark_us, now_us, max_lag_us, start_us, until_us, only_key)
+
+    def energy_rules(self) -> energy.EnergyRules:
+        """Rules from the control table, which is seeded with the defaults."""
+        defaults = energy.EnergyRules()
+        self.control.seed("energy", INTERVAL_KEY, str(defaults.interval_s))
+        self.control.seed("energy", ZERO_POWER_KEY, str(defaults.zero_watts))
+        return energy.EnergyRules(
+            int(self.control.get("energy", INTERVAL_KEY)),
+            float(self.control.get("energy", ZERO_POWER_KEY)),
+        )
 
     def _written(self, df: DataFrame, label: str) -> DataFrame:
         """Write a frame several outputs share, and go on from the written table."""
@@ -113,8 +150,16 @@ class Jobs:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def traffic(self, window: RunWindow, daily: bool = False, keep_facts: bool = False) -> None:
+    def traffic(
+        self,
+        window: RunWindow,
+        daily: bool = False,
+        keep_facts: bool = False,
+        only: str | None = None,
+    ) -> None:
         status = self.store.read_input("traffic_status", schema_of("traffic_status"))
+        if only is not None:
+            status = status.filter(F.col("nodeid") == only)
         start = traffic_start(window.from_us, daily)
         facts = self._written(
             traffic.traffic_facts(scans.time_window(status, "time", start, window.until_us)),
@@ -133,7 +178,13 @@ class Jobs:
             )
         self.move_mark("traffic", window)
 
-    def energy(self, window: RunWindow, rules: energy.EnergyRules = energy.EnergyRules()) -> None:
+    def energy(
+        self,
+        window: RunWindow,
+        rules: energy.EnergyRules | None = None,
+        only: str | None = None,
+    ) -> None:
+        rules = rules or self.energy_rules()
         grid = energy_grid(window.from_us, window.until_us)
         samples = scans.time_window(
             self.store.read_input("device_sensor_samples", schema_of("device_sensor_samples")),
@@ -143,6 +194,9 @@ class Jobs:
             rules.lookback_us,
         )
         settings = self.store.read("device_energy_settings", schema_of("device_energy_settings"))
+        if only is not None:
+            settings = settings.filter(F.col("siteid") == only)
+            samples = scans.only_keys(samples, "nodeid", settings)
         buckets = self._written(energy.node_15min(samples, settings, grid, rules), "energy-buckets")
         node = buckets
         site = energy.site_rollup(buckets, "15min")
@@ -161,7 +215,7 @@ class Jobs:
             )
         self.move_mark("energy", window)
 
-    def parking(self, window: RunWindow, buckets_back: int = 1) -> None:
+    def parking(self, window: RunWindow, buckets_back: int = 1, only: str | None = None) -> None:
         grid = parking_grid(window.from_us, window.until_us, buckets_back)
         events = scans.time_window(
             self.store.read_input("parking_spot_historic", schema_of("parking_spot_historic")),
@@ -171,12 +225,10 @@ class Jobs:
             grid.width_us,
         )
         spots = self.store.read_input("parking_spot_current", schema_of("parking_spot_current"))
-        zones = self._written(
-            capacity.zone_capacity(
-                self.store.read_input("parking_zone_status", schema_of("parking_zone_status")), spots
-            ),
-            "zone-capacity",
-        )
+        areas = self.store.read_input("parking_zone_status", schema_of("parking_zone_status"))
+        if only is not None:
+            areas = areas.filter(F.col("siteid") == only)
+        zones = self._written(capacity.zone_capacity(areas, spots), "zone-capacity")
         states = self.store.read_or_empty(
             "aggregation_parking_status",
             schema_of("aggregation_parking_status").add(DAY, "string"),
