@@ -36,7 +36,8 @@ class Grid:
 
     def index(self, time: Column) -> Column:
         """Bucket number; -1 for all times before the grid, ``size`` for all after it."""
-        raw = F.floor((time - F.lit(self.start_us)) / F.lit(self.width_us)).cast("int")
+        since = times.bucket_start(time, self.width_us, self.start_us) - F.lit(self.start_us)
+        raw = (since / F.lit(self.width_us)).cast("int")
         return F.greatest(F.lit(-1), F.least(F.lit(self.size), raw))
 
     def start_of(self, index: Column) -> Column:

@@ -18,13 +18,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.functions.times import HOUR_US
+from kerbflow.functions.times import HOUR_US, bucket_start
 
 SLICE = "_slice"
 
 
-def time_slice(time: str, slice_us: int) -> Column:
-    return F.floor(F.col(time) / F.lit(slice_us))
+def _returned(time: str, payload: Sequence[str], source: str = "") -> Column:
+    """The struct handed to the caller: the neighbour's time and payload."""
+    prefix = f"{source}." if source else ""
+    return F.struct(*(F.col(prefix + c).alias(c) for c in dict.fromkeys([time, *payload])))
 
 
 def _neighbour(
@@ -36,15 +38,20 @@ def _neighbour(
     slice_us: int,
     forward: bool,
 ) -> DataFrame:
-    packed = F.struct(*order, *(c for c in payload if c not in order))
+    time = order[0]
     pick = F.lead if forward else F.lag
-    sliced = df.withColumn(SLICE, time_slice(order[0], slice_us))
+    sliced = df.withColumn(SLICE, bucket_start(F.col(time), slice_us))
     spread = sliced.repartition(*keys, SLICE)
-    inside = pick(packed).over(Window.partitionBy(*keys, SLICE).orderBy(*order))
+    inside = pick(_returned(time, payload)).over(
+        Window.partitionBy(*keys, SLICE).orderBy(*order)
+    )
 
-    edge = F.min(packed) if forward else F.max(packed)
+    ordered = F.struct(*order, *(c for c in payload if c not in order))
+    edge = F.min(ordered) if forward else F.max(ordered)
     edges = sliced.groupBy(*keys, SLICE).agg(edge.alias("_edge"))
-    across = pick("_edge").over(Window.partitionBy(*keys).orderBy(SLICE))
+    across = pick(_returned(time, payload, "_edge")).over(
+        Window.partitionBy(*keys).orderBy(SLICE)
+    )
     edges = edges.select(*keys, SLICE, across.alias("_across"))
 
     return (
@@ -63,7 +70,7 @@ def with_previous(
     name: str = "previous",
     slice_us: int = HOUR_US,
 ) -> DataFrame:
-    """Add struct ``name`` holding ``order`` and ``payload`` of the row before, or null."""
+    """Add struct ``name`` holding time and ``payload`` of the row before, or null."""
     return _neighbour(df, keys, order, payload, name, slice_us, forward=False)
 
 
@@ -75,7 +82,7 @@ def with_next(
     name: str = "following",
     slice_us: int = HOUR_US,
 ) -> DataFrame:
-    """Add struct ``name`` holding ``order`` and ``payload`` of the row after, or null."""
+    """Add struct ``name`` holding time and ``payload`` of the row after, or null."""
     return _neighbour(df, keys, order, payload, name, slice_us, forward=True)
 
 
@@ -96,17 +103,19 @@ def with_recent_previous(
     """
     time = order[0]
     slice_us = max(slice_us, max_gap_us)
-    until_slice_end = (time_slice(time, slice_us) + 1) * F.lit(slice_us) - F.col(time)
-    packed = F.struct(*order, *(c for c in payload if c not in order))
+    own_slice = bucket_start(F.col(time), slice_us)
+    until_slice_end = own_slice + F.lit(slice_us) - F.col(time)
     copies = F.when(
         until_slice_end < F.lit(max_gap_us), F.array(F.lit(0), F.lit(1))
     ).otherwise(F.array(F.lit(0)))
     spread = (
         df.withColumn("_copy", F.explode(copies))
-        .withColumn(SLICE, time_slice(time, slice_us) + F.col("_copy"))
+        .withColumn(SLICE, own_slice + F.col("_copy") * F.lit(slice_us).cast("long"))
         .repartition(*keys, SLICE)
     )
-    before = F.lag(packed).over(Window.partitionBy(*keys, SLICE).orderBy(*order))
+    before = F.lag(_returned(time, payload)).over(
+        Window.partitionBy(*keys, SLICE).orderBy(*order)
+    )
     near = F.col(time) - F.col(f"_before.{time}") < F.lit(max_gap_us)
     return (
         spread.withColumn("_before", before)

@@ -35,7 +35,7 @@ def _slice_summary(events: DataFrame, grid: Grid) -> DataFrame:
     order = Window.partitionBy("parkingspotid", "slice").orderBy("since", "occupancy")
     before = F.lag("occupancy").over(order)
     following = F.lead("since").over(order)
-    sliced = F.floor((F.col("since") - F.lit(grid.start_us)) / F.lit(slice_us))
+    sliced = times.bucket_start(F.col("since"), slice_us, grid.start_us)
     paired = (
         events.withColumn("bucket", grid.index(F.col("since")))
         .withColumn("slice", sliced)

@@ -90,10 +90,14 @@ def with_transitions(facts: DataFrame) -> DataFrame:
         facts,
         ["nodeid", "objectid"],
         ["eventtime", "eventtype", "eventid", "objectclass", "eventname", "siteid"],
-        [],
+        ["eventname"],
         TRANSITION_GAP_US,
     )
-    own = F.struct(*FACT_COLUMNS)
+    # A flag per emitted row rather than arrays of whole rows, so that columns a caller
+    # does not use (the document above all) are pruned before the shuffle.
+    flags = F.when(F.col("previous").isNull(), F.array(F.lit(False))).otherwise(
+        F.array(F.lit(False), F.lit(True))
+    )
     path = F.concat_ws("==>", "nodeid", "previous.eventname", "eventname")
     changed = {
         "eventtype": F.lit(TRANSITION_TYPE),
@@ -103,9 +107,15 @@ def with_transitions(facts: DataFrame) -> DataFrame:
         "objectvelocity": F.lit(None).cast("double"),
         "dwell": F.lit(None).cast("double"),
     }
-    transition = F.struct(*(changed.get(c, F.col(c)).alias(c) for c in FACT_COLUMNS))
-    rows = F.when(F.col("previous").isNull(), F.array(own)).otherwise(F.array(own, transition))
-    return paired.select(F.explode(rows).alias("row")).select("row.*")
+    emitted = paired.withColumn("is_transition", F.explode(flags))
+    return emitted.select(
+        *(
+            F.when(F.col("is_transition"), changed[c]).otherwise(F.col(c)).alias(c)
+            if c in changed
+            else F.col(c)
+            for c in FACT_COLUMNS
+        )
+    )
 
 
 def transitions(facts: DataFrame) -> DataFrame:
@@ -122,8 +132,8 @@ def _measures(by_event: bool) -> list[Column]:
     measures = [
         F.avg(speed).alias("avgvelocity"),
         F.avg(dwell).alias("avgdwell"),
-        F.percentile_approx(speed, F.lit(0.5)).alias("medianvelocity"),
-        F.percentile_approx(speed, F.lit(0.85)).alias("p85velocity"),
+        # One sketch per group serves both percentiles.
+        F.percentile_approx(speed, F.array(F.lit(0.5), F.lit(0.85))).alias("_percentiles"),
         F.count("*").alias("eventcnt"),
     ]
     if by_event:
@@ -144,7 +154,6 @@ def _label(rolled: DataFrame, grain: Column, period: Column, by_event: bool) ->
     ``period`` is the grain's own start, ``starttime`` the earliest bucket seen in it.
     """
     width = F.col("_width")
-    measures = ["avgvelocity", "avgdwell", "medianvelocity", "p85velocity", "eventcnt"]
     return rolled.select(
         *_keys(by_event),
         grain.alias("aggregation_type"),
@@ -157,7 +166,11 @@ def _label(rolled: DataFrame, grain: Column, period: Column, by_event: bool) ->
         times.hour_label(F.col("starttime")).alias("starthr"),
         times.day_label(F.col("starttime")).alias("startday"),
         *(["name", "nodeid"] if by_event else []),
-        *measures,
+        "avgvelocity",
+        "avgdwell",
+        F.col("_percentiles")[0].alias("medianvelocity"),
+        F.col("_percentiles")[1].alias("p85velocity"),
+        "eventcnt",
     )
 
 

@@ -19,9 +19,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Day partitions are text labels, also when read back.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # Percentile aggregates use the object hash aggregate; 128 groups per task before
-    # falling back to sorting is far too few for bucket grains.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # Percentile sketches live in the object hash aggregate, outside managed memory: enough
+    # groups per task to avoid needless sorting, few enough for full sketches to fit.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
 }
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,11 +30,14 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.format("text").load(self.path(name))
-        except AnalysisException:
-            return False
-        return True
+        fs, path = self._files(name)
+        return fs.exists(path)
+
+    def _files(self, name: str):
+        """Hadoop file system and path of a table, for existence and partition names."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
 
     def read(self, name: str, schema: StructType | str | None = None) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
@@ -117,10 +119,9 @@ class TableStore:
 
         Only partition directory names come to the driver, at most one per stored day.
         """
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, path = self._files(name)
         dropped = []
-        for status in fs.listStatus(hadoop):
+        for status in fs.listStatus(path):
             label = status.getPath().getName().removeprefix(f"{day}=")
             is_partition = status.getPath().getName() != label
             if is_partition and label < first_kept and fs.delete(status.getPath(), True):
