@@ -150,7 +150,7 @@ def spot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parking.zone_rollup(spot_facts(spark, sf_dir), zone_capacity(spark, sf_dir))
+    return parking.zone_rollup(spot_facts(spark, sf_dir))
 
 
 @register(
@@ -161,7 +161,7 @@ select * exclude (occupancy, occpercent), round(occpercent, 6) as occpercent, {L
 from spot_facts""",
 )
 def parking_15min_spot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = spot_facts(spark, sf_dir).drop("occupancy")
+    facts = spot_facts(spark, sf_dir).drop("occupancy", "capacity")
     return facts.withColumn("occpercent", F.round("occpercent", 6))
 
 

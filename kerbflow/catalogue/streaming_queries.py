@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from kerbflow.catalogue import register
 from kerbflow.catalogue.parking_queries import prior_states
-from kerbflow.catalogue.standins import PARKING_GRID, ctes, table
+from kerbflow.catalogue.standins import BENCHMARK_TABLES, PARKING_GRID, ctes, table
 from kerbflow.streaming import carry, tumbling
 
 _START, _N = PARKING_GRID.start_us, PARKING_GRID.size
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return tumbling.file_stream(spark, sf_dir, schema, "events.parquet")
+    return tumbling.file_stream(spark, sf_dir, BENCHMARK_TABLES["events"], "events.parquet")
 
 
 @register(

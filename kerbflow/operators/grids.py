@@ -55,15 +55,15 @@ def spread_by_key(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(count, key)
 
 
-def emit_to_next(
+def with_spans(
     df: DataFrame, keys: Sequence[str], bucket: str, grid: Grid, lead_in: bool = True
 ) -> DataFrame:
-    """One row per key and grid bucket from one row per key and non-empty bucket.
+    """Add the range of grid buckets each row stands for, ``first_bucket`` to ``last_bucket``.
 
-    Adds ``grid_bucket`` and ``is_own`` (the emitted bucket is the row's own).  With
-    ``lead_in`` the first row of a key also emits the empty buckets before it, marked by
-    ``is_lead_in``.  ``df`` holds at most ``size + 2`` rows per key, which bounds the
-    window.
+    ``df`` has one row per key and non-empty bucket.  A row stands for its own bucket and
+    the empty ones up to the next row; with ``lead_in`` a key's first row also stands for
+    the empty buckets before it.  Rows outside the grid stand for what they reach inside,
+    if anything.  A key has at most ``size + 2`` rows, which bounds the window.
     """
     order = Window.partitionBy(*keys).orderBy(bucket)
     last = F.least(
@@ -72,11 +72,26 @@ def emit_to_next(
     is_first = F.lag(bucket).over(order).isNull()
     from_own = F.greatest(F.col(bucket), F.lit(0))
     first = F.when(is_first, F.lit(0)).otherwise(from_own) if lead_in else from_own
-    span = df.withColumn("_first", first).withColumn("_last", last)
+    span = df.withColumns({"first_bucket": first, "last_bucket": last})
+    return span.filter(F.col("first_bucket") <= F.col("last_bucket"))
+
+
+def emit_spans(df: DataFrame, bucket: str) -> DataFrame:
+    """One row per bucket of each span.
+
+    Adds ``grid_bucket``, ``is_own`` (it is the row's own bucket) and ``is_lead_in`` (it
+    lies before that).  Join what the rows need before this step, which multiplies them.
+    """
     return (
-        span.filter(F.col("_first") <= F.col("_last"))
-        .withColumn("grid_bucket", F.explode(F.sequence("_first", "_last")))
+        df.withColumn("grid_bucket", F.explode(F.sequence("first_bucket", "last_bucket")))
         .withColumn("is_own", F.col("grid_bucket") == F.col(bucket))
         .withColumn("is_lead_in", F.col("grid_bucket") < F.col(bucket))
-        .drop("_first", "_last")
+        .drop("first_bucket", "last_bucket")
     )
+
+
+def emit_to_next(
+    df: DataFrame, keys: Sequence[str], bucket: str, grid: Grid, lead_in: bool = True
+) -> DataFrame:
+    """One row per key and grid bucket from one row per key and non-empty bucket."""
+    return emit_spans(with_spans(df, keys, bucket, grid, lead_in), bucket)

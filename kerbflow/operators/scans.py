@@ -42,13 +42,15 @@ def day_pruned_window(
     return time_window(pruned, time, from_us, until_us, lookback_us)
 
 
-def only_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+def only_keys(df: DataFrame, key: str, keys: DataFrame, unique: bool = False) -> DataFrame:
     """Rows whose key is in ``keys``.
 
-    The key side is made distinct first (combined before its shuffle).  Whether it is
-    broadcast is left to Spark, which does so only below its size threshold.
+    The key side is made distinct first (combined before its shuffle) unless it is known
+    to be ``unique``.  Whether it is broadcast is left to Spark, which does so only below
+    its size threshold.
     """
-    return df.join(keys.select(key).distinct(), key, "left_semi")
+    wanted = keys.select(key) if unique else keys.select(key).distinct()
+    return df.join(wanted, key, "left_semi")
 
 
 def without_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:

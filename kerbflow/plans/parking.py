@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kerbflow.functions import times
 from kerbflow.functions.values import zero_as_null
 from kerbflow.operators import scans
-from kerbflow.operators.grids import Grid, emit_to_next, spread_by_key
+from kerbflow.operators.grids import Grid, emit_spans, spread_by_key, with_spans
 
 SLICES_PER_BUCKET = 15
 
@@ -79,12 +79,12 @@ def _merge_slices(slices: DataFrame) -> DataFrame:
     )
 
 
-def spot_buckets(events: DataFrame, prior: DataFrame, grid: Grid) -> DataFrame:
-    """Per spot and grid bucket: occupied µs, turnovers and the state at its end.
+def spot_spans(events: DataFrame, prior: DataFrame, grid: Grid) -> DataFrame:
+    """Per spot and bucket with rows: the bucket's summary and the state it begins with.
 
     ``events`` carries parkingspotid, since, occupancy and parkingzoneid; ``prior`` the
     state at the end of the bucket before the grid.  Rows before the grid only set the
-    state; a spot with any row gets all buckets.
+    state.  The zone is the one of the spot's first row.
     """
     merged = _merge_slices(_slice_summary(events, grid))
     order = Window.partitionBy("parkingspotid").orderBy("bucket")
@@ -95,10 +95,17 @@ def spot_buckets(events: DataFrame, prior: DataFrame, grid: Grid) -> DataFrame:
             "state_in",
             F.coalesce(F.lag("last.occupancy").over(order), F.col("initial"), F.lit(False)),
         )
-        .withColumn("zone", F.first("parkingzoneid").over(order))
+        .withColumn("parkingzoneid", F.first("parkingzoneid").over(order))
     )
-    rows = emit_to_next(states, ["parkingspotid"], "bucket", grid)
+    return with_spans(states, ["parkingspotid"], "bucket", grid)
+
 
+def spot_buckets(spans: DataFrame, grid: Grid, *attributes: str) -> DataFrame:
+    """Per spot and grid bucket: occupied µs, turnovers and the state at its end.
+
+    A spot with any row gets all buckets.  ``attributes`` are columns of the spans to keep.
+    """
+    rows = emit_spans(spans, "bucket")
     start = grid.start_of(F.col("grid_bucket"))
     end = start + F.lit(grid.width_us)
     own, lead_in = F.col("is_own"), F.col("is_lead_in")
@@ -115,7 +122,8 @@ def spot_buckets(events: DataFrame, prior: DataFrame, grid: Grid) -> DataFrame:
     turnovers = F.when(own, F.col("turned") + first_turn).otherwise(0).cast("int")
     return rows.select(
         "parkingspotid",
-        F.col("zone").alias("parkingzoneid"),
+        "parkingzoneid",
+        *attributes,
         start.alias("starttime"),
         end.alias("endtime"),
         occupied.alias("occduration"),
@@ -137,7 +145,7 @@ def spot_15min(
     bridge: DataFrame,
     grid: Grid,
 ) -> DataFrame:
-    """Spot facts with zone, group and site, including the end state.
+    """Spot facts with zone, group and site, the end state and the zone's capacity.
 
     ``zones`` is the capacity table (siteid, parkingzoneid, ptype, capacity); rows of
     zones it does not list are dropped.
@@ -147,13 +155,17 @@ def spot_15min(
         events.select(*columns).unionByName(silent_occupied(events, prior, spots, grid)),
         "parkingzoneid",
         zones,
+        unique=True,
     )
-    facts = spot_buckets(known, prior, grid)
-    placed = facts.join(zones.select("parkingzoneid", "siteid", "ptype"), "parkingzoneid").join(
-        zone_groups(bridge), "parkingzoneid", "left"
+    zone_columns = zones.select("parkingzoneid", "siteid", "ptype", "capacity")
+    placed = (
+        spot_spans(known, prior, grid)
+        .join(zone_columns, "parkingzoneid")
+        .join(zone_groups(bridge), "parkingzoneid", "left")
     )
+    facts = spot_buckets(placed, grid, "siteid", "ptype", "capacity", "groupid")
     share = F.col("occduration").cast("double") / F.lit(float(grid.width_us)) * 100.0
-    return placed.select(
+    return facts.select(
         "siteid",
         "parkingspotid",
         "starttime",
@@ -165,6 +177,7 @@ def spot_15min(
         "turnovers",
         share.alias("occpercent"),
         "occupancy",
+        "capacity",
         *(c.alias(n) for n, c in times.bucket_labels().items()),
     )
 
@@ -174,20 +187,23 @@ def end_states(spot_facts: DataFrame) -> DataFrame:
     return spot_facts.select("siteid", "starttime", "parkingspotid", "occupancy")
 
 
-def zone_rollup(spot_facts: DataFrame, zones: DataFrame, width_us: int = times.BUCKET_US) -> DataFrame:
-    """Zone facts; the capacity joins after grouping, on one row per zone and bucket."""
-    grouped = spot_facts.groupBy("zoneid", "starttime", "siteid", "parkingtype").agg(
-        F.min("groupid").alias("groupid"),
+def zone_rollup(spot_facts: DataFrame, width_us: int = times.BUCKET_US) -> DataFrame:
+    """Zone facts.
+
+    Site, type, group and capacity follow from the zone; as grouping keys they need no
+    aggregate and no join.
+    """
+    zone = ("zoneid", "starttime", "siteid", "parkingtype", "groupid", "capacity")
+    grouped = spot_facts.groupBy(*zone).agg(
         F.min("endtime").alias("endtime"),
         F.avg(zero_as_null(F.col("occduration"))).alias("occduration"),
         F.sum("occduration").alias("_occupied"),
         F.sum("turnovers").alias("turnovers"),
         F.sum(F.when(F.col("occduration") == 0, 0).otherwise(1)).alias("filled_cnt"),
     )
-    capacity = zones.select(F.col("parkingzoneid").alias("zoneid"), "capacity")
     room = zero_as_null(F.col("capacity")).cast("long") * F.lit(width_us).cast("long")
     percent = F.round(F.try_divide(F.lit(100) * F.col("_occupied"), room), 1)
-    return grouped.join(capacity, "zoneid").select(
+    return grouped.select(
         "zoneid",
         "starttime",
         "siteid",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -13,7 +14,7 @@ from kerbflow.functions import times
 from kerbflow.operators import counters, scans
 from kerbflow.operators.grids import Grid
 from kerbflow.plans import capacity, energy, parking, traffic, warehouse
-from kerbflow.session import scratch_path
+from kerbflow.session import remove_path, scratch_path
 from kerbflow.sources.control import ControlTable
 from kerbflow.sources.schemas import schema_of
 from kerbflow.sources.store import DAY, TableStore
@@ -144,11 +145,34 @@ class Jobs:
             float(self.control.get("energy", ZERO_POWER_KEY)),
         )
 
-    def _written(self, df: DataFrame, label: str) -> DataFrame:
-        """Write a frame several outputs share, and go on from the written table."""
-        path = scratch_path(self.spark, label)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    @contextmanager
+    def _scratch(self) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+        """A function that writes a frame several outputs share and reads it back.
+
+        Outputs then start from a table in the shared folder: nothing is computed twice,
+        and lost executors cost a re-read.  The tables are removed once the run has
+        succeeded; a failed run leaves them for recovery.
+        """
+        paths: list[str] = []
+
+        def written(df: DataFrame, label: str) -> DataFrame:
+            path = scratch_path(self.spark, label)
+            paths.append(path)
+            df.write.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        yield written
+        for path in paths:
+            remove_path(self.spark, path)
+
+    def _input(
+        self, name: str, time: str, from_us: int, until_us: int, lookback_us: int = 0
+    ) -> DataFrame:
+        """An input table's rows in a window; day partitions are pruned where it has them."""
+        rows = self.store.read_input(name, schema_of(name))
+        if DAY in rows.columns:
+            return scans.day_pruned_window(rows, time, DAY, from_us, until_us, lookback_us)
+        return scans.time_window(rows, time, from_us, until_us, lookback_us)
 
     def traffic(
         self,
@@ -157,26 +181,24 @@ class Jobs:
         keep_facts: bool = False,
         only: str | None = None,
     ) -> None:
-        status = self.store.read_input("traffic_status", schema_of("traffic_status"))
+        start = traffic_start(window.from_us, daily)
+        status = self._input("traffic_status", "time", start, window.until_us)
         if only is not None:
             status = status.filter(F.col("nodeid") == only)
-        start = traffic_start(window.from_us, daily)
-        facts = self._written(
-            traffic.traffic_facts(scans.time_window(status, "time", start, window.until_us)),
-            "traffic-facts",
-        )
-        if keep_facts:
-            self.store.append("job_traffic_events", with_day(facts), by=[DAY])
-        grains = ("15min", "1hr", "1day") if daily else ("15min", "1hr")
-        for by_event, table in ((True, "aggregation_traffic_events"), (False, "aggregation_traffic_events_site")):
-            keys = ["siteid", *(["eventid"] if by_event else []), "type", "objectclass"]
-            self.store.upsert(
-                table,
-                traffic.rollup_all(facts, by_event, grains),
-                [*keys, "aggregation_type", "starttime"],
-                days=day_span(start, window.until_us),
-            )
-        self.move_mark("traffic", window)
+        with self._scratch() as written:
+            facts = written(traffic.traffic_facts(status), "traffic-facts")
+            if keep_facts:
+                self.store.append("job_traffic_events", with_day(facts), by=[DAY])
+            grains = ("15min", "1hr", "1day") if daily else ("15min", "1hr")
+            for by_event, table in ((True, "aggregation_traffic_events"), (False, "aggregation_traffic_events_site")):
+                keys = ["siteid", *(["eventid"] if by_event else []), "type", "objectclass"]
+                self.store.upsert(
+                    table,
+                    traffic.rollup_all(facts, by_event, grains),
+                    [*keys, "aggregation_type", "starttime"],
+                    days=day_span(start, window.until_us),
+                )
+            self.move_mark("traffic", window)
 
     def energy(
         self,
@@ -186,75 +208,72 @@ class Jobs:
     ) -> None:
         rules = rules or self.energy_rules()
         grid = energy_grid(window.from_us, window.until_us)
-        samples = scans.time_window(
-            self.store.read_input("device_sensor_samples", schema_of("device_sensor_samples")),
-            "time",
-            grid.start_us,
-            window.until_us,
-            rules.lookback_us,
+        samples = self._input(
+            "device_sensor_samples", "time", grid.start_us, window.until_us, rules.lookback_us
         )
         settings = self.store.read("device_energy_settings", schema_of("device_energy_settings"))
         if only is not None:
             settings = settings.filter(F.col("siteid") == only)
             samples = scans.only_keys(samples, "nodeid", settings)
-        buckets = self._written(energy.node_15min(samples, settings, grid, rules), "energy-buckets")
-        node = buckets
-        site = energy.site_rollup(buckets, "15min")
-        for grain in ("1hr", "1day"):
-            node = node.unionByName(energy.node_rollup(buckets, grain))
-            site = site.unionByName(energy.site_rollup(buckets, grain))
-        for table, facts, keys in (
-            ("aggregation_energy_savings_node", node, ["siteid", "nodeid"]),
-            ("aggregation_energy_savings_site", site, ["siteid"]),
-        ):
-            self.store.upsert(
-                table,
-                facts,
-                [*keys, "aggregation_type", "starttime"],
-                days=day_span(grid.start_us, grid.end_us),
-            )
-        self.move_mark("energy", window)
+        with self._scratch() as written:
+            buckets = written(energy.node_15min(samples, settings, grid, rules), "energy-buckets")
+            node = buckets
+            site = energy.site_rollup(buckets, "15min")
+            for grain in ("1hr", "1day"):
+                node = node.unionByName(energy.node_rollup(buckets, grain))
+                site = site.unionByName(energy.site_rollup(buckets, grain))
+            for table, facts, keys in (
+                ("aggregation_energy_savings_node", node, ["siteid", "nodeid"]),
+                ("aggregation_energy_savings_site", site, ["siteid"]),
+            ):
+                self.store.upsert(
+                    table,
+                    facts,
+                    [*keys, "aggregation_type", "starttime"],
+                    days=day_span(grid.start_us, grid.end_us),
+                )
+            self.move_mark("energy", window)
 
     def parking(self, window: RunWindow, buckets_back: int = 1, only: str | None = None) -> None:
         grid = parking_grid(window.from_us, window.until_us, buckets_back)
-        events = scans.time_window(
-            self.store.read_input("parking_spot_historic", schema_of("parking_spot_historic")),
-            "since",
-            grid.start_us,
-            window.until_us,
-            grid.width_us,
+        events = self._input(
+            "parking_spot_historic", "since", grid.start_us, window.until_us, grid.width_us
         )
         spots = self.store.read_input("parking_spot_current", schema_of("parking_spot_current"))
         areas = self.store.read_input("parking_zone_status", schema_of("parking_zone_status"))
         if only is not None:
             areas = areas.filter(F.col("siteid") == only)
-        zones = self._written(capacity.zone_capacity(areas, spots), "zone-capacity")
-        states = self.store.read_or_empty(
-            "aggregation_parking_status",
-            schema_of("aggregation_parking_status").add(DAY, "string"),
-        )
-        prior = states.filter(F.col("starttime") == grid.start_us - grid.width_us)
-        bridge = self.store.read("parking_zone_group", schema_of("parking_zone_group"))
-        spot = self._written(
-            parking.spot_15min(events, prior, spots, zones, bridge, grid), "parking-spots"
-        )
-        zone = self._written(parking.zone_rollup(spot, zones), "parking-zones")
-        outputs: Sequence[tuple[str, DataFrame, list[str]]] = (
-            ("aggregation_parking_status", with_day(parking.end_states(spot)), ["parkingspotid"]),
-            ("aggregation_parking_spot", spot.drop("occupancy"), ["parkingspotid"]),
-            ("aggregation_parking_zone", zone, ["zoneid", "siteid"]),
-            (
-                "aggregation_parking_group",
-                parking.area_rollup(zone, "groupid"),
-                ["groupid", "parkingtype", "siteid"],
-            ),
-            ("aggregation_parking_site", parking.area_rollup(zone, "siteid"), ["siteid", "parkingtype"]),
-        )
-        for table, facts, keys in outputs:
-            self.store.upsert(
-                table, facts, [*keys, "starttime"], days=day_span(grid.start_us, grid.end_us)
+        with self._scratch() as written:
+            zones = written(capacity.zone_capacity(areas, spots), "zone-capacity")
+            states = self.store.read_or_empty(
+                "aggregation_parking_status",
+                schema_of("aggregation_parking_status").add(DAY, "string"),
+            )
+            before = grid.start_us - grid.width_us
+            prior = states.filter(
+                (F.col(DAY) == day_span(before, before)[0]) & (F.col("starttime") == before)
+            )
+            bridge = self.store.read("parking_zone_group", schema_of("parking_zone_group"))
+            spot = written(
+                parking.spot_15min(events, prior, spots, zones, bridge, grid), "parking-spots"
+            )
+            zone = written(parking.zone_rollup(spot), "parking-zones")
+            outputs: Sequence[tuple[str, DataFrame, list[str]]] = (
+                ("aggregation_parking_status", with_day(parking.end_states(spot)), ["parkingspotid"]),
+                ("aggregation_parking_spot", spot.drop("occupancy", "capacity"), ["parkingspotid"]),
+                ("aggregation_parking_zone", zone, ["zoneid", "siteid"]),
+                (
+                    "aggregation_parking_group",
+                    parking.area_rollup(zone, "groupid"),
+                    ["groupid", "parkingtype", "siteid"],
+                ),
+                ("aggregation_parking_site", parking.area_rollup(zone, "siteid"), ["siteid", "parkingtype"]),
             )
-        self.move_mark("parking", window)
+            for table, facts, keys in outputs:
+                self.store.upsert(
+                    table, facts, [*keys, "starttime"], days=day_span(grid.start_us, grid.end_us)
+                )
+            self.move_mark("parking", window)
 
     def refresh(
         self, name: str, source: DataFrame, window: RunWindow, run_s: int, sites: DataFrame | None = None
@@ -274,7 +293,8 @@ class Jobs:
             batch = warehouse.stage_local(rows, sites, run_s)
         else:
             batch = warehouse.stage_utc(rows, table.time, table.unit, run_s)
-        return warehouse.refresh_warehouse(self.store, table, self._written(batch, name))
+        with self._scratch() as written:
+            return warehouse.refresh_warehouse(self.store, table, written(batch, name))
 
     def update_counters(self, events: DataFrame, window: RunWindow) -> DataFrame:
         """Add the window's events to the running totals per detection event."""
@@ -286,8 +306,9 @@ class Jobs:
         )
         plain = totals.select("count", "trafficdetectioneventid")
         merged = plain.join(counted, "trafficdetectioneventid").select(*totals.columns)
-        # The table is read and replaced, so the new rows are written elsewhere first.
-        return self.store.replace(name, self._written(merged, name))
+        with self._scratch() as written:
+            # The table is read and replaced, so the new rows are written elsewhere first.
+            return self.store.replace(name, written(merged, name))
 
     def snapshots(self, run_s: int) -> None:
         """Reload the zone and spot snapshots."""

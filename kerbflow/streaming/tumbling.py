@@ -15,7 +15,7 @@ BATCH = "batch_id"
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: StructType, pattern: str = "*.parquet"
+    spark: SparkSession, path: str, schema: StructType | str, pattern: str = "*.parquet"
 ) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(path)
 

@@ -22,7 +22,8 @@ PRIOR = "parkingspotid string, occupancy boolean"
 def buckets(spark, changes, prior=(), n=4, until=None):
     events = spark.createDataFrame([(s, t, o, "z") for s, t, o in changes], EVENTS)
     states = spark.createDataFrame(list(prior), PRIOR)
-    out = parking.spot_buckets(events, states, Grid(G0, until or G0 + n * BUCKET_US))
+    grid = Grid(G0, until or G0 + n * BUCKET_US)
+    out = parking.spot_buckets(parking.spot_spans(events, states, grid), grid)
     return {
         (r.parkingspotid, (r.starttime - G0) // BUCKET_US): (r.occduration, r.turnovers, r.occupancy)
         for r in out.collect()
@@ -126,7 +127,7 @@ def test_silent_occupied_spot_is_full_without_turnover(spark):
         ("p2", G0, BUCKET_US, 0, "g1", 100.0),
         ("p2", G0 + BUCKET_US, BUCKET_US, 0, "g1", 100.0),
     ]
-    zone = parking.zone_rollup(facts, zones)
+    zone = parking.zone_rollup(facts)
     assert rows(zone, "starttime", "occpercent", "filled_cnt", "turnovers") == [
         (G0, 66.7, 2, 0),
         (G0 + BUCKET_US, 66.7, 2, 0),
@@ -204,6 +205,6 @@ def test_zero_capacity_gives_no_percentage(spark):
     bridge = spark.createDataFrame([], "parkingzoneid string, parkinggroupid string")
     events = spark.createDataFrame([("p", G0, True, "z")], EVENTS)
     facts = parking.spot_15min(events, spark.createDataFrame([], PRIOR), spots, zones, bridge, grid)
-    zone = parking.zone_rollup(facts, zones)
+    zone = parking.zone_rollup(facts)
     assert rows(zone, "groupid", "occpercent", "capacity") == [("na", None, 0)]
     assert rows(parking.area_rollup(zone, "siteid"), "occpercent") == [(None,)]

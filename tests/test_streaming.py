@@ -55,5 +55,5 @@ def test_carried_state_equals_the_batch(spark):
     df.repartition(3).write.parquet(source)
     stream = tumbling.file_stream(spark, source, df.schema)
     streamed = carry.run_state_carry(stream, prior, grid, late="1 day")
-    batch = parking.spot_buckets(df, prior, grid)
+    batch = parking.spot_buckets(parking.spot_spans(df, prior, grid), grid)
     assert rows(streamed) == rows(batch, "parkingspotid", "starttime", "occupancy")
