@@ -18,11 +18,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.functions.times import HOUR_US, bucket_start
+from kerbflow.functions.times import HOUR_US, MINUTE_US, bucket_start
 
 SLICE = "_slice"
 
 
+def fitting_slice(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    rows_per_slice: int = 4_000_000,
+    widest_us: int = HOUR_US,
+) -> int:
+    """Slice width at which no key has more than about ``rows_per_slice`` rows per slice.
+
+    Runs one counting job over the key and time columns; a single number, the rows of the
+    densest key and minute, comes back.
+    """
+    minute = bucket_start(F.col(time), MINUTE_US).alias("_minute")
+    densest = df.groupBy(*keys, minute).count().agg(F.max("count")).first()[0]
+    if not densest:
+        return widest_us
+    return max(1, min(widest_us, MINUTE_US * rows_per_slice // densest))
+
+
 def _returned(time: str, payload: Sequence[str], source: str = "") -> Column:
     """The struct handed to the caller: the neighbour's time and payload."""
     prefix = f"{source}." if source else ""

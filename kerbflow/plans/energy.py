@@ -35,12 +35,14 @@ class EnergyRules:
         return self.interval_s * times.SECOND_US
 
 
-def positive_rates(samples: DataFrame, per_sensor: bool = False) -> DataFrame:
+def positive_rates(
+    samples: DataFrame, per_sensor: bool = False, slice_us: int = times.HOUR_US
+) -> DataFrame:
     """Power per sample.  First samples, resets and flat readings drop out."""
     keys = ("nodeid", "sensor") if per_sensor else ("nodeid",)
     ties = () if per_sensor else ("sensor",)
     meters = samples.filter(F.col("sensor").isin(*ENERGY_SENSORS))
-    rates = counter_rate(meters, keys, ties=ties).filter(F.col("rate") > 0)
+    rates = counter_rate(meters, keys, ties=ties, slice_us=slice_us).filter(F.col("rate") > 0)
     return rates.select("nodeid", "time", "rate")
 
 
@@ -89,6 +91,7 @@ def node_15min(
     grid: Grid,
     rules: EnergyRules = EnergyRules(),
     per_sensor: bool = False,
+    slice_us: int = times.HOUR_US,
 ) -> DataFrame:
     """One row per node and bucket; empty buckets between near neighbours are filled.
 
@@ -96,7 +99,7 @@ def node_15min(
     summaries, not the samples: there is at most one summary per node and bucket, so a
     busy node does not make a heavy join key.
     """
-    rates = positive_rates(samples, per_sensor)
+    rates = positive_rates(samples, per_sensor, slice_us)
     summary = neighbour_summary(rates, grid, rules.zero_watts).join(settings, "nodeid")
     rows = bucket_neighbours(summary, grid)
 

@@ -15,7 +15,14 @@ from kerbflow.functions.values import zero_as_null
 from kerbflow.operators import scans
 from kerbflow.operators.grids import Grid, emit_spans, spread_by_key, with_spans
 
-SLICES_PER_BUCKET = 15
+# Ways to cut a 15-minute bucket into equal slices, coarsest first.
+SLICE_COUNTS = (15, 60, 180, 900, 9_000, 90_000, 900_000)
+
+
+def slices_for(slice_us: int, width_us: int = times.BUCKET_US) -> int:
+    """The coarsest cut whose slices are not wider than ``slice_us``."""
+    fine_enough = (n for n in SLICE_COUNTS if width_us <= n * slice_us)
+    return next(fine_enough, SLICE_COUNTS[-1])
 
 
 def silent_occupied(events: DataFrame, prior: DataFrame, spots: DataFrame, grid: Grid) -> DataFrame:
@@ -29,9 +36,9 @@ def silent_occupied(events: DataFrame, prior: DataFrame, spots: DataFrame, grid:
     )
 
 
-def _slice_summary(events: DataFrame, grid: Grid) -> DataFrame:
+def _slice_summary(events: DataFrame, grid: Grid, slices: int) -> DataFrame:
     """Occupied time and turnovers between the rows of each (spot, slice)."""
-    slice_us = grid.width_us // SLICES_PER_BUCKET
+    slice_us = grid.width_us // slices
     order = Window.partitionBy("parkingspotid", "slice").orderBy("since", "occupancy")
     before = F.lag("occupancy").over(order)
     following = F.lead("since").over(order)
@@ -79,14 +86,16 @@ def _merge_slices(slices: DataFrame) -> DataFrame:
     )
 
 
-def spot_spans(events: DataFrame, prior: DataFrame, grid: Grid) -> DataFrame:
+def spot_spans(
+    events: DataFrame, prior: DataFrame, grid: Grid, slices: int = SLICE_COUNTS[0]
+) -> DataFrame:
     """Per spot and bucket with rows: the bucket's summary and the state it begins with.
 
     ``events`` carries parkingspotid, since, occupancy and parkingzoneid; ``prior`` the
     state at the end of the bucket before the grid.  Rows before the grid only set the
     state.  The zone is the one of the spot's first row.
     """
-    merged = _merge_slices(_slice_summary(events, grid))
+    merged = _merge_slices(_slice_summary(events, grid, slices))
     order = Window.partitionBy("parkingspotid").orderBy("bucket")
     initial = prior.select("parkingspotid", F.col("occupancy").alias("initial"))
     states = (
@@ -144,6 +153,7 @@ def spot_15min(
     zones: DataFrame,
     bridge: DataFrame,
     grid: Grid,
+    slices: int = SLICE_COUNTS[0],
 ) -> DataFrame:
     """Spot facts with zone, group and site, the end state and the zone's capacity.
 
@@ -159,7 +169,7 @@ def spot_15min(
     )
     zone_columns = zones.select("parkingzoneid", "siteid", "ptype", "capacity")
     placed = (
-        spot_spans(known, prior, grid)
+        spot_spans(known, prior, grid, slices)
         .join(zone_columns, "parkingzoneid")
         .join(zone_groups(bridge), "parkingzoneid", "left")
     )

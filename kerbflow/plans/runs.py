@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from kerbflow.functions import times
 from kerbflow.operators import counters, scans
 from kerbflow.operators.grids import Grid
+from kerbflow.operators.sequences import fitting_slice
 from kerbflow.plans import capacity, energy, parking, traffic, warehouse
 from kerbflow.session import remove_path, scratch_path
 from kerbflow.sources.control import ControlTable
@@ -186,7 +187,8 @@ class Jobs:
         if only is not None:
             status = status.filter(F.col("nodeid") == only)
         with self._scratch() as written:
-            facts = written(traffic.traffic_facts(status), "traffic-facts")
+            slice_us = fitting_slice(status, ["nodeid"], "time", widest_us=times.BUCKET_US)
+            facts = written(traffic.traffic_facts(status, slice_us), "traffic-facts")
             if keep_facts:
                 self.store.append("job_traffic_events", with_day(facts), by=[DAY])
             grains = ("15min", "1hr", "1day") if daily else ("15min", "1hr")
@@ -216,7 +218,11 @@ class Jobs:
             settings = settings.filter(F.col("siteid") == only)
             samples = scans.only_keys(samples, "nodeid", settings)
         with self._scratch() as written:
-            buckets = written(energy.node_15min(samples, settings, grid, rules), "energy-buckets")
+            slice_us = fitting_slice(samples, ["nodeid"], "time")
+            buckets = written(
+                energy.node_15min(samples, settings, grid, rules, slice_us=slice_us),
+                "energy-buckets",
+            )
             node = buckets
             site = energy.site_rollup(buckets, "15min")
             for grain in ("1hr", "1day"):
@@ -254,8 +260,10 @@ class Jobs:
                 (F.col(DAY) == day_span(before, before)[0]) & (F.col("starttime") == before)
             )
             bridge = self.store.read("parking_zone_group", schema_of("parking_zone_group"))
+            slices = parking.slices_for(fitting_slice(events, ["parkingspotid"], "since"))
             spot = written(
-                parking.spot_15min(events, prior, spots, zones, bridge, grid), "parking-spots"
+                parking.spot_15min(events, prior, spots, zones, bridge, grid, slices),
+                "parking-spots",
             )
             zone = written(parking.zone_rollup(spot), "parking-zones")
             outputs: Sequence[tuple[str, DataFrame, list[str]]] = (

@@ -83,7 +83,7 @@ def object_facts(status: DataFrame) -> DataFrame:
     return passing.unionByName(dwelling)
 
 
-def with_transitions(facts: DataFrame) -> DataFrame:
+def with_transitions(facts: DataFrame, slice_us: int = times.BUCKET_US) -> DataFrame:
     """Facts plus one transition row wherever an object was seen at the same node less
     than 60 s before; named ``node==>previous event==>this event``."""
     paired = with_recent_previous(
@@ -92,6 +92,7 @@ def with_transitions(facts: DataFrame) -> DataFrame:
         ["eventtime", "eventtype", "eventid", "objectclass", "eventname", "siteid"],
         ["eventname"],
         TRANSITION_GAP_US,
+        slice_us=slice_us,
     )
     # A flag per emitted row rather than arrays of whole rows, so that columns a caller
     # does not use (the document above all) are pruned before the shuffle.
@@ -122,9 +123,9 @@ def transitions(facts: DataFrame) -> DataFrame:
     return with_transitions(facts).filter(F.col("eventtype") == TRANSITION_TYPE)
 
 
-def traffic_facts(status: DataFrame) -> DataFrame:
+def traffic_facts(status: DataFrame, slice_us: int = times.BUCKET_US) -> DataFrame:
     """Everything the rollups count: objects, collapsed dwells and transitions."""
-    return with_transitions(object_facts(status))
+    return with_transitions(object_facts(status), slice_us)
 
 
 def _measures(by_event: bool) -> list[Column]:

@@ -85,6 +85,25 @@ def test_total_occupied_time_equals_interval_overlap(spark):
     assert all(0 <= v[0] <= BUCKET_US for v in got.values())
 
 
+@pytest.mark.parametrize("slices", [15, 900])
+def test_number_of_slices_does_not_matter(spark, slices):
+    rng = random.Random(4)
+    own = [(t, rng.random() < 0.6) for t in rng.sample(range(G0, G0 + 6 * BUCKET_US), 80)]
+    grid = Grid(G0, G0 + 6 * BUCKET_US)
+    events = spark.createDataFrame([("p", t, o, "z") for t, o in own], EVENTS)
+    spans = parking.spot_spans(events, spark.createDataFrame([], PRIOR), grid, slices)
+    got = rows(parking.spot_buckets(spans, grid), "starttime", "occduration", "turnovers", "occupancy")
+    assert got == [(G0 + i * BUCKET_US, *v) for i, v in brute_force(own, False, 6).items()]
+
+
+def test_slices_follow_the_wanted_width():
+    assert parking.slices_for(HOUR_US) == 15
+    assert parking.slices_for(BUCKET_US // 15) == 15
+    assert parking.slices_for(BUCKET_US // 15 - 1) == 60
+    assert parking.slices_for(1) == 900_000
+    assert all(BUCKET_US % n == 0 for n in parking.SLICE_COUNTS)
+
+
 def test_bucket_edges_and_repeated_rows(spark):
     got = buckets(
         spark,

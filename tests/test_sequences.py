@@ -57,6 +57,17 @@ def test_recent_previous_equals_filtered_window(spark, slice_us):
     assert expected.count() > 50
 
 
+def test_fitting_slice_follows_the_densest_minute(spark):
+    df = spark.createDataFrame(
+        [("busy", i * SECOND_US // 10) for i in range(600)] + [("calm", i * MINUTE) for i in range(9)],
+        "key string, time bigint",
+    )
+    assert sequences.fitting_slice(df, ["key"], "time", rows_per_slice=60) == 6 * SECOND_US
+    assert sequences.fitting_slice(df, ["key"], "time", rows_per_slice=6000) == 10 * MINUTE
+    assert sequences.fitting_slice(df, ["key"], "time") == HOUR_US
+    assert sequences.fitting_slice(df.limit(0), ["key"], "time") == HOUR_US
+
+
 def test_counter_rate_edges(spark):
     samples = spark.createDataFrame(
         [
