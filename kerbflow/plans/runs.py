@@ -22,7 +22,6 @@ from kerbflow.sources.store import DAY, TableStore
 
 # Names in the control table.
 MARK_KEY = "last_agg_min"
-SHARED_PARAMETERS = "refreshDWH"
 LAG_LIMIT_KEY = "hwmlimitmins"
 ZERO_POWER_KEY = "threshold_zero_power"
 INTERVAL_KEY = "power_sampling_interval_sec"
@@ -108,8 +107,10 @@ class Jobs:
     window with it.
     """
 
-    def __init__(self, store: TableStore):
+    def __init__(self, store: TableStore, shared_parameters: str = "warehouse"):
+        """``shared_parameters`` is the control-table type that holds the lag limit."""
         self.store = store
+        self.shared_parameters = shared_parameters
         self.spark = store.spark
         self.control = ControlTable(store)
 
@@ -131,7 +132,7 @@ class Jobs:
         only_key: bool = False,
     ) -> RunWindow:
         """The next window of a job; the stored lag limit caps how far back it goes."""
-        limit = self.control.get(SHARED_PARAMETERS, LAG_LIMIT_KEY)
+        limit = self.control.get(self.shared_parameters, LAG_LIMIT_KEY)
         max_lag_us = None if limit == "na" else int(limit) * times.MINUTE_US
         mark_us = self.mark(job, now_us)
         return run_window(mark_us, now_us, max_lag_us, start_us, until_us, only_key)

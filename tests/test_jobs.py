@@ -56,7 +56,7 @@ def test_traffic_run(traffic_store):
     assert traffic_store.read("job_traffic_events").count() == 5
     assert jobs.mark("traffic", 0) == T0 + HOUR_US
     assert jobs.window("traffic", T0 + 9 * HOUR_US) == runs.RunWindow(T0 + HOUR_US, T0 + 9 * HOUR_US)
-    jobs.control.put(runs.SHARED_PARAMETERS, runs.LAG_LIMIT_KEY, "120", stamp=1)
+    jobs.control.put(jobs.shared_parameters, runs.LAG_LIMIT_KEY, "120", stamp=1)
     assert jobs.window("traffic", T0 + 9 * HOUR_US).from_us == T0 + 7 * HOUR_US
     before = rows(by_event)
     jobs.traffic(runs.RunWindow(T0, T0 + HOUR_US, partial=True), daily=True)
