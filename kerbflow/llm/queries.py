@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from kerbflow.llm.common import n_bytes, stored, table
 from kerbflow.llm.fingerprints import edit_check
+from kerbflow.llm.html_text import extract_text
 from kerbflow.llm.jaccard import Threshold, jaccard_join
 from kerbflow.llm.mixing import mix_sources
+from kerbflow.llm.neighbours import nearest_neighbours
 from kerbflow.llm.packing import pack_best_fit
 from kerbflow.llm.repeats import remove_repeats
 from kerbflow.llm.sharding import shuffle_into_shards
@@ -59,6 +61,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -73,6 +79,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_check(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, length=100).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -142,6 +152,6 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_jaccard_join, op3_toxicity, op5_url_filter, op6_mixing, op7_fingerprints, op9_suffix_dedup, op10_packing)
+    f.__name__: f for f in (op1_sharding, op2_jaccard_join, op3_toxicity, op4_neighbours, op5_url_filter, op6_mixing, op7_fingerprints, op8_html_text, op9_suffix_dedup, op10_packing)
 }
 SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op5_url_filter": OP5_SQL}
