@@ -53,8 +53,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
     usable = np.flatnonzero((spare > 0) & (lengths > 0))
     if left <= 0 or len(usable) == 0:
         return take
-    # Sums just above the budget count too: one shortest document more at most.
-    top = min(2 * left, left + int(lengths[usable].min()))
+    # Sums above the budget count too; more than twice of it is never nearer than nothing.
+    top = 2 * left
     reached = np.zeros(top + 1, dtype=bool)
     reached[0] = True
     by = np.full(top + 1, -1, dtype=np.int64)
