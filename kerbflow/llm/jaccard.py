@@ -8,8 +8,8 @@ segments of a band also index their one-deletion neighbourhoods, and only those
 units.  Each set spends its units where keys are rare, by a sketch of all keys' counts of a
 fixed size; a wrong estimate costs time, never a link.
 
-Copies (equal sets) are one node from the start.  Candidates are first compared with one
-member of their key only; what that links need not be compared again, so the second and
+Copies (equal sets) are one node from the start.  Each set is first compared with one
+candidate only; what that links need not be compared again, so the second and
 complete comparison meets only pairs whose components still differ.
 """
 
@@ -24,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import stored
+from kerbflow.llm.common import release, stored
 from kerbflow.llm.graphs import components
 from kerbflow.llm.shingles import mixed, overlap, row_slices, set_ids, shingle_sets
 
 OUTPUTS = ("n_shingles", "component_id", "n_links")
 SKETCH_BITS = 20
 SKETCH_PART = 1 << 14  # counters in one row of the sketch
-PARITY = 8  # 64-bit words of the parity sketch
+PARITY = 8  # 64-bit words of the parity sketch of every set
+LONG_SET = 1000  # larger sets also have a parity sketch of a bit or two per shingle
 BAND_GROWTH = 1.5
 DOUBLE_SHARE = 16  # one segment in so many may get two units
 INDEXED, PROBES = 1, 2
@@ -116,10 +117,17 @@ def allocate(one: np.ndarray, two: np.ndarray, units: int) -> np.ndarray:
     return np.bincount(order % n, minlength=n)
 
 
+def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Bit b tells whether an odd number of shingles falls on it; two sets have at most as
+    many unlike bits as unlike shingles."""
+    odd = np.bincount(((mixed(shingles) >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
 def _digest(df: DataFrame, id_col: str, text_col: str, width: int, threshold: Threshold) -> DataFrame:
     """Set sizes, ids and parity sketches per row, and per task the counts of segment keys."""
-    names = ["doc_id", "n", "sid", *(f"p{i}" for i in range(PARITY)), "part", "counts"]
-    kinds = "doc_id long, n int, sid long, " + ", ".join(f"p{i} long" for i in range(PARITY)) + ", part int, counts binary"
+    names = ["doc_id", "n", "sid", *(f"p{i}" for i in range(PARITY)), "parity", "part", "counts"]
+    kinds = "doc_id long, n int, sid long, " + ", ".join(f"p{i} long" for i in range(PARITY)) + ", parity binary, part int, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
@@ -134,17 +142,17 @@ def _digest(df: DataFrame, id_col: str, text_col: str, width: int, threshold: Th
                         band = bands_of(threshold, len(s), len(s))[0]
                         keys = Segments(s, band).keys() & np.uint64((1 << SKETCH_BITS) - 1)
                         np.add.at(sketch, keys.astype(np.int64), 1)
-                        odd = np.bincount((mixed(s) >> np.uint64(7)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
-                        parity[:, i] = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+                        parity[:, i] = _parity(s, 64 * PARITY).view("<i8")
                 n = len(sets)
+                long = [_parity(s, 1 << (len(s) - 1).bit_length()).tobytes() if len(s) > LONG_SET else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, n), pa.array(sizes), pa.array(set_ids(sets)), *map(pa.array, parity), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                    [batch.column(0).slice(a, n), pa.array(sizes), pa.array(set_ids(sets)), *map(pa.array, parity), pa.array(long, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                     names=names,
                 )
         parts = [sketch[i : i + SKETCH_PART] for i in range(0, len(sketch), SKETCH_PART)]
         n = len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), *(pa.nulls(n, pa.int64()) for _ in range(PARITY + 1)), pa.array(range(n), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), *(pa.nulls(n, pa.int64()) for _ in range(PARITY + 1)), pa.nulls(n, pa.binary()), pa.array(range(n), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
             names=names,
         )
 
@@ -259,6 +267,33 @@ def _may_link(threshold: Threshold, a: str, b: str) -> Column:
     return sizes & (flipped * (threshold.of + threshold.at_least) <= (na + nb) * (threshold.of - threshold.at_least))
 
 
+def _still_close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs of long sets whose finer parity sketches also allow a link, and all others.
+
+    Sketches are about fifty times smaller than the texts.  The larger one is folded to the
+    smaller one's size, halves exclusively or-ed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            columns = (batch.column(i).to_pylist() for i in range(2, 6))
+            for i, (na, nb, a, b) in enumerate(zip(*columns)):
+                if a is not None and b is not None:
+                    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+                    while len(y) > len(x):
+                        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                    if int(np.bitwise_count(x ^ y).sum()) > threshold.apart(na + nb):
+                        continue
+                good.append(i)
+            yield batch.take(pa.array(good, pa.int64())).select(["a", "b"])
+
+    own = sets.select("sid", "n", "parity")
+    left = own.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    right = own.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshold) -> DataFrame:
     """The (a, b) pairs of set ids that really link."""
 
@@ -311,19 +346,23 @@ def jaccard_join(
     digest = stored(_digest(df, id_col, text_col, width, threshold), "sets")
     members = digest.where("part is null").drop("part", "counts")
     sketch = _sketch(digest.where("part is not null"))
-    sets = members.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"p{i}").alias(f"p{i}") for i in range(PARITY)))
+    sets = members.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), *(F.first(f"p{i}").alias(f"p{i}") for i in range(PARITY)))
     shared = stored(_shared_keys(_postings(df, text_col, width, threshold, sketch)), "keys").distinct()
+    release(df.sparkSession)
     sets = stored(sets.join(shared.select("sid").distinct(), "sid", "left_semi"), "classes")
     texts = stored(_candidate_texts(df, sets.select("doc_id"), id_col, text_col, width), "texts")
 
+    release(df.sparkSession)
+
     lead = shared.groupBy("key").agg(F.min("sid").alias("a"))
     star = shared.join(lead, "key").where("sid <> a").select("a", F.col("sid").alias("b")).distinct()
-    first = _limited(star, sets, threshold)
+    first = stored(_still_close(_limited(star, sets, threshold), sets, threshold).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     links = stored(_verified(first, texts, width, threshold), "first")
+    release(df.sparkSession)
     found = stored(components(links), "parts")
 
     labels = sets.join(found, F.col("sid") == F.col("node"), "left").select(sets["*"], F.coalesce("component", "sid").alias("component"))
-    known = shared.join(labels, "sid")
+    known = shared.join(labels.drop("parity"), "sid")
     # Only keys that still hold more than one component.
     open_keys = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     left = stored(known.join(open_keys, "key", "left_semi"), "open")
@@ -335,6 +374,7 @@ def jaccard_join(
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
+    rest = stored(_still_close(rest, sets, threshold), "rest")
     more = stored(_verified(rest, texts, width, threshold), "second")
     final = components(links.union(more)).join(members.select("sid", "doc_id"), F.col("node") == F.col("sid"))
     smallest = final.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -350,7 +390,5 @@ def jaccard_join(
 def _limited(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Pairs whose sizes and sketches allow a link."""
     x, y = sets.alias("x"), sets.alias("y")
-    return stored(
-        pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid")).where(_may_link(threshold, "x", "y")).select("a", "b"),
-        "pairs",
-    )
+    both = pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid"))
+    return both.where(_may_link(threshold, "x", "y")).select("a", "b")

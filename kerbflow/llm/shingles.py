@@ -41,16 +41,18 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     bounds = words.offsets.to_numpy().astype(np.int64)
     coded = words.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    real = np.array([bool(w) for w in coded.dictionary.to_pylist()], dtype=bool)
+    distinct = coded.dictionary
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_pylist()), np.uint64, len(distinct))
+    real = pc.binary_length(distinct).to_numpy(zero_copy_only=False) > 0
     index = coded.indices.to_numpy()
     keep = real[index] if len(index) else np.empty(0, bool)
     ends = np.concatenate([[0], np.cumsum(keep)])[bounds - bounds[0]]
     seq = hashed[index[keep]]
     n = len(seq)
     whole = np.zeros(max(0, n - width + 1), dtype=np.uint64)
-    for i in range(width):
-        whole = mixed(whole + seq[i : n - width + 1 + i] + np.uint64(i + 1))
+    for i, factor in enumerate(mixed(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)):
+        whole += seq[i : i + len(whole)] * factor
+    whole = mixed(whole)
     sets = []
     for a, b in zip(ends, ends[1:]):
         if b - a >= width:
