@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
 OUTPUTS = ("piece", "start", "length", "ids")
-SLICE_BYTES = 8_000_000  # text worked on at once in a task
-CACHE_ENTRIES = 1_200_000  # chunks a worker remembers
+SLICE_BYTES = 4_000_000  # text worked on at once in a task
+CACHE_ENTRIES = 300_000  # chunks a worker remembers
 # Latin-1 letters, which are their own normal form, and then a run of punctuation.
 PLAIN_CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 

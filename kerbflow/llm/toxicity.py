@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 OUTPUTS = ("score", "predicted")
 SLOTS = 1 << 18
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 EDGES = "\"'.,;:!?()[]{}<>*_-"
 
 
