@@ -148,8 +148,16 @@ def nearest_neighbours(
 
     total = entries.count()
     sampled = entries.orderBy(F.xxhash64(F.lit(seed), "a"), "entry").limit(sample_rows).select("v").toArrow()
-    index = fit_index(_matrix(sampled["v"], dim), total, k, recall, seed)
+    sample = _matrix(sampled["v"], dim)
+    index = fit_index(sample, total, k, recall, seed)
     held = df.sparkSession.sparkContext.broadcast(index)
+    known = df.sparkSession.sparkContext.broadcast((sample, index.cells(sample) if len(sample) else np.empty(0, np.int64)))
+
+    def bound(scores: np.ndarray, cells: np.ndarray, visited: list[int]) -> float:
+        """What the k-th nearest found reaches at least: the sample's vectors in the visited
+        cells will be found too."""
+        met = scores[np.isin(cells, visited)]
+        return float(np.partition(met, -keep)[-keep]) - 1e-9 if len(met) >= keep else -np.inf
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -169,20 +177,25 @@ def nearest_neighbours(
         n_of, parts_of = sizes.value
         for b in batches:
             rows, cells, pieces = [], [], []
-            for i, q in enumerate(_matrix(b.column(1), dim)):
-                for cell in held.value.visit(q, n_of, wanted):
+            queries = _matrix(b.column(1), dim)
+            rows_known, cells_known = known.value
+            least = []
+            for i, q in enumerate(queries):
+                visited = held.value.visit(q, n_of, wanted)
+                least.append(bound(rows_known @ q, cells_known, visited))
+                for cell in visited:
                     for piece in range(parts_of[cell]):
                         rows.append(i)
                         cells.append(cell)
                         pieces.append(piece)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(1).take(at), pa.array(cells, pa.int32()), pa.array(pieces, pa.int32())],
-                names=["query", "v", "cell", "part"],
+                [b.column(0).take(at), b.column(1).take(at), pa.array(least, pa.float64()).take(at), pa.array(cells, pa.int32()), pa.array(pieces, pa.int32())],
+                names=["query", "v", "least", "cell", "part"],
             )
 
     vectors = asked.select("query").distinct().join(placed.select(F.col("entry").alias("query"), "v"), "query")
-    probes = vectors.select("query", "v").mapInArrow(probe, f"query long, v {vector}, cell int, part int")
+    probes = vectors.select("query", "v").mapInArrow(probe, f"query long, v {vector}, least double, cell int, part int")
 
     def rerank(own: pa.Table, asking: pa.Table) -> pa.Table:
         empty = {"query": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
@@ -191,7 +204,7 @@ def nearest_neighbours(
         # One fixed order of entries, so that ties at the cut go to the smaller id.
         own = own.sort_by("entry")
         ids, rows, queries = own["entry"].to_numpy(), _matrix(own["v"], dim), _matrix(asking["v"], dim)
-        names = asking["query"].to_numpy()
+        names, least = asking["query"].to_numpy(), asking["least"].to_numpy()
         out = []
         for at in range(0, len(queries), 512):
             some = queries[at : at + 512]
@@ -201,7 +214,9 @@ def nearest_neighbours(
             exact = np.einsum("ij,ij->i", some[which], rows[best.ravel()]).reshape(best.shape)
             top = np.take_along_axis(best, np.lexsort((ids[best], -exact), axis=1)[:, :keep], axis=1)
             which = np.repeat(np.arange(len(some)), top.shape[1])
-            out.append((names[at : at + 512][which], ids[top.ravel()], np.einsum("ij,ij->i", some[which], rows[top.ravel()])))
+            score = np.einsum("ij,ij->i", some[which], rows[top.ravel()])
+            good = score >= least[at : at + 512][which]
+            out.append((names[at : at + 512][which][good], ids[top.ravel()][good], score[good]))
         q, e, s = (np.concatenate(x) for x in zip(*out))
         return pa.table({"query": pa.array(q), "entry": pa.array(e), "score": pa.array(s)})
 
