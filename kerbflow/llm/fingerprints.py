@@ -8,6 +8,7 @@ and once for each of several randomised subsets of the lexicon.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,73 +19,90 @@ from kerbflow.llm.common import n_bytes, stored
 
 OUTPUTS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 SLOT_BITS = 18
-TERM_BREAK = r"[^\p{L}\p{N}]+"
+BREAKS = ("\n", "\r", "\t", ",", ".")  # end terms, as the space does
 BITMAP_BITS = 32_768  # of Spark's bitmap functions
 EMPTY_HASH = 42  # xxhash64 of an empty array
 BUCKET_BYTES = 32_000_000
-# A subset keeps a term with a chance of one in so many; the first is the whole band.  The
-# finer ones have several draws, as each tells only of texts with about as many terms.
-DRAWS = (1, 2, *(n for n in (4, 8, 16, 32, 64, 128, 256, 512, 1024) for _ in range(3)))
-# Subset j keeps the terms whose hash has none of these bits.
-MASKS = tuple((n - 1) << (7 * j % 53) for j, n in enumerate(DRAWS))
+# A subset keeps a term with a chance of one in so many.  There are three series of
+# subsets, each drawn by bits of the term's hash of its own; the finer ones of a series lie
+# within its coarser ones, so each is found among few terms.  The fine ones tell only of
+# texts with about as many terms.
+SERIES = tuple(tuple(2**k for k in range(first, 11)) for first in (1, 2, 2))
+SERIES_BITS = 20
+SUBSETS = 1 + sum(map(len, SERIES))
 
 
 def terms(text: Column) -> Column:
-    """Distinct lower-case runs of letters and digits."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), TERM_BREAK)), "")
+    """Distinct lower-case runs of anything but space and ``BREAKS``.
+
+    The text is split at one plain character, which Spark does several times faster than
+    at a pattern.
+    """
+    spaced = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), BREAKS, F.lower(text))
+    return F.array_remove(F.array_distinct(F.split(spaced, " ")), "")
 
 
-def _slot(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(1 << SLOT_BITS))
+def _slot(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
 
 
-def lexicon(df: DataFrame, text_col: str = "text", low: float = 2.0, high: float = 9.0) -> bytes:
-    """One byte per slot, ``1`` where ln(documents / documents with the slot) is in the band.
+def lexicon(df: DataFrame, text_col: str = "text", low: float = 2.0, high: float = 9.0) -> list[int]:
+    """One bit per slot, in words of 64, set where ln(documents / documents with the slot)
+    is in the band.
 
     Documents are counted over the whole table, with partial counts before the shuffle; the
     driver gets a bitmap of 2**SLOT_BITS bits, whatever the table's size.
     """
     total = df.count()
-    slots = df.select(F.explode(F.array_distinct(F.transform(terms(F.col(text_col)), _slot))).alias("slot"))
+    slots = df.select(F.explode(F.array_distinct(F.transform(terms(F.col(text_col)), lambda t: _slot(F.xxhash64(t))))).alias("slot"))
     counts = slots.groupBy("slot").agg(F.count("*").alias("n"))
     band = counts.where(F.col("n").between(total * math.exp(-high), total * math.exp(-low))).withColumn("bit", F.col("slot") + 1)
     rows = band.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    out = bytearray(b"0" * (1 << SLOT_BITS))
+    out = bytearray((1 << SLOT_BITS) // 8)
     for part, bits in rows.collect():
-        base = (part - 1) * BITMAP_BITS
-        for i, byte in enumerate(bits):
-            for k in range(8):
-                if byte >> k & 1:
-                    out[base + 8 * i + k] = ord("1")
-    return bytes(out)
+        at = (part - 1) * BITMAP_BITS // 8
+        out[at : at + len(bits)] = bits
+    return [int.from_bytes(out[i : i + 8], "little", signed=True) for i in range(0, len(out), 8)]
 
 
-def with_parts(df: DataFrame, text_col: str, held: bytes, out: str) -> DataFrame:
+def with_parts(df: DataFrame, text_col: str, held: list[int], out: str) -> DataFrame:
     """Add ``out``: one hash per lexicon subset, ``EMPTY_HASH`` where no term is in it.
 
-    A text without terms in the band uses all its terms.  Each step is a column of its own,
-    so that texts are split once.
+    A text without terms in the band uses all its terms.  Terms stand for themselves by a
+    64-bit hash, and that is their order.  Each step is a column of its own, so that texts
+    are split once.
     """
-    lookup = F.lit(bytearray(held))
-    kept = F.filter("_found", lambda t: F.substring(lookup, _slot(t).cast("int") + 1, 1) == F.lit(bytearray(b"1")))
-    used = F.sort_array(F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_found")))
-
-    def part(mask: int) -> Column:
-        return F.xxhash64(F.filter("_hashes", lambda h: h.bitwiseAND(F.lit(mask)) == 0))
-
-    return (
-        df.withColumn("_found", terms(F.col(text_col)))
-        .withColumn("_kept", kept)
-        .withColumn("_hashes", F.transform(used, lambda t: F.xxhash64(t)))
-        .withColumn(out, F.array(*(part(m) for m in MASKS)))
-        .drop("_found", "_kept", "_hashes")
+    words = F.expr(f"array({','.join(f'{w}L' if w > -(2**63) else '-9223372036854775807L - 1L' for w in held)})")
+
+    def in_band(h: Column) -> Column:
+        word = F.element_at(words, (F.shiftright(_slot(h), 6) + 1).cast("int"))
+        return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def drawn(series: int, n: int) -> Callable[[Column], Column]:
+        mask = (n - 1) << (SERIES_BITS * series)
+        return lambda h: h.bitwiseAND(F.lit(mask)) == 0
+
+    step = (
+        df.withColumn("_found", F.sort_array(F.transform(terms(F.col(text_col)), lambda t: F.xxhash64(t))))
+        .withColumn("_kept", F.filter("_found", in_band))
+        .withColumn("_used", F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_found")))
     )
+    found = ["_used"]
+    for depth in range(max(map(len, SERIES))):
+        new = {}
+        for j, draws in enumerate(SERIES):
+            if depth < len(draws):
+                coarser = f"_s{j}_{draws[depth - 1]}" if depth else "_used"
+                new[f"_s{j}_{draws[depth]}"] = F.filter(coarser, drawn(j, draws[depth]))
+        step = step.withColumns(new)
+        found += new
+    return step.withColumn(out, F.array(*(F.xxhash64(c) for c in found))).drop("_found", "_kept", *found)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the subsets in which either text has a term; of two
     texts without terms, 1."""
-    pairs = [(a[j], b[j]) for j in range(len(MASKS))]
+    pairs = [(a[j], b[j]) for j in range(SUBSETS)]
     same = reduce(Column.__add__, (((x == y) & (x != EMPTY_HASH)).cast("int") for x, y in pairs))
     used = reduce(Column.__add__, (((x != EMPTY_HASH) | (y != EMPTY_HASH)).cast("int") for x, y in pairs))
     return F.when(used == 0, F.lit(1.0)).otherwise(same / used)
@@ -118,8 +136,8 @@ def edit_check(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     buckets = max(1, math.ceil((size or 0) / BUCKET_BYTES))
     width = max(1, ((high or 0) - (low or 0)) // buckets + 1)
     bucket = F.coalesce(F.expr(f"(id - ({low or 0}L)) div {width}L"), F.lit(-1).cast("long"))
-    rows = base.withColumn("bucket", bucket).withColumn("tie", F.xxhash64("text")).withColumn("n", F.length("text"))
-    rows = with_parts(rows, "text", held, "own")
+    plain = base.withColumn("bucket", bucket).withColumn("tie", F.xxhash64("text"))
+    rows = with_parts(plain.withColumn("n", F.length("text")), "text", held, "own")
     heads = base.withColumn("bucket", bucket).groupBy("bucket").agg(F.max(F.struct(F.coalesce("id", F.lit(0)).alias("id"), F.bitwise_not(F.xxhash64("text")).alias("tie"))).alias("top"))
     # One row per range: the range after it, in falling order, and round to the first.
     turn = W.orderBy(F.col("bucket").desc())
@@ -133,12 +151,13 @@ def edit_check(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     starts = (
         after.alias("a")
         .join(
-            rows.alias("r"),
+            plain.alias("r"),
             (F.col("a.to_bucket") == F.col("r.bucket")) & (F.col("a.to_id") == F.coalesce("r.id", F.lit(0))) & (F.col("a.to_tie") == F.col("r.tie")),
         )
-        .select("a.bucket", F.col("r.text").alias("start_text"), F.col("r.own").alias("start_own"))
+        .select("a.bucket", F.col("r.text").alias("start_text"))
         .dropDuplicates(["bucket"])
     )
+    starts = with_parts(starts, "start_text", held, "start_own")
     order = W.partitionBy("bucket").orderBy(F.col("id").desc_nulls_last(), "tie")
     with_next = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order))
     filled = with_next.join(starts, "bucket", "left").select(
