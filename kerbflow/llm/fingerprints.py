@@ -72,7 +72,9 @@ def with_parts(df: DataFrame, text_col: str, held: list[int], out: str) -> DataF
     64-bit hash, and that is their order.  Each step is a column of its own, so that texts
     are split once.
     """
-    words = F.expr(f"array({','.join(f'{w}L' if w > -(2**63) else '-9223372036854775807L - 1L' for w in held)})")
+    # One literal of text, which Spark folds into an array: thousands of literals would
+    # slow down each step of planning.
+    words = F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>")
 
     def in_band(h: Column) -> Column:
         word = F.element_at(words, (F.shiftright(_slot(h), 6) + 1).cast("int"))
