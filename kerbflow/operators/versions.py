@@ -44,16 +44,22 @@ def upsert(
 ) -> DataFrame:
     """Rows of ``current`` replaced or extended by ``incoming``, one row per key.
 
-    Incoming rows win over current rows; ``newest_first`` settles several incoming rows
-    with one key.
+    Incoming rows win over current rows; ``newest_first`` and then the remaining columns
+    settle several incoming rows with one key, so task order never does.
     """
     tagged = current.withColumn("_incoming", F.lit(0)).unionByName(
         incoming.withColumn("_incoming", F.lit(1))
     )
-    merged = latest_per_key(tagged, keys, [F.col("_incoming").desc(), *newest_first])
+    order = [F.col("_incoming").desc(), *newest_first, *remaining_columns(incoming, keys)]
+    merged = latest_per_key(tagged, keys, order)
     return merged.drop("_incoming")
 
 
+def remaining_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """An order by every column but the keys, to break ties."""
+    return [F.col(c).desc() for c in df.columns if c not in keys]
+
+
 def seed_if_absent(current: DataFrame, defaults: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``current`` plus the default rows whose key it lacks."""
     missing = defaults.join(current.select(*keys).distinct(), list(keys), "left_anti")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.functions import times
-from kerbflow.operators import counters, scans
+from kerbflow.operators import counters, scans, versions
 from kerbflow.operators.grids import Grid
 from kerbflow.operators.sequences import fitting_slice
 from kerbflow.plans import capacity, energy, parking, traffic, warehouse
@@ -46,11 +46,12 @@ def run_window(
 ) -> RunWindow:
     """Window from the last mark to now.
 
-    With ``max_lag_us`` a mark older than that is pulled forward.  Fixed bounds or a single
-    key make the run partial.
+    With ``max_lag_us`` a run covers at most so much time after the mark, so a backlog is
+    worked off in several runs and no row is skipped.  Fixed bounds or a single key make
+    the run partial.
     """
-    if max_lag_us is not None and mark_us + max_lag_us < now_us:
-        mark_us = now_us - max_lag_us
+    if max_lag_us is not None:
+        now_us = min(now_us, mark_us + max_lag_us)
     partial = only_key or start_us is not None or until_us is not None
     return RunWindow(
         mark_us if start_us is None else start_us,
@@ -72,7 +73,8 @@ def energy_grid(mark_us: int, until_us: int) -> Grid:
 
 
 def parking_grid(mark_us: int, until_us: int, buckets_back: int = 1) -> Grid:
-    """Grid from the last bucket start strictly before the mark (moved back for late rows)."""
+    """Grid from the last bucket start before the mark (moved back for late rows); a mark on
+    the hour starts the grid itself."""
     from_us = mark_us - buckets_back * times.BUCKET_US
     start = from_us - from_us % times.HOUR_US
     for _ in range(3):
@@ -103,8 +105,8 @@ class Jobs:
     """The four jobs over one store.
 
     The current time is always passed in, so a run can be repeated with the same result.
-    ``only`` restricts a run to one node (traffic) or site (parking, energy); use a partial
-    window with it.
+    ``only`` restricts a run to one node (traffic) or site (parking, energy); such a run
+    never moves the mark and never writes a grain wider than its key.
     """
 
     def __init__(self, store: TableStore, shared_parameters: str = "warehouse"):
@@ -131,7 +133,7 @@ class Jobs:
         until_us: int | None = None,
         only_key: bool = False,
     ) -> RunWindow:
-        """The next window of a job; the stored lag limit caps how far back it goes."""
+        """The next window of a job; the stored lag limit caps how much time it covers."""
         limit = self.control.get(self.shared_parameters, LAG_LIMIT_KEY)
         max_lag_us = None if limit == "na" else int(limit) * times.MINUTE_US
         mark_us = self.mark(job, now_us)
@@ -184,21 +186,27 @@ class Jobs:
         only: str | None = None,
     ) -> None:
         start = traffic_start(window.from_us, daily)
-        status = self._input("traffic_status", "time", start, window.until_us)
+        # The bucket before is read too, for transitions that began in it.
+        status = self._input("traffic_status", "time", start, window.until_us, times.BUCKET_US)
         if only is not None:
+            window = replace(window, partial=True)
             status = status.filter(F.col("nodeid") == only)
         with self._scratch() as written:
             slice_us = fitting_slice(status, ["nodeid"], "time", widest_us=times.BUCKET_US)
-            facts = written(traffic.traffic_facts(status, slice_us), "traffic-facts")
+            facts = traffic.traffic_facts(status, slice_us).filter(F.col("eventtime") >= start)
+            facts = written(facts, "traffic-facts")
             if keep_facts:
                 self.store.append("job_traffic_events", with_day(facts), by=[DAY])
             grains = ("15min", "1hr", "1day") if daily else ("15min", "1hr")
             for by_event, table in ((True, "aggregation_traffic_events"), (False, "aggregation_traffic_events_site")):
+                if only is not None and not by_event:
+                    continue  # one node's facts are not the site's
                 keys = ["siteid", *(["eventid"] if by_event else []), "type", "objectclass"]
                 self.store.upsert(
                     table,
                     traffic.rollup_all(facts, by_event, grains),
-                    [*keys, "aggregation_type", "starttime"],
+                    # The period's own end: its first bucket with rows may still change.
+                    [*keys, "aggregation_type", "endtime"],
                     days=day_span(start, window.until_us),
                 )
             self.move_mark("traffic", window)
@@ -216,6 +224,7 @@ class Jobs:
         )
         settings = self.store.read("device_energy_settings", schema_of("device_energy_settings"))
         if only is not None:
+            window = replace(window, partial=True)
             settings = settings.filter(F.col("siteid") == only)
             samples = scans.only_keys(samples, "nodeid", settings)
         with self._scratch() as written:
@@ -249,6 +258,7 @@ class Jobs:
         spots = self.store.read_input("parking_spot_current", schema_of("parking_spot_current"))
         areas = self.store.read_input("parking_zone_status", schema_of("parking_zone_status"))
         if only is not None:
+            window = replace(window, partial=True)
             areas = areas.filter(F.col("siteid") == only)
         with self._scratch() as written:
             zones = written(capacity.zone_capacity(areas, spots), "zone-capacity")
@@ -257,8 +267,12 @@ class Jobs:
                 schema_of("aggregation_parking_status").add(DAY, "string"),
             )
             before = grid.start_us - grid.width_us
-            prior = states.filter(
-                (F.col(DAY) == day_span(before, before)[0]) & (F.col("starttime") == before)
+            # The last known state of each spot, also where runs left a gap before the grid.
+            earlier = states.filter(
+                (F.col(DAY) <= day_span(before, before)[0]) & (F.col("starttime") <= before)
+            )
+            prior = versions.latest_per_key(
+                earlier, ["parkingspotid"], [F.col("starttime").desc(), F.col("occupancy").desc()]
             )
             bridge = self.store.read("parking_zone_group", schema_of("parking_zone_group"))
             slices = parking.slices_for(fitting_slice(events, ["parkingspotid"], "since"))

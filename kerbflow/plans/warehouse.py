@@ -58,7 +58,7 @@ FACT_TABLES = {
         ),
         FactTable(
             "aggregation_traffic_events",
-            ("siteid", "eventid", "aggregation_type", "type", "objectclass", "starttime"),
+            ("siteid", "eventid", "aggregation_type", "type", "objectclass", "endtime"),
             "starttime",
             overlap_us=times.HOUR_US,
             local=True,
@@ -148,13 +148,16 @@ def refresh_warehouse(
 ) -> DataFrame:
     """Append a staged batch, then rewrite the warehouse days it touched.
 
-    Every rewritten day is rebuilt from all of its staged rows, so replaying a batch
-    changes nothing.  ``days`` restricts the rewrite; staging keeps the rest for later.
+    Every rewritten day is settled from its staged rows and the rows it already holds, so
+    replaying a batch changes nothing and days whose staging was retired lose nothing.
+    ``days`` restricts the rewrite; staging keeps the rest for later.
     """
     staging = STAGING_PREFIX + table.name
     store.append(staging, batch, by=[DAY])
     # Read with the batch's schema, so that the day column is not inferred as a date.
     staged = store.read(staging, batch.schema)
+    if store.exists(WAREHOUSE_PREFIX + table.name):
+        staged = staged.unionByName(store.read(WAREHOUSE_PREFIX + table.name, batch.schema))
     if days is None:
         touched = batch.select(DAY).distinct()
         recent = staged.join(touched, DAY, "left_semi")

@@ -111,7 +111,7 @@ class TableStore:
                 current = stored.filter(F.col(day).between(*days))
             df = versions.upsert(current, df, keys, newest_first)
         else:
-            df = versions.latest_per_key(df, keys, list(newest_first) or [F.lit(1)])
+            df = versions.latest_per_key(df, keys, [*newest_first, *versions.remaining_columns(df, keys)] or [F.lit(1)])
         return self.overwrite_days(name, df, day)
 
     def drop_days_before(self, name: str, first_kept: str, day: str = DAY) -> list[str]:

@@ -22,7 +22,9 @@ def put(store, name, data):
 
 def test_run_window():
     assert runs.run_window(10, 100) == runs.RunWindow(10, 100)
-    assert runs.run_window(10, 100, max_lag_us=30) == runs.RunWindow(70, 100)
+    # A backlog is worked off from the mark on, in pieces that touch.
+    assert runs.run_window(10, 100, max_lag_us=50) == runs.RunWindow(10, 60)
+    assert runs.run_window(60, 100, max_lag_us=50) == runs.RunWindow(60, 100)
     assert runs.run_window(80, 100, max_lag_us=30) == runs.RunWindow(80, 100)
     assert runs.run_window(10, 100, start_us=50).partial
     assert runs.run_window(10, 100, only_key=True).partial
@@ -57,7 +59,7 @@ def test_traffic_run(traffic_store):
     assert jobs.mark("traffic", 0) == T0 + HOUR_US
     assert jobs.window("traffic", T0 + 9 * HOUR_US) == runs.RunWindow(T0 + HOUR_US, T0 + 9 * HOUR_US)
     jobs.control.put(jobs.shared_parameters, runs.LAG_LIMIT_KEY, "120", stamp=1)
-    assert jobs.window("traffic", T0 + 9 * HOUR_US).from_us == T0 + 7 * HOUR_US
+    assert jobs.window("traffic", T0 + 9 * HOUR_US) == runs.RunWindow(T0 + HOUR_US, T0 + 3 * HOUR_US)
     before = rows(by_event)
     jobs.traffic(runs.RunWindow(T0, T0 + HOUR_US, partial=True), daily=True)
     again = traffic_store.read("aggregation_traffic_events")
@@ -77,6 +79,56 @@ def test_partial_run_keeps_the_mark(traffic_store):
     assert traffic_store.read("aggregation_traffic_events").count() == 6
 
 
+def status_row(node, us, event):
+    car = json.dumps({"detected_objects": [{"class": "car", "detectedobjectid": 1, "velocity": {"x": 3, "y": 4}}]})
+    return (node, us, None, None, None, car, event, "Enter", "o", "s", None, "d", None)
+
+
+def test_two_hourly_runs_equal_one(store):
+    put(store, "traffic_status", [status_row("n", T0 + HOUR_US + s * SECOND_US, e) for s, e in ((-10, "a"), (5, "b"))])
+    jobs = runs.Jobs(store)
+    jobs.traffic(runs.RunWindow(T0, T0 + HOUR_US))
+    jobs.traffic(runs.RunWindow(T0 + HOUR_US, T0 + 2 * HOUR_US))
+    parts = rows(store.read("aggregation_traffic_events"))
+    jobs.traffic(runs.RunWindow(T0, T0 + 2 * HOUR_US))
+    assert rows(store.read("aggregation_traffic_events")) == parts
+    assert store.read("aggregation_traffic_events").filter("type = 'COMBO'").count() == 2
+
+
+def test_late_earlier_bucket_replaces_the_hour(store):
+    put(store, "traffic_status", [status_row("n", T0 + 2 * BUCKET_US, "a")])
+    jobs = runs.Jobs(store)
+    jobs.traffic(runs.RunWindow(T0, T0 + HOUR_US))
+    put(store, "traffic_status", [status_row("n", T0 + i * BUCKET_US, "a") for i in (0, 2)])
+    jobs.traffic(runs.RunWindow(T0, T0 + HOUR_US))
+    hour = store.read("aggregation_traffic_events_site").filter("aggregation_type = '1hr'")
+    assert rows(hour, "starttime", "eventcnt") == [(T0, 2)]
+
+
+def test_single_node_run_leaves_mark_and_site(store):
+    put(store, "traffic_status", [status_row(n, T0, "a") for n in ("m", "n", "o")])
+    jobs = runs.Jobs(store)
+    jobs.traffic(runs.RunWindow(T0, T0 + HOUR_US))
+    jobs.traffic(runs.RunWindow(T0, T0 + 2 * HOUR_US), only="n")
+    assert jobs.mark("traffic", 0) == T0 + HOUR_US
+    site = store.read("aggregation_traffic_events_site").filter("aggregation_type = '1hr'")
+    assert rows(site, "eventcnt") == [(3,)]
+
+
+def test_refresh_keeps_rows_whose_staging_is_retired(store):
+    jobs = runs.Jobs(store)
+    window = runs.RunWindow(T0, T0 + HOUR_US)
+
+    def batch(*minutes):
+        data = [status_row("n", T0 + m * 60 * SECOND_US, "a") for m in minutes]
+        return store.spark.createDataFrame(data, schema_of("traffic_status"))
+
+    jobs.refresh("traffic_status", batch(1, 2), window, run_s=1)
+    assert jobs.retire_staging("traffic_status", "2024-01-09") == ["2024-01-01"]
+    merged = jobs.refresh("traffic_status", batch(2, 3), window, run_s=2)
+    assert rows(merged.withColumn("m", F.expr(f"(time - {T0}) div 60000000")), "m", "ts") == [(1, 1), (2, 2), (3, 2)]
+
+
 def test_energy_run(store):
     put(
         store,
@@ -131,13 +183,13 @@ def test_parking_state_is_carried_to_the_next_run(store):
     assert got[4] == (0, 0) and got[5] == (BUCKET_US, 1)
     grid = runs.parking_grid(T0 + 9 * BUCKET_US, T0 + 12 * BUCKET_US)
     assert grid.start_us == T0 + 8 * BUCKET_US
-    # The state before that grid was never written, so the spot is unknown to the run.
-    assert max(got) == 5
+    # No run wrote the bucket before that grid; the last known state holds.
+    assert {b: got[b] for b in got if b > 5} == {b: (BUCKET_US, 0) for b in range(8, 12)}
     jobs.parking(runs.RunWindow(T0 + 8 * BUCKET_US, T0 + 10 * BUCKET_US), buckets_back=1)
     spot = store.read("aggregation_parking_spot").filter("parkingspotid = 'p'")
     assert rows(spot.filter(F.col("starttime") >= T0 + 6 * BUCKET_US), "occduration", "turnovers") == [
         (BUCKET_US, 0)
-    ] * 4
+    ] * 6
     zone = store.read("aggregation_parking_zone").filter(F.col("starttime") == T0 + 6 * BUCKET_US)
     assert rows(zone, "zoneid", "groupid", "occpercent", "capacity") == [("z", "g1", 50.0, 2)]
     states = store.read("aggregation_parking_status")
