@@ -19,10 +19,19 @@ from kerbflow.llm.queries import SEQUENCE_TOKENS, tokenizer_path
 from kerbflow.llm.repeats import remove_repeats
 from kerbflow.llm.tokens import token_pieces
 from kerbflow.llm.toxicity import score_toxicity, train
+from kerbflow.session import prepare
+
+# Rows that go to a Python worker at once.  Texts are long; Spark's own 10,000 would hold
+# tens of megabytes of them in each copy.
+BATCH_ROWS = "2000"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model trained on the labelled ones does not call toxic."""
+    """Documents that the model trained on the labelled ones does not call toxic.
+
+    As the first stage it also puts the runtime settings on the session, for all stages.
+    """
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     model = train(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).where("predicted = 0").select(docs.columns)
 
