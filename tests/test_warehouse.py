@@ -103,7 +103,7 @@ def test_refresh_span():
 def test_fact_keys_are_complete(spark):
     row = spark.createDataFrame(
         [("s", "e", "15min", t, c, 1) for t in ("Enter", "Leave") for c in ("car", "bike")],
-        "siteid string, eventid string, aggregation_type string, type string, objectclass string, starttime bigint",
+        "siteid string, eventid string, aggregation_type string, type string, objectclass string, endtime bigint",
     ).withColumn("ts", F.lit(1))
     keys = warehouse.FACT_TABLES["aggregation_traffic_events"].keys
     assert warehouse.latest_version(row, keys).count() == 4
