@@ -22,6 +22,9 @@ RUNTIME_CONF = {
     # Percentile sketches live in the object hash aggregate, outside managed memory: enough
     # groups per task to avoid needless sorting, few enough for full sketches to fit.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
+    # Rows that go to a Python worker at once, by size: a join can put a long text on every
+    # row, and both sides hold copies of a batch.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
