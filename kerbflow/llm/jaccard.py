@@ -9,8 +9,9 @@ units.  Each set spends its units where keys are rare, by a sketch of all keys'
 fixed size; a wrong estimate costs time, never a link.
 
 Copies (equal sets) are one node from the start.  Each set is first compared with one
-candidate only; what that links need not be compared again, so the second and
-complete comparison meets only pairs whose components still differ.
+candidate only, the set that the most others share segments with, which in a group of
+edited copies is the original; what that links need not be compared again, so the second
+and complete comparison meets only pairs whose components still differ.
 """
 
 from __future__ import annotations
@@ -206,13 +207,15 @@ def _postings(df: DataFrame, text_col: str, width: int, threshold: Threshold, sk
                 yield shorter[twice[seg]], PROBES, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # sets this task has posted: copies add nothing
         for batch in batches:
             texts = batch.column(0).cast(pa.string())
             for a, b in row_slices(texts):
                 sets = shingle_sets(texts.slice(a, b - a), width)
                 keys, sids, roles = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)]
-                for s, sid in zip(sets, set_ids(sets)):
-                    if len(s):
+                for s, sid in zip(sets, set_ids(sets).tolist()):
+                    if len(s) and sid not in seen:
+                        seen.add(sid)
                         for k, role, each in of_set(s, held.value):
                             keys.append(k)
                             sids.append(np.full(len(k), sid))
@@ -259,16 +262,22 @@ def _shared_keys(postings: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key long, sid long, role byte")
 
 
+def _flipped(a: str, b: str) -> Column:
+    """Unlike bits of two parity sketches."""
+    return sum((F.bit_count(F.col(f"{a}.p{i}").bitwiseXOR(F.col(f"{b}.p{i}"))) for i in range(PARITY)), F.lit(0))
+
+
 def _may_link(threshold: Threshold, a: str, b: str) -> Column:
     """Sizes and parity sketches allow a link: each differing shingle flips one parity bit."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    flipped = sum((F.bit_count(F.col(f"{a}.p{i}").bitwiseXOR(F.col(f"{b}.p{i}"))) for i in range(PARITY)), F.lit(0))
+    flipped = _flipped(a, b)
     sizes = F.least(na, nb) * threshold.of >= F.greatest(na, nb) * threshold.at_least
     return sizes & (flipped * (threshold.of + threshold.at_least) <= (na + nb) * (threshold.of - threshold.at_least))
 
 
 def _still_close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs of long sets whose finer parity sketches also allow a link, and all others.
+    """Pairs (a, b, unlike) of long sets whose finer parity sketches also allow a link, and
+    all others; ``unlike`` counts the unlike bits.
 
     Sketches are about fifty times smaller than the texts.  The larger one is folded to the
     smaller one's size, halves exclusively or-ed.
@@ -276,22 +285,25 @@ def _still_close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            columns = (batch.column(i).to_pylist() for i in range(2, 6))
-            for i, (na, nb, a, b) in enumerate(zip(*columns)):
+            good, bits = [], []
+            columns = (batch.column(i).to_pylist() for i in range(2, 7))
+            for i, (na, nb, a, b, unlike) in enumerate(zip(*columns)):
                 if a is not None and b is not None:
                     x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
                     while len(y) > len(x):
                         y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-                    if int(np.bitwise_count(x ^ y).sum()) > threshold.apart(na + nb):
+                    unlike = int(np.bitwise_count(x ^ y).sum())
+                    if unlike > threshold.apart(na + nb):
                         continue
                 good.append(i)
-            yield batch.take(pa.array(good, pa.int64())).select(["a", "b"])
+                bits.append(unlike)
+            ids = batch.take(pa.array(good, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids.column(0), ids.column(1), pa.array(bits, pa.int32())], names=["a", "b", "unlike"])
 
     own = sets.select("sid", "n", "parity")
     left = own.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     right = own.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb", "unlike").mapInArrow(run, "a long, b long, unlike int")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshold) -> DataFrame:
@@ -354,9 +366,9 @@ def jaccard_join(
 
     release(df.sparkSession)
 
-    lead = shared.groupBy("key").agg(F.min("sid").alias("a"))
-    star = shared.join(lead, "key").where("sid <> a").select("a", F.col("sid").alias("b")).distinct()
-    first = stored(_still_close(_limited(star, sets, threshold), sets, threshold).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+    star = _leads(shared).where("sid <> a").select("a", F.col("sid").alias("b")).distinct()
+    close = _still_close(_limited(star, sets, threshold), sets, threshold)
+    first = stored(close.groupBy("b").agg(F.min_by("a", "unlike").alias("a")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = stored(_verified(first, texts, width, threshold), "first")
     release(df.sparkSession)
     found = stored(components(links), "parts")
@@ -370,11 +382,11 @@ def jaccard_join(
     rest = (
         probing.alias("x")
         .join(indexed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _may_link(threshold, "x", "y"))
-        .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
+        .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"), _flipped("x", "y").alias("unlike"))
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    rest = stored(_still_close(rest, sets, threshold), "rest")
+    rest = stored(_still_close(rest, sets, threshold).drop("unlike"), "rest")
     more = stored(_verified(rest, texts, width, threshold), "second")
     final = components(links.union(more)).join(members.select("sid", "doc_id"), F.col("node") == F.col("sid"))
     smallest = final.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -387,8 +399,18 @@ def jaccard_join(
     )
 
 
+def _leads(shared: DataFrame) -> DataFrame:
+    """(sid, a) for each posting: ``a`` is the set of its key that has the most company, by
+    the posting counts of all its keys."""
+    company = shared.join(shared.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("sid").agg(F.sum("c").alias("c"))
+    # Ties go by the set's own hash.
+    order = F.shiftleft("c", 20).bitwiseOR(F.col("sid").bitwiseAND(F.lit((1 << 20) - 1)))
+    lead = shared.join(company.select("sid", order.alias("o")), "sid").groupBy("key").agg(F.max_by("sid", "o").alias("a"))
+    return shared.select("key", "sid").join(lead, "key")
+
+
 def _limited(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs whose sizes and sketches allow a link."""
+    """Pairs whose sizes and sketches allow a link, with their count of unlike bits."""
     x, y = sets.alias("x"), sets.alias("y")
     both = pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid"))
-    return both.where(_may_link(threshold, "x", "y")).select("a", "b")
+    return both.where(_may_link(threshold, "x", "y")).select("a", "b", _flipped("x", "y").alias("unlike"))
