@@ -34,6 +34,7 @@ SKETCH_BITS = 20
 SKETCH_PART = 1 << 14  # counters in one row of the sketch
 PARITY = 8  # 64-bit words of the parity sketch of every set
 LONG_SET = 1000  # larger sets also have a parity sketch of a bit or two per shingle
+FILTER_BITS = 25  # of the filter for candidates' ids: 4 MB
 BAND_GROWTH = 1.5
 DOUBLE_SHARE = 16  # one segment in so many may get two units
 INDEXED, PROBES = 1, 2
@@ -329,18 +330,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Thresho
     return with_a.select("a", "b", "text_b", "text_a").mapInArrow(run, "a long, b long")
 
 
-def _candidate_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(sid, text): one text for each set among the rows of the given ids."""
+def _slot(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(1 << FILTER_BITS)).alias("slot")
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """Bit of every id's slot: ``2**FILTER_BITS`` bits, whatever the number of ids."""
+    word = F.shiftright("slot", 6).alias("word")
+    found = ids.select(_slot("doc_id")).groupBy(word).agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow()
+    words = np.zeros((1 << FILTER_BITS) // 64, dtype="<i8")
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words.view(np.uint8)
+
+
+def _candidate_texts(df: DataFrame, sets: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(sid, text): one text for each of the sets, that of their ``doc_id``.
+
+    Most other rows stop at a filter of fixed size before the join, so they are not
+    shuffled; the join decides.
+    """
+    held = df.sparkSession.sparkContext.broadcast(_id_filter(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).cast(pa.string())
+            slot = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((held.value[slot >> 3] >> (slot & 7)) & 1 == 1))
+            texts = batch.column(1).cast(pa.string())
             for a, b in row_slices(texts):
                 part = texts.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([pa.array(set_ids(shingle_sets(part, width))), part], names=["sid", "text"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(set_ids(shingle_sets(part, width))), part], names=["doc_id", "sid", "text"])
 
-    found = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_t")).join(ids, "doc_id", "left_semi")
-    return found.select("_t").mapInArrow(run, "sid long, text string").dropDuplicates(["sid"])
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_t")).select("doc_id", "_t", _slot("doc_id"))
+    found = rows.mapInArrow(run, "doc_id long, sid long, text string").join(sets.select("doc_id", "sid"), ["doc_id", "sid"], "left_semi")
+    return found.dropDuplicates(["doc_id", "sid"]).select("sid", "text")
 
 
 def jaccard_join(
@@ -362,7 +384,7 @@ def jaccard_join(
     shared = stored(_shared_keys(_postings(df, text_col, width, threshold, sketch)), "keys").distinct()
     release(df.sparkSession)
     sets = stored(sets.join(shared.select("sid").distinct(), "sid", "left_semi"), "classes")
-    texts = stored(_candidate_texts(df, sets.select("doc_id"), id_col, text_col, width), "texts")
+    texts = stored(_candidate_texts(df, sets, id_col, text_col, width), "texts")
 
     release(df.sparkSession)
 
