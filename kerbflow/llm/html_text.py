@@ -3,11 +3,14 @@
 Parser events are cut into lines (blocks).  Each line has a ratio of text to tags; ratios
 are smoothed along the page by a Gaussian and split in two clusters.  Lines of the upper
 cluster are content, together with the rest of the article element they lie in.
+
+Menus, footers, forms and elements with telling names (whole words of class, id and role)
+are left out, unless they hold the article or most of the page's text; inside an article
+the ratios decide about names.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -24,10 +27,13 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    "aside audio button canvas datalist dialog footer form head iframe menu nav noscript object script select style svg "
-    "template textarea title video".split()
+    "audio button canvas datalist head iframe noscript object script select style svg template textarea title video".split()
 )
-# Parts of class, id and role names that tell what is not the article.
+# Elements that are not the article, unless they hold it.
+ASIDE_TAGS = frozenset("aside dialog footer form header menu nav".split())
+# Elements that stand inside running text; their names decide nothing.
+TEXT_TAGS = frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li p pre summary td th tr".split())
+# Whole class, id and role names that tell what is not the article.
 ASIDE_NAMES = frozenset(
     "ad ads advert advertisement adverts advertising alert alerts banner breadcrumb breadcrumbs comment comments commentlist "
     "consent contentinfo cookie cookies copyright disclaimer disqus footer form gdpr header hidden login masthead menu modal "
@@ -35,7 +41,8 @@ ASIDE_NAMES = frozenset(
     "recommended reply replies responses search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "topbar warning widget widgets".split()
 )
-NAME_BREAK = re.compile(r"[^a-z]+")
+# Of these, names that articles also give to their own parts.
+PART_NAMES = frozenset("alert alerts disclaimer header notice notices warning".split())
 CONTAINERS = frozenset(("article", "main"))
 SIGMA = 1.0  # lines
 # Two clusters are told apart only if the lower one is this poor in text, and so much
@@ -48,10 +55,20 @@ class Line:
     text: str
     tags: int
     container: int  # number of the enclosing article element, 0 for none
+    asides: tuple[int, ...] = ()  # numbers of the enclosing elements that may not be the article
+
+
+@dataclass
+class Aside:
+    """An element that may not be the article, by its tag or by its names."""
+
+    container: int  # number of the article element around it, 0 for none
+    named: bool  # told by its names only
 
 
 class LineReader(HTMLParser):
-    """Collects lines; what stands in silent elements is left out.
+    """Collects lines; what stands in silent elements is left out, and lines in elements
+    that may not be the article name those.
 
     Elements that were never closed end with the element around them.
     """
@@ -61,9 +78,11 @@ class LineReader(HTMLParser):
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = 0
-        self.open: list[tuple[str, bool, int]] = []  # tag, silent, container
+        self.open: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, silent, container, asides
         self.counts: dict[str, int] = {}
-        self.containers = 0
+        self.around = [0]  # of each container, the one around it
+        self.inside: list[tuple[int, ...]] = [()]  # of each container, the asides around it
+        self.found: list[Aside] = []
 
     @property
     def silent(self) -> bool:
@@ -73,33 +92,39 @@ class LineReader(HTMLParser):
     def container(self) -> int:
         return self.open[-1][2] if self.open else 0
 
+    @property
+    def asides(self) -> tuple[int, ...]:
+        return self.open[-1][3] if self.open else ()
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.tags, self.container))
+            self.lines.append(Line(text, self.tags, self.container, self.asides))
         self.parts, self.tags = [], 0
 
     def _close(self, tag: str) -> None:
         if not self.counts.get(tag):
             return
         while True:
-            name, _, _ = self.open.pop()
+            name = self.open.pop()[0]
             self.counts[name] -= 1
             if name == tag:
                 return
 
-    def _is_aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> Aside | None:
         if tag in ("html", "body", "article", "main"):
-            return False
-        if tag in SILENT or tag == "header" and not self.container:
-            return True
+            return None
+        if tag in ASIDE_TAGS and not (tag == "header" and self.container):
+            return Aside(self.container, False)
         names: set[str] = set()
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
-                names.update(NAME_BREAK.split(value.lower()))
+                names.update(value.lower().split())
             elif key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
-        return not names.isdisjoint(ASIDE_NAMES)
+                return Aside(self.container, False)
+        if tag in TEXT_TAGS or tag not in BLOCKS or names.isdisjoint(ASIDE_NAMES - PART_NAMES if self.container else ASIDE_NAMES):
+            return None
+        return Aside(self.container, True)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -113,12 +138,16 @@ class LineReader(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        silent = self.silent or self._is_aside(tag, attrs)
-        container = self.container
+        silent = self.silent or tag in SILENT
+        container, asides = self.container, self.asides
+        if not silent and (aside := self._aside(tag, attrs)):
+            asides += (len(self.found),)
+            self.found.append(aside)
         if tag in CONTAINERS and not silent:
-            self.containers += 1
-            container = self.containers
-        self.open.append((tag, silent, container))
+            self.around.append(container)
+            self.inside.append(asides)
+            container = len(self.around) - 1
+        self.open.append((tag, silent, container, asides))
         self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def handle_endtag(self, tag: str) -> None:
@@ -132,7 +161,7 @@ class LineReader(HTMLParser):
             self.parts.append(data)
 
 
-def read_lines(html: str) -> list[Line]:
+def read_page(html: str) -> LineReader:
     reader = LineReader()
     try:
         reader.feed(html)
@@ -142,7 +171,43 @@ def read_lines(html: str) -> list[Line]:
         reader.feed(html.replace("<![", "&lt;!["))
         reader.close()
     reader.flush()
-    return reader.lines
+    return reader
+
+
+def _without_asides(page: LineReader) -> list[Line]:
+    """Lines that no element around them takes away.
+
+    An element that holds more than half of the page's text is the page, whatever its name,
+    and so is one that holds its longest article, if that is longer than all text outside
+    articles and asides.  Inside an article a name takes away only what the page's clusters
+    leave out too.
+    """
+    lines = page.lines
+    whole = sum(len(line.text) for line in lines)
+    within = [0] * len(page.found)  # text of each aside
+    outside = 0
+    size = [0] * len(page.around)  # text of each container, with the containers in it
+    for line in lines:
+        for aside in line.asides:
+            within[aside] += len(line.text)
+        outside += len(line.text) if not line.container and not line.asides else 0
+        at = line.container
+        while at:
+            size[at] += len(line.text)
+            at = page.around[at]
+    best = max(range(len(size)), key=size.__getitem__)
+    # A container lies in all asides that are open where it starts.
+    held = set(page.inside[best]) if best and size[best] > outside else set()
+    going = {i for i in range(len(within)) if 2 * within[i] <= whole and i not in held}
+    judged = {i for i in going if page.found[i].named and page.found[i].container}
+    rest = [line for line in lines if (going - judged).isdisjoint(line.asides)]
+    if judged and rest:
+        least = least_ratio(rest)
+        for i in judged:
+            own = [line for line in lines if i in line.asides]
+            if sum(len(line.text) for line in own) >= least * max(1, sum(line.tags for line in own)):
+                going.discard(i)
+    return [line for line in lines if going.isdisjoint(line.asides)]
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -152,8 +217,8 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, weights)[reach : reach + len(ratios)] / np.convolve(np.ones(len(ratios)), weights)[reach : reach + len(ratios)]
 
 
-def content_lines(lines: list[Line]) -> np.ndarray:
-    """True for lines of the content cluster."""
+def _clusters(lines: list[Line]) -> tuple[np.ndarray, float]:
+    """Smoothed log ratios, and the least one of the content cluster."""
     ratios = np.array([len(line.text) / max(1, line.tags) for line in lines])
     value = np.log1p(smoothed(ratios))
     low, high = value.min(), value.max()
@@ -166,13 +231,24 @@ def content_lines(lines: list[Line]) -> np.ndarray:
             break
         low, high = centres
     if np.expm1(low) >= POOR or np.expm1(high) < APART * np.expm1(low):
-        return np.ones(len(lines), dtype=bool)
-    return value >= (low + high) / 2
+        return value, -np.inf
+    return value, (low + high) / 2
+
+
+def content_lines(lines: list[Line]) -> np.ndarray:
+    """True for lines of the content cluster."""
+    value, least = _clusters(lines)
+    return value >= least
+
+
+def least_ratio(lines: list[Line]) -> float:
+    """The ratio from which text belongs to the content cluster."""
+    return float(np.expm1(_clusters(lines)[1]))
 
 
 def main_text(html: str | None) -> str:
     """The page's main text, one block per line."""
-    lines = read_lines(html or "")
+    lines = _without_asides(read_page(html or ""))
     if not lines:
         return ""
     chosen = content_lines(lines)

@@ -337,6 +337,28 @@ def test_menus_without_marks_are_left_out():
     assert html_text.main_text(f"<body>{menu}<div>{body}</div>{menu}</body>").count("Item") <= 2
 
 
+@pytest.mark.parametrize(
+    "opening",
+    ["div class='content no-sidebar'", "div class='content with-sidebar'", "div id='page-has-header'", "div class='content sidebar'", "div id=header", "form id=aspnet", "section role=search"],
+)
+def test_names_and_forms_around_an_article_do_not_silence_it(opening):
+    rows = [f"Paragraph {i} {'with words ' * 20}".strip() for i in range(4)]
+    inner = "<h1 class='article-header'>Head line</h1><p class='warning'>Take care.</p><section class='related-work'><p>" + "</p><p>".join(rows) + "</p></section>"
+    want = "\n".join(["Head line", "Take care.", *rows])
+    around = "<nav><a href=x>Home</a></nav><{}>{}</{}><div class='ad'>Buy this now.</div><section id=comments><p>" + "me too " * 20 + "</p></section>"
+    for kind in ("article", "main"):
+        page = around.format(opening, f"<{kind}>{inner}</{kind}>", opening.split()[0])
+        assert html_text.main_text(f"<body>{page}</body>") == want
+    assert rows[0] in html_text.main_text(f"<body><{opening}>{inner}</{opening.split()[0]}></body>")
+
+
+def test_names_inside_an_article_leave_it_to_the_ratios():
+    rows = "".join(f"<p>Paragraph {i} {'with words ' * 20}</p>" for i in range(9))
+    links = "".join(f"<div><a href={i}>Link</a></div>" for i in range(9))
+    text = html_text.main_text(f"<body><article>{rows}<div class=related>{links}</div><div class=comment><p>{'Long note ' * 30}</p></div></article></body>")
+    assert "Link" not in text and "Long note" in text and text.count("Paragraph") == 9
+
+
 def test_pages_of_the_tables(spark):
     rows = queries.op8_html_text(spark, "/root/testdata/sf0.001").collect()
     source = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
