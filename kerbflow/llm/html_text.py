@@ -2,7 +2,8 @@
 
 Parser events are cut into lines (blocks).  Each line has a ratio of text to tags; ratios
 are smoothed along the page by a Gaussian and split in two clusters.  Lines of the upper
-cluster are content, together with the rest of the article element they lie in.
+cluster are content, and so are the other lines of every article element that directly or
+in an inner article holds one of them; no chosen line is dropped.
 
 Menus, footers, forms and elements with telling names (whole words of class, id and role)
 are left out, unless they hold the article or most of the page's text; inside an article
@@ -248,21 +249,19 @@ def least_ratio(lines: list[Line]) -> float:
 
 def main_text(html: str | None) -> str:
     """The page's main text, one block per line."""
-    lines = _without_asides(read_page(html or ""))
+    page = read_page(html or "")
+    lines = _without_asides(page)
     if not lines:
         return ""
     chosen = content_lines(lines)
-    weight: dict[int, int] = {}
+    # Articles grow to their ends around chosen lines, those around them included.
+    grown: set[int] = set()
     for line, good in zip(lines, chosen):
-        if good:
-            weight[line.container] = weight.get(line.container, 0) + len(line.text)
-    best = max(weight, key=lambda c: (weight[c], c > 0)) if weight else 0
-    if best:
-        # The region grows to its whole article, and ends where that ends.
-        kept = [line.text for line in lines if line.container == best or line.container and weight.get(line.container, 0) * 2 > weight[best]]
-    else:
-        kept = [line.text for line, good in zip(lines, chosen) if good]
-    return "\n".join(kept)
+        at = line.container if good else 0
+        while at and at not in grown:
+            grown.add(at)
+            at = page.around[at]
+    return "\n".join(line.text for line, good in zip(lines, chosen) if good or line.container in grown)
 
 
 def extract_text(df: DataFrame, html_col: str = "html") -> DataFrame:

@@ -352,6 +352,20 @@ def test_names_and_forms_around_an_article_do_not_silence_it(opening):
     assert rows[0] in html_text.main_text(f"<body><{opening}>{inner}</{opening.split()[0]}></body>")
 
 
+def test_chosen_lines_are_kept_in_and_out_of_articles():
+    def rows(name, n):
+        return [f"{name} {i} {'with words ' * 20}".strip() for i in range(n)]
+
+    def marked(lines):
+        return "".join(f"<p>{x}</p>" for x in lines)
+
+    long, short, lead, free = rows("Long", 9), rows("Short", 2), rows("Lead", 1), rows("Free", 2)
+    menu = "".join(f"<div><a href={i}>Item {i}</a></div>" for i in range(12))
+    page = f"<body>{menu}<main><h1>Title</h1>{marked(lead)}<article>{marked(long)}</article><article><h2>More</h2>{marked(short)}</article></main>{marked(free)}{menu}</body>"
+    assert [x for x in html_text.main_text(page).split("\n") if "Item" not in x] == ["Title", *lead, *long, "More", *short, *free]
+    assert html_text.main_text(page).count("Item") <= 2
+
+
 def test_names_inside_an_article_leave_it_to_the_ratios():
     rows = "".join(f"<p>Paragraph {i} {'with words ' * 20}</p>" for i in range(9))
     links = "".join(f"<div><a href={i}>Link</a></div>" for i in range(9))
