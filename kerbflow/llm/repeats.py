@@ -15,7 +15,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
@@ -29,9 +28,9 @@ ANCHOR = 32
 SLICE_BYTES = 1_000_000
 SHARD_BYTES = 2_000_000
 NO_ID = (1 << 63) - 1  # rows without an id come last
-# One run of strings in a long: 25 bits that tell texts of one id apart, 31 bits start,
-# 7 bits number of strings.  Its order is the order of occurrence inside an id.
-TIE_SHIFT, START_SHIFT = 38, 7
+# One run of strings in a long: 31 bits start, 7 bits number of strings.  Its order is the
+# order of occurrence inside a text.
+START_SHIFT = 7
 COVERED, DIFFERING = 0, 1
 _TABLE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEPS = [np.uint64(x) for x in mixed(np.arange(300, 305, dtype=np.uint64)) | np.uint64(1)]
@@ -103,30 +102,26 @@ def anchored_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np
     return row, start - bounds[row], strings, grams[anchor[first]], context
 
 
-def _ties(texts: pa.Array) -> np.ndarray:
-    """25 bits of each text's hash."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(t.as_buffer()) >> 39 for t in texts), np.int64, len(texts))
-
-
 def _runs(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.string())
             for a, b in row_slices(texts, SLICE_BYTES):
-                part, ids = texts.slice(a, b - a), batch.column(0).slice(a, b - a).to_numpy()
+                part = texts.slice(a, b - a)
                 row, start, strings, anchor, context = anchored_runs(*_bytes_of(part), length)
-                at = (_ties(part)[row] << TIE_SHIFT) | (start << START_SHIFT) | strings
+                at = (start << START_SHIFT) | strings
+                own = pa.array(row + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(ids[row]), pa.array(at)],
-                    names=["anchor", "context", "doc", "at"],
+                    [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), batch.column(0).take(own), batch.column(2).take(own), pa.array(at)],
+                    names=["anchor", "context", "doc", "tie", "at"],
                 )
 
-    return docs.select("doc", "text").mapInArrow(run, "anchor long, context long, doc long, at long")
+    return docs.select("doc", "text", "tie").mapInArrow(run, "anchor long, context long, doc long, tie long, at long")
 
 
 def _repeated(runs: DataFrame) -> DataFrame:
     """Runs whose context came before (``COVERED``), and the first run of each context where
-    an anchor has several (``DIFFERING``).
+    an anchor has several (``DIFFERING``).  The same run of equal rows counts once.
 
     Rows come sorted by anchor, context and occurrence; a stream of them remembers the first
     and the last row of the running anchor.
@@ -138,9 +133,9 @@ def _repeated(runs: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rows = [batch.column(i).to_numpy() for i in range(4)]
+            rows = [batch.column(i).to_numpy() for i in range(5)]
             rows = [np.concatenate([np.array([h[i] for h in held], dtype=np.int64), x]) for i, x in enumerate(rows)]
-            anchor, context, doc, at = rows
+            anchor, context, doc, tie, at = rows
             n, old = len(anchor), len(held)
             new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
             new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
@@ -149,7 +144,8 @@ def _repeated(runs: DataFrame) -> DataFrame:
             known = several and old > 0
             many[0] |= known
             differing = new_context & np.repeat(many, np.diff(np.append(starts, n)))
-            covered = ~new_context
+            same = np.logical_and.reduce([x[1:] == x[:-1] for x in (doc, tie, at)])
+            covered = ~new_context & ~np.concatenate([[False], same])
             if old:
                 # The first row still waits if its anchor had one context so far.
                 differing[0] &= not known
@@ -160,40 +156,46 @@ def _repeated(runs: DataFrame) -> DataFrame:
             held = [tuple(x[i] for x in rows) for i in ([first, n - 1] if first < n - 1 else [first])]
             keep = differing | covered
             yield pa.RecordBatch.from_arrays(
-                [pa.array(differing[keep].astype(np.int8)), pa.array(anchor[keep]), pa.array(doc[keep]), pa.array(at[keep])],
-                names=["kind", "anchor", "doc", "at"],
+                [pa.array(differing[keep].astype(np.int8)), pa.array(anchor[keep]), pa.array(doc[keep]), pa.array(tie[keep]), pa.array(at[keep])],
+                names=["kind", "anchor", "doc", "tie", "at"],
             )
 
-    dealt = runs.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "at")
-    return dealt.mapInArrow(run, "kind byte, anchor long, doc long, at long")
+    dealt = runs.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "tie", "at")
+    return dealt.mapInArrow(run, "kind byte, anchor long, doc long, tie long, at long")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of each wanted run."""
+    """The bytes of each wanted run, of equal rows once per task at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            texts = batch.column(1).cast(pa.string())
-            for i, (text, tie) in enumerate(zip(texts, _ties(texts))):
-                runs = batch.column(2)[i].values
+            texts = batch.column(2).cast(pa.string())
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for i, (key, text) in enumerate(zip(keys, texts)):
+                if key in seen:
+                    continue
+                seen.add(key)
+                runs = batch.column(3)[i].values
                 at = runs.field(1).to_numpy()
-                own = np.flatnonzero(at >> TIE_SHIFT == tie)
-                start = (at[own] >> START_SHIFT) & ((1 << 31) - 1)
-                stop = start + (at[own] & 127) + length - 1
+                start = at >> START_SHIFT
+                stop = start + (at & 127) + length - 1
                 data = memoryview(text.as_buffer())
+                row = pa.array(np.full(len(at), i))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        runs.field(0).take(pa.array(own)),
-                        batch.column(0).take(pa.array(np.full(len(own), i))),
-                        pa.array(at[own]),
+                        runs.field(0),
+                        batch.column(0).take(row),
+                        batch.column(1).take(row),
+                        pa.array(at),
                         pa.array([bytes(data[a:b]) for a, b in zip(start.tolist(), stop.tolist())], pa.binary()),
                     ],
-                    names=["anchor", "doc", "at", "bytes"],
+                    names=["anchor", "doc", "tie", "at", "bytes"],
                 )
 
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at")).alias("runs"))
-    joined = docs.join(lists, "doc").select("doc", "text", "runs")
-    return joined.mapInArrow(run, "anchor long, doc long, at long, bytes binary")
+    lists = wanted.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "at")).alias("runs"))
+    joined = docs.join(lists, ["doc", "tie"]).select("doc", "tie", "text", "runs")
+    return joined.mapInArrow(run, "anchor long, doc long, tie long, at long, bytes binary")
 
 
 def later_strings(data: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
@@ -217,10 +219,13 @@ def later_strings(data: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarr
 
 
 def _marked(contexts: DataFrame, shards: int, length: int) -> DataFrame:
-    """(doc, at, start, stop): bytes that later strings of each shard cover."""
+    """(doc, tie, start, stop): bytes that later strings of each shard cover."""
 
     def mark(table: pa.Table) -> pa.Table:
-        table = table.take(pc.sort_indices(table, sort_keys=[("doc", "ascending"), ("at", "ascending")]))
+        table = table.take(pc.sort_indices(table, sort_keys=[(n, "ascending") for n in ("doc", "tie", "at")]))
+        # Equal rows of several tasks.
+        same = np.logical_and.reduce([np.diff(table[n].to_numpy()) == 0 for n in ("doc", "tie", "at")])
+        table = table.filter(pa.array(np.concatenate([[True], ~same])))
         at = table["at"].to_numpy()
         sizes = (at & 127) + length - 1
         bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -230,24 +235,24 @@ def _marked(contexts: DataFrame, shards: int, length: int) -> DataFrame:
         heads = np.flatnonzero((np.diff(later, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0))
         tails = np.append(heads[1:], len(later)) - 1 if len(heads) else heads
         own = row[heads] if len(heads) else np.empty(0, np.int64)
-        start = ((at[own] >> START_SHIFT) & ((1 << 31) - 1)) - bounds[own]
+        start = (at[own] >> START_SHIFT) - bounds[own]
         return pa.table(
             {
                 "doc": table["doc"].take(pa.array(own)),
-                "at": pa.array(at[own]),
+                "tie": table["tie"].take(pa.array(own)),
                 "start": pa.array(start + later[heads]),
                 "stop": pa.array(start + later[tails] + length),
             }
         )
 
     dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(mark, "doc long, at long, start long, stop long")
+    return dealt.groupBy("shard").applyInArrow(mark, "doc long, tie long, start long, stop long")
 
 
 def _cut(rows: DataFrame, spans: DataFrame, as_text: bool) -> DataFrame:
     """Merge each row's marked bytes and take them out."""
-    lists = spans.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("tie", "start", "stop")).alias("_spans"))
-    joined = rows.join(lists, "_doc", "left").drop("_doc")
+    lists = spans.groupBy(F.col("doc").alias("_doc"), F.col("tie").alias("_tie")).agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    joined = rows.join(lists, ["_doc", "_tie"], "left").drop("_doc", "_tie")
     names = [n for n in joined.columns if n not in ("_text", "_spans")]
     span = StructType().add("start", LongType()).add("stop", LongType())
     schema = StructType([joined.schema[n] for n in names])
@@ -265,9 +270,7 @@ def _cut(rows: DataFrame, spans: DataFrame, as_text: bool) -> DataFrame:
                 own = lists[i].values
                 a = b = np.empty(0, np.int64)
                 if own is not None and len(own):
-                    tie = xxhash.xxh3_64_intdigest(data) >> 39
-                    mine = own.field(0).to_numpy() == tie
-                    a, b = own.field(1).to_numpy()[mine], own.field(2).to_numpy()[mine]
+                    a, b = own.field(0).to_numpy(), own.field(1).to_numpy()
                 if len(a):
                     by = np.argsort(a, kind="stable")
                     a, reach = a[by], np.maximum.accumulate(b[by])
@@ -316,14 +319,17 @@ def remove_repeats(
     if not ANCHOR < length <= 127:
         raise ValueError("length must be 33 to 127 bytes")
     doc, text = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(doc.alias("doc"), text.alias("text"))
+    # Texts of one id are told apart by a hash of 64 bits; ids with one text need none.
+    digest = F.xxhash64(text)
+    several = df.select(doc.alias("doc"), digest.alias("h")).where(F.col("doc") != NO_ID).groupBy("doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    tie = digest if several.where("lo <> hi").limit(1).count() else F.when(doc == NO_ID, digest).otherwise(F.lit(0).cast("long"))
+    docs = df.select(doc.alias("doc"), text.alias("text"), tie.alias("tie"))
     repeats = stored(_repeated(_runs(docs, length)), "repeats")
     differing = repeats.where(F.col("kind") == DIFFERING)
     shards = max(1, -(-differing.count() * (length + 30) // SHARD_BYTES))
     marked = stored(_marked(_contexts(docs, differing, length), shards, length), "marked")
-    start = F.shiftright("at", START_SHIFT).bitwiseAND((1 << 31) - 1)
+    start = F.shiftright("at", START_SHIFT)
     covered = repeats.where(F.col("kind") == COVERED).select(
-        "doc", F.shiftright("at", TIE_SHIFT).alias("tie"), start.alias("start"), (start + F.col("at").bitwiseAND(127) + length - 1).alias("stop")
+        "doc", "tie", start.alias("start"), (start + F.col("at").bitwiseAND(127) + length - 1).alias("stop")
     )
-    found = marked.select("doc", F.shiftright("at", TIE_SHIFT).alias("tie"), "start", "stop")
-    return _cut(df.drop(*OUTPUTS).withColumn("_doc", doc).withColumn("_text", text), covered.union(found), as_text)
+    return _cut(df.drop(*OUTPUTS).withColumns({"_doc": doc, "_tie": tie, "_text": text}), covered.union(marked), as_text)

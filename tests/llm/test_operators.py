@@ -11,6 +11,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -421,6 +422,35 @@ def test_repeats_of_odd_tables(odd, none):
     assert remove_repeats(none).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_repeats_of_texts_that_share_an_id(spark, doc_id):
+    """Against the definition, with a pair of texts that agree in 25 bits of their hash; equal rows
+    do not remove each other."""
+    rng = random.Random(5)
+    passage = sentence(rng, 30)
+    by_bits: dict[int, str] = {}
+    while True:
+        text = f"{sentence(rng, 6)} {passage} {rng.random()}"
+        other = by_bits.setdefault(xxhash.xxh3_64_intdigest(text.encode()) >> 39, text)
+        if other != text:
+            break
+    rows = [text, other, text, *(sentence(rng, 9 * i) + passage + sentence(rng, 5) for i in range(6))]
+    table = spark.createDataFrame([(doc_id, t) for t in rows] + [(3, sentence(rng, 40))] * 2, "doc_id long, text string").repartition(3)
+    got = [(r.text, bytes(r.kept)) for r in remove_repeats(table, 100).collect()]
+    order = {r.text: r.h for r in table.select("text", F.xxhash64("text").alias("h")).collect()}
+    first: set[bytes] = set()
+    for t in sorted({t for t, _ in got}, key=lambda t: (t in rows, order[t])):
+        data, gone, own = t.encode(), set(), set()
+        for i in range(len(data) - 99):
+            if data[i : i + 100] in first or data[i : i + 100] in own:
+                gone.update(range(i, i + 100))
+            own.add(data[i : i + 100])
+        first |= own
+        want = bytes(b for i, b in enumerate(data) if i not in gone)
+        assert {k for x, k in got if x == t} == {want}
+    assert len(got) == len(rows) + 2
+
+
 # packing
 
 
