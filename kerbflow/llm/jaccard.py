@@ -334,34 +334,56 @@ def _slot(id_col: str) -> Column:
     return F.pmod(F.xxhash64(id_col), F.lit(1 << FILTER_BITS)).alias("slot")
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """Bit of every id's slot: ``2**FILTER_BITS`` bits, whatever the number of ids."""
+def _sid_slot(sid: Column | np.ndarray) -> Column | np.ndarray:
+    """A set's slot, of bits of its id; the lowest is always set."""
+    mask = (1 << FILTER_BITS) - 1
+    return (sid >> 1) & mask if isinstance(sid, np.ndarray) else F.shiftright(sid, 1).bitwiseAND(F.lit(mask).cast("long"))
+
+
+def _filter(slots: DataFrame) -> np.ndarray:
+    """Bit of every slot: ``2**FILTER_BITS`` bits, whatever the number of rows."""
     word = F.shiftright("slot", 6).alias("word")
-    found = ids.select(_slot("doc_id")).groupBy(word).agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow()
+    found = slots.groupBy(word).agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow()
     words = np.zeros((1 << FILTER_BITS) // 64, dtype="<i8")
     words[found["word"].to_numpy()] = found["bits"].to_numpy()
     return words.view(np.uint8)
 
 
 def _candidate_texts(df: DataFrame, sets: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(sid, text): one text for each of the sets, that of their ``doc_id``.
+    """(sid, text): one text for each of the sets, that of their ``doc_id``, which may be null.
 
-    Most other rows stop at a filter of fixed size before the join, so they are not
-    shuffled; the join decides.
+    Most other rows stop at filters of fixed size before the join, so they are not
+    shuffled; the join decides.  Rows without an id are filtered by their set, once per task.
     """
-    held = df.sparkSession.sparkContext.broadcast(_id_filter(sets))
+    nameless = _filter(sets.where("doc_id is null").select(_sid_slot(F.col("sid")).alias("slot")))
+    held = df.sparkSession.sparkContext.broadcast((_filter(sets.where("doc_id is not null").select(_slot("doc_id"))), nameless if nameless.any() else None))
+
+    def hit(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        return (bits[slot >> 3] >> (slot & 7)) & 1 == 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_ids, of_sets = held.value
+        seen: set[int] = set()  # sets of rows without an id
         for batch in batches:
-            slot = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((held.value[slot >> 3] >> (slot & 7)) & 1 == 1))
+            null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(np.where(null, of_sets is not None, hit(of_ids, batch.column(2).to_numpy()))))
             texts = batch.column(1).cast(pa.string())
             for a, b in row_slices(texts):
-                part = texts.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(set_ids(shingle_sets(part, width))), part], names=["doc_id", "sid", "text"])
+                part, ids = texts.slice(a, b - a), batch.column(0).slice(a, b - a)
+                sids = set_ids(shingle_sets(part, width))
+                keep = np.ones(len(part), dtype=bool)
+                if ids.null_count:
+                    wanted = hit(of_sets, _sid_slot(sids))
+                    for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)).tolist():
+                        keep[i] = wanted[i] and int(sids[i]) not in seen
+                        if keep[i]:
+                            seen.add(int(sids[i]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sids), part], names=["doc_id", "sid", "text"]).filter(pa.array(keep))
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_t")).select("doc_id", "_t", _slot("doc_id"))
-    found = rows.mapInArrow(run, "doc_id long, sid long, text string").join(sets.select("doc_id", "sid"), ["doc_id", "sid"], "left_semi")
+    # A null id is an ordinary value here.
+    own, fits = rows.mapInArrow(run, "doc_id long, sid long, text string").alias("r"), sets.select("doc_id", "sid").alias("s")
+    found = own.join(fits, (F.col("r.sid") == F.col("s.sid")) & F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
     return found.dropDuplicates(["doc_id", "sid"]).select("sid", "text")
 
 
@@ -374,8 +396,8 @@ def jaccard_join(
     Every link between different sets is either compared or lies inside a component that
     other links hold together, so components are those of the full join.  Null, empty and
     blank texts have no shingles and link with nothing; equal sets always link; repeated
-    rows are rows of their own; rows with a null id link through equal sets only; an empty
-    table gives none.  Whole texts are compared, at any length.
+    rows are rows of their own; rows with a null id link as others do, and a component of
+    such rows only has a null id; an empty table gives none.  Whole texts are compared, at any length.
     """
     digest = stored(_digest(df, id_col, text_col, width, threshold), "sets")
     members = digest.where("part is null").drop("part", "counts")

@@ -132,6 +132,22 @@ def test_join_of_odd_tables(odd, none):
     assert jaccard_join(none).collect() == []
 
 
+def test_rows_without_an_id_link_to_near_copies(spark):
+    rng = random.Random(9)
+    base = [rng.choice(WORDS) + str(i) for i in range(300)]
+    a, b, c = (" ".join(base[:i] + ["other"] + base[i + 1 :]) for i in (50, 150, 250))
+    far = sentence(rng, 200)
+    rows = [(None, a), (None, a), (None, b), (8, c), (9, far), (None, "nothing like it at all")]
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 8)] * 3 + [(8, 8), (9, 9), (None, None)], key=str)
+    # All links of 8 and 9 go over a text that only a row without an id has.
+    x, y, z = (" ".join(base[:200] + base[200 + 18 * k : 218 + 18 * k] + base[290:]) for k in (0, 1, 2))
+    near = " ".join(base[:200] + base[209:227] + base[290:])
+    rows = [(8, x), (9, y), (None, near), (None, z)]
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), threshold=Threshold(85, 100)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(8, 8), (9, 8), (None, 8), (None, None)], key=str)
+
+
 def test_units_are_spent_whole_and_cheaply():
     rng = np.random.default_rng(1)
     for _ in range(200):
