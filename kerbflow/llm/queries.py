@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbflow.llm.alignment import align_tokens
+from kerbflow.llm.bpe_trie import decode_ids, encode_texts
 from kerbflow.llm.common import n_bytes, stored, table
+from kerbflow.llm.fill_middle import fill_in_middle, restore_text
 from kerbflow.llm.fingerprints import edit_check
 from kerbflow.llm.html_text import extract_text
 from kerbflow.llm.jaccard import Threshold, jaccard_join
@@ -95,6 +98,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(stored(digest, "pieces"), SEQUENCE_TOKENS)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of two tokenizers' tokens over each document, and how common their links are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokens(docs, *paths, digest=True)
+
+
+def op12_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document and the text they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return decode_ids(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut and rearranged for filling in the middle, and the texts rebuilt from that."""
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("pieces")
+    return restore_text(made).drop("output", "restored")
+
+
 OP5_SQL = """
 WITH parts AS (
     SELECT page_id,
@@ -150,8 +178,55 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
 """
 
+# One 32-bit number per eight digits of the digest; parts are lists of lines.
+OP13_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+        sha256('7:' || doc_id::VARCHAR) AS h
+    FROM documents
+),
+draws AS (
+    SELECT doc_id, text, l, len(l) AS n, list_transform([1, 9, 17, 25], lambda k:
+        list_reduce(list_transform(range(0, 8), lambda i: (position(h[k + i] IN '0123456789abcdef') - 1)::BIGINT),
+            lambda x, y: 16 * x + y)) AS d
+    FROM lines
+),
+cuts AS (
+    SELECT doc_id, text, l, n, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 100
+            THEN 'plain' WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM draws
+),
+parts AS (
+    SELECT *, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:n], '') AS suffix
+    FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_jaccard_join, op3_toxicity, op4_neighbours, op5_url_filter, op6_mixing, op7_fingerprints, op8_html_text, op9_suffix_dedup, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_jaccard_join,
+        op3_toxicity,
+        op4_neighbours,
+        op5_url_filter,
+        op6_mixing,
+        op7_fingerprints,
+        op8_html_text,
+        op9_suffix_dedup,
+        op10_packing,
+        op11_alignment,
+        op12_bpe_trie,
+        op13_fill_middle,
+    )
 }
-SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op5_url_filter": OP5_SQL}
+SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op5_url_filter": OP5_SQL, "op13_fill_middle": OP13_SQL}
