@@ -6,16 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbflow.catalogue import register
-from kerbflow.catalogue.standins import BASE_US, ENERGY_GRID, LABELS, ctes, table
+from kerbflow.catalogue.standins import ENERGY_SIZE, ENERGY_START, LABELS, ctes, energy_grid, table
 from kerbflow.operators.counters import counter_rate
 from kerbflow.plans import energy
 
-_N = ENERGY_GRID.size
-_END = ENERGY_GRID.end_us
-
 RATES = (
     "with "
-    + ctes("samples", "settings")
+    + ctes("samples", "settings", "bounds")
     + """,
 meters as (select * from samples where sensor in ('w', 'mw')),
 paired as (
@@ -36,8 +33,8 @@ BUCKETS = (
     + f""",
 node_list as (select distinct siteid, nodeid, legacy_power, max_led_power from rates),
 spine as (
-  select n.*, {BASE_US} + b.i * 900000000 as starttime, {BASE_US} + (b.i + 1) * 900000000 as endtime
-  from node_list n cross join (select unnest(range({_N})) as i) b),
+  select n.*, {ENERGY_START} + b.i * 900000000 as starttime, {ENERGY_START} + (b.i + 1) * 900000000 as endtime
+  from node_list n cross join (select unnest(range({ENERGY_SIZE})) as i) b),
 before_end as (
   select s.nodeid, s.starttime, r.time as p_time, r.rate as p_rate
   from spine s asof left join rates r on s.nodeid = r.nodeid and s.endtime > r.time),
@@ -77,7 +74,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def node_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return energy.node_15min(
-        table(spark, sf_dir, "samples"), table(spark, sf_dir, "settings"), ENERGY_GRID
+        table(spark, sf_dir, "samples"), table(spark, sf_dir, "settings"), energy_grid(spark, sf_dir)
     )
 
 
@@ -95,12 +92,13 @@ select nodeid, starttime, p_time, round(p_rate, 6) as p_rate, q_time, round(q_ra
 from powered""",
 )
 def asof_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = energy_grid(spark, sf_dir)
     rates = energy.positive_rates(table(spark, sf_dir, "samples"))
-    summary = energy.neighbour_summary(rates, ENERGY_GRID, energy.EnergyRules().zero_watts)
+    summary = energy.neighbour_summary(rates, grid, energy.EnergyRules().zero_watts)
     known = summary.join(table(spark, sf_dir, "settings").select("nodeid"), "nodeid")
-    return energy.bucket_neighbours(known, ENERGY_GRID).select(
+    return energy.bucket_neighbours(known, grid).select(
         "nodeid",
-        ENERGY_GRID.start_of(F.col("grid_bucket")).alias("starttime"),
+        grid.start_of(F.col("grid_bucket")).alias("starttime"),
         "p_time",
         F.round("p_rate", 6).alias("p_rate"),
         "q_time",

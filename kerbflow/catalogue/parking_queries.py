@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbflow.catalogue import register
-from kerbflow.catalogue.standins import LABELS, PARKING_GRID, ctes, table
+from kerbflow.catalogue.standins import GRID_END, LABELS, PARKING_SIZE, PARKING_START, ctes, parking_grid, table
 from kerbflow.operators import scans
 from kerbflow.operators.intervals import bucket_overlap
 from kerbflow.operators.sequences import with_next
 from kerbflow.plans import capacity, dimensions, parking
 
-_START, _END, _N = PARKING_GRID.start_us, PARKING_GRID.end_us, PARKING_GRID.size
+_START, _END, _N = PARKING_START, GRID_END, PARKING_SIZE
 
 CAPACITY = (
     "with "
-    + ctes("occupancy", "zones", "spots", "parking_groups")
+    + ctes("occupancy", "zones", "spots", "parking_groups", "bounds")
     + """,
 marked as (
   select parkingzoneid, count(distinct parkingspotid) as capacity
@@ -50,7 +50,7 @@ prior as (
   select parkingspotid, {_OCCUPIED_BEFORE} as occupancy from spots),
 heard as (
   select parkingspotid, since, occupancy, parkingzoneid from occupancy
-  where since >= {_START - 900_000_000} and since < {PARKING_GRID.until_us}),
+  where since >= {_START} - 900000000 and since < {_END}),
 silent as (
   select p.parkingspotid, cast({_START} as bigint) as since, true as occupancy, s.parkingzoneid
   from prior p join spots s on p.parkingspotid = s.parkingspotid
@@ -80,10 +80,10 @@ turns as (
   from stretches where not is_start and since >= {_START} and occupancy and not was group by 1, 2),
 ends as (
   select b.parkingspotid, b.i, s.occupancy from (
-    select distinct c.parkingspotid, r.i
+    select distinct c.parkingspotid, r.i, {_START} + (r.i + 1) * 900000000 as bucket_end
     from changes c cross join (select unnest(range({_N})) as i) r) b
   asof join stretches s on b.parkingspotid = s.parkingspotid
-    and {_START} + (b.i + 1) * 900000000 > s.since),
+    and b.bucket_end > s.since),
 first_zone as (
   select parkingspotid, arg_min(parkingzoneid, since) as parkingzoneid from changes group by 1),
 bridge as (
@@ -129,13 +129,9 @@ def prior_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def heard_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scans.time_window(
-        table(spark, sf_dir, "occupancy"),
-        "since",
-        PARKING_GRID.start_us,
-        PARKING_GRID.until_us,
-        PARKING_GRID.width_us,
-    )
+    grid = parking_grid(spark, sf_dir)
+    occupancy = table(spark, sf_dir, "occupancy")
+    return scans.time_window(occupancy, "since", grid.start_us, grid.until_us, grid.width_us)
 
 
 def spot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +141,7 @@ def spot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "spots"),
         zone_capacity(spark, sf_dir),
         dimensions.zone_group_bridge(table(spark, sf_dir, "parking_groups")),
-        PARKING_GRID,
+        parking_grid(spark, sf_dir),
     )
 
 
@@ -206,7 +202,7 @@ def join_anti_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
         heard_events(spark, sf_dir),
         prior_states(spark, sf_dir),
         table(spark, sf_dir, "spots"),
-        PARKING_GRID,
+        parking_grid(spark, sf_dir),
     )
 
 
@@ -232,7 +228,7 @@ def capacity_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "interval_overlap",
     "with "
-    + ctes("occupancy")
+    + ctes("occupancy", "bounds")
     + f""",
 stretches as (
   select parkingspotid, since, occupancy,
@@ -246,10 +242,11 @@ where occupancy and since < {_START} + (b.i + 1) * 900000000 and until_us > {_ST
 group by 1, 2""",
 )
 def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = parking_grid(spark, sf_dir)
     changes = with_next(
         table(spark, sf_dir, "occupancy"), ["parkingspotid"], ["since", "occupancy"], []
     )
     stretches = changes.filter("occupancy").withColumn(
-        "until_us", F.coalesce("following.since", F.lit(_END))
+        "until_us", F.coalesce("following.since", F.lit(grid.end_us))
     )
-    return bucket_overlap(stretches, ["parkingspotid"], "since", "until_us", PARKING_GRID)
+    return bucket_overlap(stretches, ["parkingspotid"], "since", "until_us", grid)

@@ -40,6 +40,13 @@ _TABLES = {
                cast(substr(props, 7, length(props) - 7) as int) as k,
                {BASE_US} + (__TS_US__ - {BASE_US}) __DIV__ {SPEED_UP} as time
         from {{events}}""",
+    # What the grids of the queries span: all rows, from a midnight or the first quarter of
+    # an hour to the end of the last hour.
+    "bounds": """
+        select min(time) - min(time) % 86400000000 as energy_start,
+               min(time) - min(time) % 3600000000 + 900000000 as parking_start,
+               max(time) - max(time) % 3600000000 + 3600000000 as grid_end
+        from {ticks}""",
     "traffic_status": """
         select 'n' || user_id as nodeid, time, user_id % 2 = 0 as active,
                cast(k % 4 as int) as channel, cast(k as bigint) as count,
@@ -264,11 +271,27 @@ def ctes(*names: str) -> str:
     return ",\n".join(parts)
 
 
-# The sensors' 36 hours; the window ends one second early so that the last bucket is cut.
-END_US = BASE_US + 36 * times.HOUR_US
-CUT_US = END_US - times.SECOND_US
-ENERGY_GRID = Grid(BASE_US, CUT_US)
-PARKING_GRID = Grid(BASE_US + times.BUCKET_US, CUT_US)
+def _grid(spark: SparkSession, sf_dir: str, start: str) -> Grid:
+    """The grid over all rows; its window ends inside the bucket behind the last one."""
+    start_us, end_us = table(spark, sf_dir, "bounds").select(start, "grid_end").first()
+    if start_us is None:
+        return Grid(BASE_US, BASE_US)
+    return Grid(start_us, end_us + times.BUCKET_US - times.SECOND_US)
+
+
+def energy_grid(spark: SparkSession, sf_dir: str) -> Grid:
+    return _grid(spark, sf_dir, "energy_start")
+
+
+def parking_grid(spark: SparkSession, sf_dir: str) -> Grid:
+    return _grid(spark, sf_dir, "parking_start")
+
+
+# The same in SQL.
+GRID_END = "(select grid_end from bounds)"
+ENERGY_START, PARKING_START = "(select energy_start from bounds)", "(select parking_start from bounds)"
+ENERGY_SIZE = "(select (grid_end - energy_start) // 900000000 from bounds)"
+PARKING_SIZE = "(select (grid_end - parking_start) // 900000000 from bounds)"
 
 LABELS = """strftime(make_timestamp(starttime), '%Y-%m-%d %H:%M') as startdt,
        strftime(make_timestamp(endtime), '%Y-%m-%d %H:%M') as enddt,

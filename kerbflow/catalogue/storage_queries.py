@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.catalogue import register
 from kerbflow.catalogue.parking_queries import CAPACITY, zone_capacity
-from kerbflow.catalogue.standins import BASE_US, CUT_US, ctes, table
+from kerbflow.catalogue.standins import BASE_US, ctes, table
 from kerbflow.functions import times
 from kerbflow.operators import scans, versions
 from kerbflow.plans import runs, warehouse
@@ -17,6 +17,7 @@ from kerbflow.sources.store import TableStore
 
 RUN_S = 1_704_200_000
 _MARK_US = BASE_US + 22 * times.HOUR_US
+_UNTIL_US = BASE_US + 36 * times.HOUR_US - times.SECOND_US  # of the pruned scan
 _DAY = "strftime(make_timestamp({}), '%Y-%m-%d')"
 
 
@@ -97,14 +98,14 @@ def staging_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     _STAGED
     + f"""
 select * from staged where startday between {_DAY.format(f"cast({_MARK_US} as bigint)")} and '2024-01-03'
-  and alarmdate >= {_MARK_US // 1000} and alarmdate < {CUT_US // 1000}""",
+  and alarmdate >= {_MARK_US // 1000} and alarmdate < {_UNTIL_US // 1000}""",
 )
 def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = store(spark, "pruned").append(
         "fs_device_alarms", _staged_alarms(spark, sf_dir), by=["startday"]
     )
     timed = written.withColumn("alarm_us", F.col("alarmdate") * 1000)
-    window = scans.day_pruned_window(timed, "alarm_us", "startday", _MARK_US, CUT_US)
+    window = scans.day_pruned_window(timed, "alarm_us", "startday", _MARK_US, _UNTIL_US)
     return window.drop("alarm_us")
 
 
@@ -241,13 +242,14 @@ def hwm_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     + ctes("traffic_status")
     + f"""
 select nodeid, time, case when time >= {_MARK_US - 900_000_000} then 2 else 1 end as run_no, siteid
-from traffic_status where time < {CUT_US}""",
+from traffic_status""",
 )
 def late_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = table(spark, sf_dir, "traffic_status").select("nodeid", "time", "siteid")
     overlap = warehouse.FACT_TABLES["traffic_status"].overlap_us
-    first = scans.time_window(status, "time", BASE_US, _MARK_US).withColumn("run_no", F.lit(1))
-    second = scans.time_window(status, "time", _MARK_US, CUT_US, overlap).withColumn(
+    begin, end = status.agg(F.min("time"), F.max("time") + 1).first()
+    first = scans.time_window(status, "time", begin or 0, _MARK_US).withColumn("run_no", F.lit(1))
+    second = scans.time_window(status, "time", _MARK_US, end or 0, overlap).withColumn(
         "run_no", F.lit(2)
     )
     return versions.upsert(first, second, ["nodeid", "time"])

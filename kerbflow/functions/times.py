@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MILLI_US = 1_000
 SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
 BUCKET_US = 15 * MINUTE_US

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kerbflow.operators.grids import Grid, emit_to_next
 from kerbflow.operators.versions import latest_per_key
 from kerbflow.session import scratch_path
-from kerbflow.streaming.tumbling import BATCH, keep_batches
+from kerbflow.streaming.tumbling import BATCH, drain, keep_batches
 
 
 def last_states(stream: DataFrame, grid: Grid, late: str = "1 hour") -> DataFrame:
@@ -47,15 +47,14 @@ def carried_states(changes: DataFrame, prior: DataFrame, grid: Grid) -> DataFram
 
 
 def run_state_carry(
-    stream: DataFrame, prior: DataFrame, grid: Grid, late: str = "1 hour", timeout_s: int = 600
+    stream: DataFrame, prior: DataFrame, grid: Grid, late: str = "1 hour", timeout_s: int | None = None
 ) -> DataFrame:
-    """Drain what is available now and return the end-of-bucket states."""
+    """Drain what is available now and return the end-of-bucket states.
+
+    One run over a grid that is known; :mod:`kerbflow.streaming.keyed_state` goes on from
+    run to run.
+    """
     spark = stream.sparkSession
     path, checkpoint = scratch_path(spark, "states"), scratch_path(spark, "states-state")
-    query = keep_batches(last_states(stream, grid, late), path, checkpoint)
-    try:
-        if not query.awaitTermination(timeout_s):
-            raise TimeoutError("stream did not finish in time")
-    finally:
-        query.stop()
+    drain(keep_batches(last_states(stream, grid, late), path, checkpoint), timeout_s)
     return carried_states(spark.read.parquet(path).drop(BATCH), prior, grid)

@@ -50,8 +50,8 @@ def tumbling_counts(
     )
 
 
-def keep_batches(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each micro-batch's changed rows to a directory named after the batch.
+def keep_batches(result: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Write each micro-batch's new or changed rows to a directory named after the batch.
 
     A replayed batch overwrites its own directory, so output stays exactly once.
     """
@@ -60,7 +60,7 @@ def keep_batches(result: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return (
-        result.writeStream.outputMode("update")
+        result.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
@@ -74,16 +74,33 @@ def latest_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     return latest_per_key(rows, keys, [F.col(BATCH).desc()]).drop(BATCH)
 
 
-def run_tumbling(
-    stream: DataFrame, time: str, keys: list[str], value: str, timeout_s: int = 600
-) -> DataFrame:
-    """Drain what is available now and return the window table."""
-    spark = stream.sparkSession
-    path, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "windows-state")
-    query = keep_batches(tumbling_counts(stream, time, keys, value), path, checkpoint)
+def drain(query: StreamingQuery, timeout_s: int | None) -> None:
+    """Wait until a run has taken all there is; a failure of it is raised here."""
     try:
-        if not query.awaitTermination(timeout_s):
-            raise TimeoutError("stream did not finish in time")
+        if timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_s):
+            raise TimeoutError("the source is not drained yet; the next run goes on from here")
     finally:
         query.stop()
+
+
+def run_tumbling(
+    stream: DataFrame,
+    time: str,
+    keys: list[str],
+    value: str,
+    late: str = "1 hour",
+    path: str | None = None,
+    checkpoint: str | None = None,
+    timeout_s: int | None = None,
+) -> DataFrame:
+    """Drain what is available now and return the window table.
+
+    ``path`` and ``checkpoint`` of an earlier run go on from it; without them the run
+    stands alone.  :mod:`kerbflow.streaming.resumable` also takes rows later than ``late``.
+    """
+    spark = stream.sparkSession
+    path, checkpoint = path or scratch_path(spark, "windows"), checkpoint or scratch_path(spark, "windows-state")
+    drain(keep_batches(tumbling_counts(stream, time, keys, value, late), path, checkpoint), timeout_s)
     return latest_batches(spark, path, [*keys, "starttime"])
