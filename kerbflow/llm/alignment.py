@@ -53,14 +53,18 @@ class Tokens:
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(at) else piece.replace("▁", " ").encode()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Both arrays of ids of each text; none where one of them is not of a space and the text."""
+        """Both arrays of ids of each text; none where they are not of a space and the text.
+
+        Tokens of A always join to what was read; the model of B may change a text.
+        """
         out = []
+        ids, sizes = self.a.encode([" " + text for text in texts])
+        ids_a = np.split(ids, np.cumsum(sizes)[:-1])
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             some = texts[at : at + TEXTS_AT_ONCE]
-            ids, sizes = self.a.encode([" " + text for text in some])
-            for text, a, b in zip(some, np.split(ids, np.cumsum(sizes)[:-1]), self.b.encode(some, num_threads=1)):
+            for text, a, b in zip(some, ids_a[at:], self.b.encode(some, num_threads=1)):
                 held = b" " + text.encode()
-                same = text and all(b"".join(map(x.__getitem__, y)) == held for x, y in ((self.bytes_a, a.tolist()), (self.bytes_b, b)))
+                same = text and b"".join(map(self.bytes_b.__getitem__, b)) == held
                 out.append((a, np.array(b, dtype=np.int32)) if same else (ids[:0], ids[:0]))
         return out
 

@@ -13,8 +13,9 @@ import json
 import os
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -60,7 +61,11 @@ class ByteVocabulary:
             self.parts.append((a, b))
             self.ids.append(vocabulary[left + right])
         self.sizes = [len(token) for token in self.number]
-        self.longest = max(self.sizes)
+        # Finds all tokens that end at each place of a word, bytes read as letters.
+        self.endings = ahocorasick.Automaton()
+        for token, n in self.number.items():
+            self.endings.add_word(token.decode("latin-1"), n)
+        self.endings.make_automaton()
 
     def bytes_by_id(self) -> dict[int, bytes]:
         known = {self.ids[n]: token for token, n in self.number.items()}
@@ -96,26 +101,32 @@ class TrieEncoder:
                     return True
 
     def _stays(self, left: int, right: int) -> bool:
-        found = self.parting.get((left, right))
-        if found is None:
-            if len(self.parting) >= CACHE_PAIRS:
-                self.parting.clear()
-            found = self.parting[left, right] = self._parts(left, right)
+        if len(self.parting) >= CACHE_PAIRS:
+            self.parting.clear()
+        found = self.parting[left, right] = self._parts(left, right)
         return found
 
     def encode(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Each distinct word with its ids, in the order of the words' bytes."""
-        number, sizes, longest = self.vocabulary.number, self.vocabulary.sizes, self.vocabulary.longest
-        ids, stays = self.vocabulary.ids, self._stays
+        sizes, ids, endings = self.vocabulary.sizes, self.vocabulary.ids, self.vocabulary.endings.iter
+        parting, stays = self.parting, self._stays
         last = [0]  # by depth: the last token of the path's prefix
         for word, shared in trie(words):
             del last[shared + 1 :]
-            for depth in range(shared + 1, len(word) + 1):
-                for start in range(max(0, depth - longest), depth):
-                    token = number.get(word[start:depth])
-                    if token is not None and (not start or stays(last[start], token)):
-                        last.append(token)
-                        break
+            depth = shared  # how far the path's last tokens are known
+            for at, token in endings(word.decode("latin-1")):
+                if at < depth:
+                    continue
+                start = at + 1 - sizes[token]
+                if start:
+                    before = last[start]
+                    stay = parting.get((before, token))
+                    if stay is None:
+                        stay = stays(before, token)
+                    if not stay:
+                        continue
+                last.append(token)
+                depth += 1
             found, at = [], len(word)
             while at:
                 token = last[at]
@@ -152,7 +163,7 @@ class TextEncoder:
         self.library = Tokenizer.from_file(path).pre_tokenizer
         self.settled: dict[str, bool] = {}
         self.known: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = array("I"), array("q"), array("q")
+        self.ids, self.starts, self.sizes = array("i"), array("q"), array("q")
         self.added = None
         if self.vocabulary.added and not added_as_text:
             contents = sorted(self.vocabulary.added, key=len, reverse=True)
@@ -203,10 +214,13 @@ class TextEncoder:
         fresh = {w.encode(): w for w in set(words) if w not in known}
         for word, ids in self.words.encode(list(fresh)):
             self._add(fresh[word], ids)
+        if not words:
+            return np.zeros(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
         place = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-        found, ends = taken(np.array(self.ids, dtype=np.int32), np.array(self.starts), np.array(self.sizes), place)
+        # Views, not copies: the arrays hold all words the worker remembers.
+        found, ends = taken(np.frombuffer(self.ids, np.int32), np.frombuffer(self.starts, np.int64), np.frombuffer(self.sizes, np.int64), place)
         if before > CACHE_WORDS:
-            for word in list(known)[before:]:
+            for word in list(islice(reversed(known), len(known) - before)):
                 del known[word]
             del self.starts[before:], self.sizes[before:], self.ids[used:]
         return found, np.diff(ends[bounds])
