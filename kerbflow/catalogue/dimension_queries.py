@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbflow.catalogue import register
 from kerbflow.catalogue.standins import ctes, table
 from kerbflow.plans import dimensions
+from kerbflow.plans.runs import Jobs
+from kerbflow.session import scratch_path
+from kerbflow.sources.store import TableStore
 
 
 @register(
@@ -149,6 +152,25 @@ def device_energy_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.device_energy_settings(_paths(spark, sf_dir))
 
 
+@register(
+    "energy_two_fixtures",
+    _PATHS
+    + """,
+lamps as (
+  select distinct nodeid, fixtureid,
+    cast(replace(replace(replace(legacy_power, 'W', ''), 'w', ''), ' ', '') as double) as legacy_power,
+    cast(replace(replace(max_led_power, 'W', ''), 'w', '') as double) as max_led_power from paths)
+select p.siteid, nodeid, legacy_power, max_led_power
+from (select nodeid, sum(legacy_power) as legacy_power, sum(max_led_power) as max_led_power
+  from lamps group by 1) l
+join (select nodeid, min(siteid) as siteid from paths group by 1) p using (nodeid)""",
+)
+def energy_two_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settings table an energy run reads: the lamps of a node add up."""
+    jobs = Jobs(TableStore(spark, scratch_path(spark, "settings")))
+    return jobs.energy_settings(*(table(spark, sf_dir, n) for n in ("site_fixture", "fixtures", "fixture_node")))
+
+
 @register(
     "dim_groups",
     "with "

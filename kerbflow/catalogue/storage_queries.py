@@ -147,6 +147,44 @@ def refresh_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_DAILY = (
+    "with "
+    + ctes("sites", "ticks")
+    + f""",
+daily as (select 's' || user_id as siteid, time - time % 86400000000 + 86400000000 as endtime,
+  min(time - time % 900000000) as starttime, count(*) as n from ticks group by 1, 2)"""
+)
+
+
+@register(
+    "refresh_moved_day",
+    _DAILY
+    + f"""
+select d.siteid, d.endtime, starttime, n, cast({RUN_S + 900} as bigint) as ts,
+  strftime(timezone(time_zone, timezone('UTC', make_timestamp(starttime))), '%Y-%m-%d') as startday
+from daily d join sites s on d.siteid = s.siteid""",
+)
+def refresh_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows whose first bucket comes late: at first from six hours on, then all.
+
+    The first bucket decides the site-local day a row is filed under, so many rows move to
+    the day before.
+    """
+    ticks = table(spark, sf_dir, "ticks").withColumn("siteid", F.concat(F.lit("s"), "user_id"))
+    sites = table(spark, sf_dir, "sites")
+    daily = warehouse.FactTable("daily", ("siteid", "endtime"), "starttime", local=True)
+    target = store(spark, "moved")
+    morning = F.col("time") % times.DAY_US < 6 * times.HOUR_US
+    for run_s, seen in ((RUN_S, ticks.filter(~morning)), (RUN_S + 900, ticks)):
+        period = times.bucket_start(F.col("time"), times.DAY_US) + F.lit(times.DAY_US)
+        facts = seen.groupBy("siteid", period.alias("endtime")).agg(
+            F.min(times.bucket_start(F.col("time"))).alias("starttime"), F.count("*").alias("n")
+        )
+        staged = warehouse.stage_local(facts.withColumns(times.bucket_labels()), sites, run_s)
+        result = warehouse.refresh_warehouse(target, daily, staged)
+    return result.select("siteid", "endtime", "starttime", "n", "ts", "startday")
+
+
 @register(
     "append_or_replace",
     "with "

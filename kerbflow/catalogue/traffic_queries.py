@@ -161,6 +161,20 @@ def combo_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "combo_busy_object",
+    FACTS.replace("from traffic_status", "from (select * replace ('n' as nodeid, 'na' as data) from traffic_status) busy")
+    + "\nselect nodeid, starttime, eventname, eventtime, objectclass, objectid, siteid from combos",
+)
+def combo_busy_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events at one node without an object id: one object that is seen all the time."""
+    busy = table(spark, sf_dir, "traffic_status").withColumns({"nodeid": F.lit("n"), "data": F.lit("na")})
+    found = traffic.transitions(traffic.object_facts(busy))
+    return found.select(
+        "nodeid", "starttime", "eventname", "eventtime", "objectclass", "objectid", "siteid"
+    )
+
+
 @register(
     "route_by_type",
     "with "

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.functions.times import HOUR_US
-from kerbflow.operators.sequences import with_previous
+from kerbflow.operators.sequences import LEVELS, with_previous
 
 
 def counter_rate(
@@ -17,14 +17,14 @@ def counter_rate(
     time: str = "time",
     value: str = "value",
     ties: Sequence[str] = ("sensor",),
-    slice_us: int = HOUR_US,
+    levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
     """Hourly rate between each sample and the one before it.
 
     The first sample of a key and equal times give null; a reset gives a negative rate.
     Pass ``keys=("nodeid", "sensor")`` to keep several meters of a node apart.
     """
-    paired = with_previous(samples, keys, [time, *ties], [value], slice_us=slice_us)
+    paired = with_previous(samples, keys, [time, *ties], [value], levels=levels)
     change = F.col(value) - F.col(f"previous.{value}")
     elapsed = F.col(time) - F.col(f"previous.{time}")
     rate = F.try_divide(change, elapsed) * F.lit(float(HOUR_US))

@@ -11,9 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType
 
 from kerbflow.functions import times
 
+SPAN_BUCKETS = 384  # four days of quarter hours: what one row may become at once
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -76,14 +79,31 @@ def with_spans(
     return span.filter(F.col("first_bucket") <= F.col("last_bucket"))
 
 
-def emit_spans(df: DataFrame, bucket: str) -> DataFrame:
+def cut_spans(df: DataFrame, most: int = SPAN_BUCKETS) -> DataFrame:
+    """Spans of at most ``most`` buckets, dealt out by key and place.
+
+    The next step multiplies rows by their spans, so a task's output then follows from its
+    input, and one long span is no task of its own.  The tasks must not be merged because
+    their input is small, so their number is the configured one.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = F.explode(F.sequence("first_bucket", "last_bucket", F.lit(most)))
+    ends = F.least(F.col("last_bucket"), F.col("first_bucket") + F.lit(most - 1))
+    pieces = df.withColumn("first_bucket", starts).withColumn("last_bucket", ends)
+    spread = [c for c in df.columns if isinstance(df.schema[c].dataType, (StringType, IntegerType, LongType))]
+    return pieces.repartition(count, *spread)
+
+
+def emit_spans(df: DataFrame, bucket: str, grid: Grid) -> DataFrame:
     """One row per bucket of each span.
 
     Adds ``grid_bucket``, ``is_own`` (it is the row's own bucket) and ``is_lead_in`` (it
     lies before that).  Join what the rows need before this step, which multiplies them.
+    Only on a grid longer than ``SPAN_BUCKETS`` can a span be longer; it is cut first.
     """
+    spans = cut_spans(df) if grid.size > SPAN_BUCKETS else df
     return (
-        df.withColumn("grid_bucket", F.explode(F.sequence("first_bucket", "last_bucket")))
+        spans.withColumn("grid_bucket", F.explode(F.sequence("first_bucket", "last_bucket")))
         .withColumn("is_own", F.col("grid_bucket") == F.col(bucket))
         .withColumn("is_lead_in", F.col("grid_bucket") < F.col(bucket))
         .drop("first_bucket", "last_bucket")
@@ -94,4 +114,4 @@ def emit_to_next(
     df: DataFrame, keys: Sequence[str], bucket: str, grid: Grid, lead_in: bool = True
 ) -> DataFrame:
     """One row per key and grid bucket from one row per key and non-empty bucket."""
-    return emit_spans(with_spans(df, keys, bucket, grid, lead_in), bucket)
+    return emit_spans(with_spans(df, keys, bucket, grid, lead_in), bucket, grid)

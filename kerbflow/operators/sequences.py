@@ -1,11 +1,13 @@
 """Neighbouring rows of a keyed, time-ordered sequence, without one task per key.
 
 A window over the bare key would pull every row of a busy key into one task.  Here each
-key's time line is cut into slices: the neighbour is looked up inside ``(key, slice)``,
-and the one edge row per slice is passed on to the adjacent non-empty slice.  A task
-never holds more than one slice of a key, and the edge pass sees at most one row per key
-and slice.  The shuffle by ``(key, slice)`` is explicit, because a partitioning by the
-bare key left by an earlier join would also satisfy the window.
+key's time line is cut into slices and the neighbour is looked up inside ``(key, slice)``.
+Only a slice's first and last row go one level up, to wider slices, and so on to the key:
+the last row of a slice is what the first row of the next non-empty one looks for.  Rows
+that have found their neighbour are done and move no further, so raw rows are scanned and
+shuffled once, and no task holds more than one slice of a key or two rows for each slice
+below.  The shuffle by ``(key, slice)`` is explicit, because a partitioning by the bare key
+left by an earlier join would also satisfy the window.
 
 ``order`` must identify a row within its key (time first, then tie breakers); tables
 kept by ``versions.upsert`` meet this.
@@ -18,34 +20,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.functions.times import HOUR_US, MINUTE_US, bucket_start
+from kerbflow.functions.times import DAY_US, HOUR_US, MINUTE_US, SECOND_US, bucket_start
 
 SLICE = "_slice"
+# Slice widths, finest first: for rows seconds to minutes apart, and for dense ones.
+LEVELS = (HOUR_US, DAY_US)
+DENSE_LEVELS = (MINUTE_US, HOUR_US, DAY_US)
 
 
-def fitting_slice(
-    df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    rows_per_slice: int = 4_000_000,
-    widest_us: int = HOUR_US,
-) -> int:
-    """Slice width at which no key has more than about ``rows_per_slice`` rows per slice.
-
-    Runs one counting job over the key and time columns; a single number, the rows of the
-    densest key and minute, comes back.
-    """
-    minute = bucket_start(F.col(time), MINUTE_US).alias("_minute")
-    densest = df.groupBy(*keys, minute).count().agg(F.max("count")).first()[0]
-    if not densest:
-        return widest_us
-    return max(1, min(widest_us, MINUTE_US * rows_per_slice // densest))
-
-
-def _returned(time: str, payload: Sequence[str], source: str = "") -> Column:
+def _returned(time: str, payload: Sequence[str]) -> Column:
     """The struct handed to the caller: the neighbour's time and payload."""
-    prefix = f"{source}." if source else ""
-    return F.struct(*(F.col(prefix + c).alias(c) for c in dict.fromkeys([time, *payload])))
+    return F.struct(*(F.col(c) for c in dict.fromkeys([time, *payload])))
 
 
 def _neighbour(
@@ -54,31 +39,34 @@ def _neighbour(
     order: Sequence[str],
     payload: Sequence[str],
     name: str,
-    slice_us: int,
+    levels: Sequence[int],
     forward: bool,
 ) -> DataFrame:
     time = order[0]
-    pick = F.lead if forward else F.lag
-    sliced = df.withColumn(SLICE, bucket_start(F.col(time), slice_us))
-    spread = sliced.repartition(*keys, SLICE)
-    inside = pick(_returned(time, payload)).over(
-        Window.partitionBy(*keys, SLICE).orderBy(*order)
-    )
-
-    ordered = F.struct(*order, *(c for c in payload if c not in order))
-    edge = F.min(ordered) if forward else F.max(ordered)
-    edges = sliced.groupBy(*keys, SLICE).agg(edge.alias("_edge"))
-    across = pick(_returned(time, payload, "_edge")).over(
-        Window.partitionBy(*keys).orderBy(SLICE)
-    )
-    edges = edges.select(*keys, SLICE, across.alias("_across"))
-
-    return (
-        spread.withColumn("_inside", inside)
-        .join(edges, [*keys, SLICE], "left")
-        .withColumn(name, F.coalesce("_inside", "_across"))
-        .drop("_inside", "_across", SLICE)
-    )
+    pick, other = (F.lead, F.lag) if forward else (F.lag, F.lead)
+    waiting = df.withColumn("_waits", F.lit(True))
+    done = []
+    for width in [*levels, None]:
+        if width is None:
+            inside = Window.partitionBy(*keys).orderBy(*order)
+        else:
+            waiting = waiting.withColumn(SLICE, bucket_start(F.col(time), width)).repartition(*keys, SLICE)
+            inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
+        paired = waiting.withColumns(
+            {
+                name: pick(_returned(time, payload)).over(inside),
+                "_opens": pick(F.lit(1)).over(inside).isNull(),
+                "_closes": other(F.lit(1)).over(inside).isNull(),
+            }
+        )
+        settled = F.col("_waits") if width is None else F.col("_waits") & ~F.col("_opens")
+        done.append(paired.filter(settled).select(*df.columns, name))
+        still = F.col("_waits") & F.col("_opens")
+        waiting = paired.filter(still | F.col("_closes")).select(*df.columns, still.alias("_waits"))
+    result = done[0]
+    for part in done[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def with_previous(
@@ -87,10 +75,10 @@ def with_previous(
     order: Sequence[str],
     payload: Sequence[str],
     name: str = "previous",
-    slice_us: int = HOUR_US,
+    levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
     """Add struct ``name`` holding time and ``payload`` of the row before, or null."""
-    return _neighbour(df, keys, order, payload, name, slice_us, forward=False)
+    return _neighbour(df, keys, order, payload, name, levels, forward=False)
 
 
 def with_next(
@@ -99,10 +87,10 @@ def with_next(
     order: Sequence[str],
     payload: Sequence[str],
     name: str = "following",
-    slice_us: int = HOUR_US,
+    levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
     """Add struct ``name`` holding time and ``payload`` of the row after, or null."""
-    return _neighbour(df, keys, order, payload, name, slice_us, forward=True)
+    return _neighbour(df, keys, order, payload, name, levels, forward=True)
 
 
 def with_recent_previous(
@@ -113,32 +101,43 @@ def with_recent_previous(
     max_gap_us: int,
     name: str = "previous",
     slice_us: int = HOUR_US // 4,
+    busy: Column | None = None,
+    busy_slice_us: int = SECOND_US,
 ) -> DataFrame:
     """:func:`with_previous` when only neighbours closer than ``max_gap_us`` matter.
 
     Rows in the last ``max_gap_us`` of a slice are copied into the next slice, so one
-    shuffle is enough and no edge pass is needed.  A neighbour further away may come back
-    as null; one at ``max_gap_us`` or more is never returned.
+    shuffle is enough.  A neighbour further away may come back as null; one at
+    ``max_gap_us`` or more is never returned.
+
+    ``busy`` marks keys (it must follow from them) with too many rows for that: theirs are
+    cut into slices of ``busy_slice_us`` without copies, and only the first and last row of
+    each is looked at again the usual way.
     """
     time = order[0]
     slice_us = max(slice_us, max_gap_us)
-    own_slice = bucket_start(F.col(time), slice_us)
-    until_slice_end = own_slice + F.lit(slice_us) - F.col(time)
-    copies = F.when(
-        until_slice_end < F.lit(max_gap_us), F.array(F.lit(0), F.lit(1))
-    ).otherwise(F.array(F.lit(0)))
-    spread = (
-        df.withColumn("_copy", F.explode(copies))
-        .withColumn(SLICE, own_slice + F.col("_copy") * F.lit(slice_us).cast("long"))
-        .repartition(*keys, SLICE)
-    )
-    before = F.lag(_returned(time, payload)).over(
-        Window.partitionBy(*keys, SLICE).orderBy(*order)
-    )
+    coarse = bucket_start(F.col(time), slice_us)
+    near_end = coarse + F.lit(slice_us) - F.col(time) < F.lit(max_gap_us)
+    is_busy = F.lit(False) if busy is None else F.coalesce(busy, F.lit(False))
+    copies = F.when(near_end & ~is_busy, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    shift = F.col("_copy") * F.lit(slice_us).cast("long")
+    own_slice = F.when(is_busy, bucket_start(F.col(time), busy_slice_us)).otherwise(coarse + shift)
+    spread = df.withColumn("_copy", F.explode(copies)).withColumn(SLICE, own_slice).repartition(*keys, SLICE)
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    paired = spread.withColumn("_before", F.lag(_returned(time, payload)).over(inside))
+    if busy is not None:
+        opens, closes = F.lag(F.lit(1)).over(inside).isNull(), F.lead(F.lit(1)).over(inside).isNull()
+        paired = paired.withColumns({"_opens": opens, "_closes": closes})
     near = F.col(time) - F.col(f"_before.{time}") < F.lit(max_gap_us)
-    return (
-        spread.withColumn("_before", before)
-        .filter(F.col("_copy") == 0)
-        .withColumn(name, F.when(near, F.col("_before")))
-        .drop("_copy", "_before", SLICE)
+    found = paired.withColumn(name, F.when(near, F.col("_before"))).filter(F.col("_copy") == 0)
+    if busy is None:
+        return found.select(*df.columns, name)
+    # Products, not conditions: a filter by key alone would be moved below the shuffle, and
+    # the two branches would no longer share it.
+    flag = is_busy.cast("int")
+    settled = found.filter(flag * F.col("_opens").cast("int") == 0).select(*df.columns, name)
+    edges = found.filter(flag * (F.col("_opens") | F.col("_closes")).cast("int") == 1)
+    edges = with_recent_previous(
+        edges.select(*df.columns, "_opens"), keys, order, payload, max_gap_us, name, slice_us
     )
+    return settled.unionByName(edges.filter("_opens").select(*df.columns, name))

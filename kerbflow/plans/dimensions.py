@@ -150,7 +150,7 @@ def energy_settings_dimension(paths: DataFrame) -> DataFrame:
 
 
 def device_energy_settings(paths: DataFrame) -> DataFrame:
-    """Settings the energy rollup joins: numbers, 0.0 for empty text."""
+    """Settings per path: numbers, 0.0 for empty text."""
 
     def power(name: str) -> Column:
         return F.coalesce(watts(F.col(name)), F.lit(0.0)).alias(name)
@@ -158,6 +158,20 @@ def device_energy_settings(paths: DataFrame) -> DataFrame:
     return paths.select("siteid", "nodeid", power("legacy_power"), power("max_led_power"))
 
 
+def node_energy_settings(paths: DataFrame) -> DataFrame:
+    """Settings the energy rollup joins: one row per node.
+
+    A node's meter measures all its fixtures, so their powers add up; a fixture that is
+    reached twice counts once.  A node of several sites belongs to the smallest id.
+    """
+    lamps = device_energy_settings(paths.dropDuplicates(["nodeid", "fixtureid"]))
+    per_node = lamps.groupBy("nodeid").agg(
+        F.sum("legacy_power").alias("legacy_power"), F.sum("max_led_power").alias("max_led_power")
+    )
+    site = paths.groupBy("nodeid").agg(F.min("siteid").alias("siteid"))
+    return per_node.join(site, "nodeid").select("siteid", "nodeid", "legacy_power", "max_led_power")
+
+
 def node_groups(site_group: DataFrame, groups: DataFrame, group_node: DataFrame) -> DataFrame:
     """Organizational groups (distinct) and lighting groups with their nodes."""
     labelled = groups.select(

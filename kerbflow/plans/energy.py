@@ -6,6 +6,7 @@ ordered by node; the ordered pass sees at most one row per node and bucket.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from kerbflow.functions import times
 from kerbflow.operators.counters import counter_rate
 from kerbflow.operators.grids import Grid, emit_to_next, spread_by_key
+from kerbflow.operators.sequences import LEVELS
 from kerbflow.sources.schemas import ENERGY_SENSORS
 
 BUCKET_HOURS = 0.25
@@ -36,13 +38,13 @@ class EnergyRules:
 
 
 def positive_rates(
-    samples: DataFrame, per_sensor: bool = False, slice_us: int = times.HOUR_US
+    samples: DataFrame, per_sensor: bool = False, levels: Sequence[int] = LEVELS
 ) -> DataFrame:
     """Power per sample.  First samples, resets and flat readings drop out."""
     keys = ("nodeid", "sensor") if per_sensor else ("nodeid",)
     ties = () if per_sensor else ("sensor",)
     meters = samples.filter(F.col("sensor").isin(*ENERGY_SENSORS))
-    rates = counter_rate(meters, keys, ties=ties, slice_us=slice_us).filter(F.col("rate") > 0)
+    rates = counter_rate(meters, keys, ties=ties, levels=levels).filter(F.col("rate") > 0)
     return rates.select("nodeid", "time", "rate")
 
 
@@ -85,22 +87,32 @@ def bucket_neighbours(summary: DataFrame, grid: Grid) -> DataFrame:
     )
 
 
+def one_per_node(settings: DataFrame) -> DataFrame:
+    """The settings, checked to hold each node once when they are read."""
+    rows = F.count("*")
+    held = [F.first(c).alias(c) for c in settings.columns if c != "nodeid"]
+    twice = F.raise_error(F.concat(F.lit("several settings rows for node "), "nodeid")).cast("int")
+    checked = settings.groupBy("nodeid").agg(rows.alias("_rows"), *held)
+    return checked.filter(F.when(F.col("_rows") > 1, twice).otherwise(1) == 1).drop("_rows")
+
+
 def node_15min(
     samples: DataFrame,
     settings: DataFrame,
     grid: Grid,
     rules: EnergyRules = EnergyRules(),
     per_sensor: bool = False,
-    slice_us: int = times.HOUR_US,
+    levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
     """One row per node and bucket; empty buckets between near neighbours are filled.
 
-    ``settings`` has one row per node; nodes without settings are left out.  It joins the
-    summaries, not the samples: there is at most one summary per node and bucket, so a
-    busy node does not make a heavy join key.
+    ``settings`` has one row per node (``dimensions.node_energy_settings`` makes them so;
+    several for one node fail the run rather than lose a lamp); nodes without settings are
+    left out.  It joins the summaries, not the samples: there is at most one summary per
+    node and bucket, so a busy node does not make a heavy join key.
     """
-    rates = positive_rates(samples, per_sensor, slice_us)
-    summary = neighbour_summary(rates, grid, rules.zero_watts).join(settings, "nodeid")
+    rates = positive_rates(samples, per_sensor, levels)
+    summary = neighbour_summary(rates, grid, rules.zero_watts).join(one_per_node(settings), "nodeid")
     rows = bucket_neighbours(summary, grid)
 
     gap_s = F.floor((F.col("q_time") - F.col("p_time")) / F.lit(times.SECOND_US))

@@ -15,14 +15,7 @@ from kerbflow.functions.values import zero_as_null
 from kerbflow.operators import scans
 from kerbflow.operators.grids import Grid, emit_spans, spread_by_key, with_spans
 
-# Ways to cut a 15-minute bucket into equal slices, coarsest first.
-SLICE_COUNTS = (15, 60, 180, 900, 9_000, 90_000, 900_000)
-
-
-def slices_for(slice_us: int, width_us: int = times.BUCKET_US) -> int:
-    """The coarsest cut whose slices are not wider than ``slice_us``."""
-    fine_enough = (n for n in SLICE_COUNTS if width_us <= n * slice_us)
-    return next(fine_enough, SLICE_COUNTS[-1])
+SLICES = 15  # of a bucket, summed up on their own first
 
 
 def silent_occupied(events: DataFrame, prior: DataFrame, spots: DataFrame, grid: Grid) -> DataFrame:
@@ -87,7 +80,7 @@ def _merge_slices(slices: DataFrame) -> DataFrame:
 
 
 def spot_spans(
-    events: DataFrame, prior: DataFrame, grid: Grid, slices: int = SLICE_COUNTS[0]
+    events: DataFrame, prior: DataFrame, grid: Grid, slices: int = SLICES
 ) -> DataFrame:
     """Per spot and bucket with rows: the bucket's summary and the state it begins with.
 
@@ -114,7 +107,7 @@ def spot_buckets(spans: DataFrame, grid: Grid, *attributes: str) -> DataFrame:
 
     A spot with any row gets all buckets.  ``attributes`` are columns of the spans to keep.
     """
-    rows = emit_spans(spans, "bucket")
+    rows = emit_spans(spans, "bucket", grid)
     start = grid.start_of(F.col("grid_bucket"))
     end = start + F.lit(grid.width_us)
     own, lead_in = F.col("is_own"), F.col("is_lead_in")
@@ -153,7 +146,7 @@ def spot_15min(
     zones: DataFrame,
     bridge: DataFrame,
     grid: Grid,
-    slices: int = SLICE_COUNTS[0],
+    slices: int = SLICES,
 ) -> DataFrame:
     """Spot facts with zone, group and site, the end state and the zone's capacity.
 

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from kerbflow.functions import times
 from kerbflow.operators import counters, scans, versions
 from kerbflow.operators.grids import Grid
-from kerbflow.operators.sequences import fitting_slice
-from kerbflow.plans import capacity, energy, parking, traffic, warehouse
+from kerbflow.plans import capacity, dimensions, energy, parking, traffic, warehouse
 from kerbflow.session import remove_path, scratch_path
 from kerbflow.sources.control import ControlTable
 from kerbflow.sources.schemas import schema_of
@@ -76,11 +75,9 @@ def parking_grid(mark_us: int, until_us: int, buckets_back: int = 1) -> Grid:
     """Grid from the last bucket start before the mark (moved back for late rows); a mark on
     the hour starts the grid itself."""
     from_us = mark_us - buckets_back * times.BUCKET_US
-    start = from_us - from_us % times.HOUR_US
-    for _ in range(3):
-        if start + times.BUCKET_US < from_us:
-            start += times.BUCKET_US
-    return Grid(start, until_us)
+    if from_us % times.HOUR_US:
+        from_us -= 1  # on a later quarter the grid starts one bucket early
+    return Grid(from_us - from_us % times.BUCKET_US, until_us)
 
 
 def minute_text(us: int) -> str:
@@ -192,8 +189,7 @@ class Jobs:
             window = replace(window, partial=True)
             status = status.filter(F.col("nodeid") == only)
         with self._scratch() as written:
-            slice_us = fitting_slice(status, ["nodeid"], "time", widest_us=times.BUCKET_US)
-            facts = traffic.traffic_facts(status, slice_us).filter(F.col("eventtime") >= start)
+            facts = traffic.traffic_facts(status).filter(F.col("eventtime") >= start)
             facts = written(facts, "traffic-facts")
             if keep_facts:
                 self.store.append("job_traffic_events", with_day(facts), by=[DAY])
@@ -228,11 +224,7 @@ class Jobs:
             settings = settings.filter(F.col("siteid") == only)
             samples = scans.only_keys(samples, "nodeid", settings)
         with self._scratch() as written:
-            slice_us = fitting_slice(samples, ["nodeid"], "time")
-            buckets = written(
-                energy.node_15min(samples, settings, grid, rules, slice_us=slice_us),
-                "energy-buckets",
-            )
+            buckets = written(energy.node_15min(samples, settings, grid, rules), "energy-buckets")
             node = buckets
             site = energy.site_rollup(buckets, "15min")
             for grain in ("1hr", "1day"):
@@ -275,11 +267,7 @@ class Jobs:
                 earlier, ["parkingspotid"], [F.col("starttime").desc(), F.col("occupancy").desc()]
             )
             bridge = self.store.read("parking_zone_group", schema_of("parking_zone_group"))
-            slices = parking.slices_for(fitting_slice(events, ["parkingspotid"], "since"))
-            spot = written(
-                parking.spot_15min(events, prior, spots, zones, bridge, grid, slices),
-                "parking-spots",
-            )
+            spot = written(parking.spot_15min(events, prior, spots, zones, bridge, grid), "parking-spots")
             zone = written(parking.zone_rollup(spot), "parking-zones")
             outputs: Sequence[tuple[str, DataFrame, list[str]]] = (
                 ("aggregation_parking_status", with_day(parking.end_states(spot)), ["parkingspotid"]),
@@ -344,6 +332,15 @@ class Jobs:
         )
         self.store.replace(f"{prefix}parking_spot", warehouse.snapshot(spots, run_s))
 
+    def energy_settings(self, site_fixture: DataFrame, fixtures: DataFrame, fixture_node: DataFrame) -> DataFrame:
+        """Replace the settings table that energy runs read, one row per node."""
+        paths = dimensions.fixture_paths(site_fixture, fixtures, fixture_node)
+        return self.store.replace("device_energy_settings", dimensions.node_energy_settings(paths))
+
+    def zone_groups(self, parking_groups: DataFrame) -> DataFrame:
+        """Replace the bridge from zones to groups that parking runs read."""
+        return self.store.replace("parking_zone_group", dimensions.zone_group_bridge(parking_groups))
+
     def copy_dimensions(self, tables: dict[str, DataFrame]) -> None:
         """Replace the given dimensions; a missing table is created."""
         for name, rows in tables.items():

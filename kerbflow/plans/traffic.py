@@ -20,6 +20,7 @@ DWELL_TYPE = "ObjectDwellEvent"
 TRANSITION_TYPE = "COMBO"
 MIN_DWELL_US = 2_000_000.0
 TRANSITION_GAP_US = 60 * times.SECOND_US
+NO_OBJECT = ("na", "")  # ids of objects without one
 
 FACT_COLUMNS = (
     "nodeid", "starttime", "eventtype", "eventname", "eventid", "data", "eventtime",
@@ -85,7 +86,11 @@ def object_facts(status: DataFrame) -> DataFrame:
 
 def with_transitions(facts: DataFrame, slice_us: int = times.BUCKET_US) -> DataFrame:
     """Facts plus one transition row wherever an object was seen at the same node less
-    than 60 s before; named ``node==>previous event==>this event``."""
+    than 60 s before; named ``node==>previous event==>this event``.
+
+    Objects without an id of their own count as one object of their node, which may bring
+    any number of rows in a minute.
+    """
     paired = with_recent_previous(
         facts,
         ["nodeid", "objectid"],
@@ -93,6 +98,7 @@ def with_transitions(facts: DataFrame, slice_us: int = times.BUCKET_US) -> DataF
         ["eventname"],
         TRANSITION_GAP_US,
         slice_us=slice_us,
+        busy=F.col("objectid").isin(*NO_OBJECT),
     )
     # A flag per emitted row rather than arrays of whole rows, so that columns a caller
     # does not use (the document above all) are pruned before the shuffle.

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbflow.functions import times
 from kerbflow.functions.values import zero_as_null
 from kerbflow.operators import versions
+from kerbflow.sources.day_versions import days_of
 from kerbflow.sources.store import DAY, TableStore
 
 STAGING_PREFIX = "stg_"
@@ -28,7 +30,9 @@ class FactTable:
     that left out, say, the object class would lose rows.  ``time`` is in ``unit`` ("us" or
     "ms").  ``overlap_us`` is how far before the mark a
     run reads again to pick up late rows.  Tables with ``local`` get site-local display
-    times and are partitioned by the site's own day.
+    times and are partitioned by the site's own day.  ``day_reach`` is how many days
+    apart the versions of one key can lie: a local row is filed under the local day of the
+    first bucket seen in its UTC period, which differs by less than a day between versions.
     """
 
     name: str
@@ -38,6 +42,10 @@ class FactTable:
     overlap_us: int = times.MINUTE_US
     local: bool = False
 
+    @property
+    def day_reach(self) -> int:
+        return 1 if self.local else 0
+
 
 FACT_TABLES = {
     t.name: t
@@ -143,6 +151,12 @@ def refresh_span(run_hour: int, today: str, yesterday: str) -> list[str]:
     return [yesterday, today] if run_hour == 1 else [today]
 
 
+def days_around(days: Sequence[str], reach: int) -> list[str]:
+    """The days and those up to ``reach`` before and after each."""
+    shifts = [timedelta(days=k) for k in range(-reach, reach + 1)]
+    return sorted({f"{date.fromisoformat(day) + shift}" for day in days for shift in shifts})
+
+
 def refresh_warehouse(
     store: TableStore, table: FactTable, batch: DataFrame, days: Sequence[str] | None = None
 ) -> DataFrame:
@@ -150,21 +164,33 @@ def refresh_warehouse(
 
     Every rewritten day is settled from its staged rows and the rows it already holds, so
     replaying a batch changes nothing and days whose staging was retired lose nothing.
-    ``days`` restricts the rewrite; staging keeps the rest for later.
+    ``days`` restricts the rewrite to these days and their neighbours; staging keeps the
+    rest for later.
+
+    Where a new version of a row can lie on another day than the one it replaces, the
+    days around the touched ones are rewritten too, settled with the days around those, so
+    every key that is rewritten is seen with all its versions and stays in one day.  A day
+    that has lost all its rows is removed.  Touched days come to the driver as labels and
+    prune the partitions that are read.
     """
-    staging = STAGING_PREFIX + table.name
+    staging, name = STAGING_PREFIX + table.name, WAREHOUSE_PREFIX + table.name
     store.append(staging, batch, by=[DAY])
+    touched = days_of(batch) if days is None else list(days)
+    rewritten = days_around(touched, table.day_reach)
+    seen = F.col(DAY).isin(*days_around(touched, 2 * table.day_reach))
     # Read with the batch's schema, so that the day column is not inferred as a date.
-    staged = store.read(staging, batch.schema)
-    if store.exists(WAREHOUSE_PREFIX + table.name):
-        staged = staged.unionByName(store.read(WAREHOUSE_PREFIX + table.name, batch.schema))
-    if days is None:
-        touched = batch.select(DAY).distinct()
-        recent = staged.join(touched, DAY, "left_semi")
-    else:
-        recent = staged.filter(F.col(DAY).isin(*days))
-    current = latest_version(recent, table.keys)
-    return store.overwrite_days(WAREHOUSE_PREFIX + table.name, current)
+    recent = store.read(staging, batch.schema).filter(seen)
+    if store.exists(name):
+        recent = recent.unionByName(store.read(name, batch.schema).filter(seen))
+    current = latest_version(recent, table.keys).filter(F.col(DAY).isin(*rewritten))
+    if not table.day_reach or not rewritten:
+        return store.overwrite_days(name, current)
+    kept = Observation()
+    counts = [F.count_if(F.col(DAY) == day).alias(day) for day in rewritten]
+    store.overwrite_days(name, current.observe(kept, *counts))
+    held = kept.get
+    store.drop_days(name, [day for day in rewritten if not held[day]])
+    return store.read(name, batch.schema)
 
 
 def retained(staged: DataFrame, first_kept: str) -> DataFrame:

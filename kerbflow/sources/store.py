@@ -114,6 +114,12 @@ class TableStore:
             df = versions.latest_per_key(df, keys, [*newest_first, *versions.remaining_columns(df, keys)] or [F.lit(1)])
         return self.overwrite_days(name, df, day)
 
+    def drop_days(self, name: str, days: Sequence[str], day: str = DAY) -> list[str]:
+        """Remove whole day partitions; returns the labels of those that were there."""
+        fs, path = self._files(name)
+        child = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return [label for label in days if fs.delete(child(path, f"{day}={label}"), True)]
+
     def drop_days_before(self, name: str, first_kept: str, day: str = DAY) -> list[str]:
         """Remove whole day partitions older than ``first_kept``; returns their labels.
 

@@ -130,3 +130,30 @@ def test_rollup_units(spark):
     assert site.actual_energy_consumption == 10.0  # Wh: (10 + 30) * 0.25
     assert quarter.actual_energy_consumption == 10.0
     assert node.savings_legacy_vs_led == site.savings_legacy_vs_led == 30.0
+
+
+def test_lamps_of_a_node_add_up(spark, store):
+    """Two fixtures on one node, one of them reached over two sites."""
+    fixtures = spark.createDataFrame([("f1", "100W", "40W"), ("f2", "200 w", "60w"), ("f3", "10W", "20W")], "fixtureid string, LegacyPowerDraw string, PowerDraw string")
+    at_site = spark.createDataFrame([("f1", "s2"), ("f2", "s1"), ("f2", "s2"), ("f3", "s1")], "fixtureid string, siteid string")
+    to_node = spark.createDataFrame([("f1", "n"), ("f2", "n"), ("f3", "n")], "fixtureid string, nodeid string")
+    settings = runs.Jobs(store).energy_settings(at_site, fixtures, to_node)
+    assert rows(settings) == [("s1", "n", 300.0, 100.0)]
+
+
+def test_several_settings_rows_of_a_node_are_refused(spark):
+    twice = spark.createDataFrame([("s", "n", 100.0, 40.0), ("s", "n", 200.0, 40.0)], SETTINGS)
+    samples = spark.createDataFrame([("n", "w", G0, 1.0), ("n", "w", G0 + 60 * SECOND_US, 2.0)], SAMPLES)
+    with pytest.raises(Exception, match="several settings rows for node n"):
+        energy.node_15min(samples, twice, Grid(G0, G0 + 8 * BUCKET_US)).collect()
+
+
+def test_a_long_grid_is_emitted_in_pieces(spark):
+    """One key with two samples far apart: its buckets are dealt out over all tasks."""
+    n = 200_000
+    grid = Grid(G0, G0 + n * BUCKET_US)
+    rates = spark.createDataFrame([("n", G0, 5.0), ("n", G0 + (n - 1) * BUCKET_US, 7.0)], "nodeid string, time bigint, rate double")
+    emitted = energy.bucket_neighbours(energy.neighbour_summary(rates, grid, 0.1), grid)
+    sizes = [r["count"] for r in emitted.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n and len(sizes) == 4 and max(sizes) < n / 2
+    assert emitted.agg(F.min("grid_bucket"), F.max("grid_bucket"), F.count_distinct("grid_bucket")).first() == (0, n - 1, n)

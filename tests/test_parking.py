@@ -76,7 +76,7 @@ def test_total_occupied_time_equals_interval_overlap(spark):
     got = buckets(spark, changes, n=10)
     grid = Grid(G0, G0 + 10 * BUCKET_US)
     events = spark.createDataFrame([(s, t, o, "z") for s, t, o in changes], EVENTS)
-    stretches = with_next(events, ["parkingspotid"], ["since"], [], slice_us=BUCKET_US).filter("occupancy")
+    stretches = with_next(events, ["parkingspotid"], ["since"], [], levels=(BUCKET_US,)).filter("occupancy")
     stretches = stretches.withColumn("until_us", F.coalesce("following.since", F.lit(grid.end_us)))
     overlap = bucket_overlap(stretches, ["parkingspotid"], "since", "until_us", grid)
     assert {(G0 + i * BUCKET_US, v[0]) for (_, i), v in got.items() if v[0]} == set(
@@ -96,14 +96,6 @@ def test_number_of_slices_does_not_matter(spark, slices):
     assert got == [(G0 + i * BUCKET_US, *v) for i, v in brute_force(own, False, 6).items()]
 
 
-def test_slices_follow_the_wanted_width():
-    assert parking.slices_for(HOUR_US) == 15
-    assert parking.slices_for(BUCKET_US // 15) == 15
-    assert parking.slices_for(BUCKET_US // 15 - 1) == 60
-    assert parking.slices_for(1) == 900_000
-    assert all(BUCKET_US % n == 0 for n in parking.SLICE_COUNTS)
-
-
 def test_bucket_edges_and_repeated_rows(spark):
     got = buckets(
         spark,

@@ -26,16 +26,25 @@ def sequence(spark, seed=1, n=600):
     return spark.createDataFrame(data, "key string, time bigint, id int, value double")
 
 
-@pytest.mark.parametrize("slice_us", [MINUTE, HOUR_US, 100 * HOUR_US])
+def shuffles(df):
+    """Shuffles that ran, and uses of one that had already run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    reused = final.count("ReusedExchange")  # such a line names the shuffle again
+    return final.count(" Exchange hashpartitioning") - reused, reused
+
+
+@pytest.mark.parametrize("levels", [(), (MINUTE,), (HOUR_US, 24 * HOUR_US), (MINUTE, HOUR_US, 24 * HOUR_US)])
 @pytest.mark.parametrize("partitions", [1, 7])
-def test_previous_and_next_equal_plain_window(spark, slice_us, partitions):
+def test_previous_and_next_equal_plain_window(spark, levels, partitions):
     df = sequence(spark).repartition(partitions)
     whole = Window.partitionBy("key").orderBy("time", "id")
     expected = df.withColumns(
         {"before": F.lag("value").over(whole), "after": F.lead("value").over(whole)}
     )
-    with_before = sequences.with_previous(df, ["key"], ["time", "id"], ["value"], slice_us=slice_us)
-    with_after = sequences.with_next(df, ["key"], ["time", "id"], ["value"], slice_us=slice_us)
+    with_before = sequences.with_previous(df, ["key"], ["time", "id"], ["value"], levels=levels)
+    with_after = sequences.with_next(df, ["key"], ["time", "id"], ["value"], levels=levels)
     assert rows(expected.select("id", F.coalesce("before", F.lit(-1.0)))) == rows(
         with_before.select("id", F.coalesce("previous.value", F.lit(-1.0)))
     )
@@ -57,15 +66,49 @@ def test_recent_previous_equals_filtered_window(spark, slice_us):
     assert expected.count() > 50
 
 
-def test_fitting_slice_follows_the_densest_minute(spark):
-    df = spark.createDataFrame(
-        [("busy", i * SECOND_US // 10) for i in range(600)] + [("calm", i * MINUTE) for i in range(9)],
-        "key string, time bigint",
+def test_a_key_that_holds_nearly_all_rows_is_spread(spark):
+    """Nine of ten rows on one key: no window sees more than one hour of it, raw rows are
+    shuffled once, and the answer is that of one window."""
+    rng = random.Random(6)
+    made = [("hot" if rng.random() < 0.9 else f"k{i % 7}", rng.randrange(0, 48 * HOUR_US), i, rng.random()) for i in range(6000)]
+    df = spark.createDataFrame(made, "key string, time bigint, id int, value double")
+    whole = Window.partitionBy("key").orderBy("time", "id")
+    expected = df.withColumn("before", F.lag("value").over(whole))
+    got = sequences.with_previous(df, ["key"], ["time", "id"], ["value"])
+    assert rows(expected.select("id", F.coalesce("before", F.lit(-1.0)))) == rows(
+        got.select("id", F.coalesce("previous.value", F.lit(-1.0)))
+    )
+    # Each of the three levels is shuffled once; what is used twice is read again.
+    assert shuffles(got) == (3, 3)
+    hourly = df.groupBy("key", (F.col("time") / HOUR_US).cast("int")).count().agg(F.max("count")).first()[0]
+    assert hourly < 6000 / 20
+
+
+def test_a_null_key_is_a_key(spark):
+    df = spark.createDataFrame([(None, t * HOUR_US, t, float(t)) for t in range(5)], "key string, time bigint, id int, value double")
+    got = sequences.with_previous(df, ["key"], ["time", "id"], ["value"])
+    assert [v for _, v in rows(got.select("id", F.coalesce("previous.value", F.lit(-1.0))))] == [-1.0, 0.0, 1.0, 2.0, 3.0]
+
+
+@pytest.mark.parametrize("fine", [SECOND_US // 10, SECOND_US, 7 * SECOND_US])
+def test_busy_keys_are_cut_below_the_gap(spark, fine):
+    """A key with many rows a second, with pauses around the gap, beside calm ones."""
+    rng = random.Random(3)
+    made, at = [], 0
+    for i in range(4000):
+        at += rng.choice([0, 1_000, 40_000, SECOND_US // 3, SECOND_US * 2, MINUTE - 1, MINUTE, MINUTE + 1]) if i % 50 == 0 else rng.randrange(1, 200_000)
+        made.append(("busy", at, i, float(i)))
+    made += [(f"k{i % 5}", rng.randrange(0, at), 10_000 + i, float(i)) for i in range(300)]
+    df = spark.createDataFrame(made, "key string, time bigint, id int, value double")
+    whole = Window.partitionBy("key").orderBy("time", "id")
+    expected = df.withColumn("t", F.lag("time").over(whole)).filter(F.col("time") - F.col("t") < MINUTE)
+    got = sequences.with_recent_previous(
+        df, ["key"], ["time", "id"], [], MINUTE, busy=F.col("key") == "busy", busy_slice_us=fine
     )
-    assert sequences.fitting_slice(df, ["key"], "time", rows_per_slice=60) == 6 * SECOND_US
-    assert sequences.fitting_slice(df, ["key"], "time", rows_per_slice=6000) == 10 * MINUTE
-    assert sequences.fitting_slice(df, ["key"], "time") == HOUR_US
-    assert sequences.fitting_slice(df.limit(0), ["key"], "time") == HOUR_US
+    assert got.count() == df.count()
+    assert rows(expected, "id", "t") == rows(got.filter("previous is not null").select("id", "previous.time"))
+    # Both branches read one shuffle of the rows.
+    assert shuffles(got) == (2, 1)
 
 
 def test_counter_rate_edges(spark):

@@ -167,3 +167,31 @@ def test_reading_a_missing_table_fails_but_or_empty_does_not(store):
     with pytest.raises(AnalysisException):
         store.read("absent").count()
     assert store.read_or_empty("absent", "a int").count() == 0
+
+
+def test_rows_that_move_to_another_day_stay_once(spark, store):
+    """The first bucket of a day's row moves back over the local midnight."""
+    table = warehouse.FactTable("daily", ("siteid", "endtime"), "starttime", local=True)
+    sites = spark.createDataFrame([("ny", "America/New_York"), ("syd", "Australia/Sydney")], "siteid string, time_zone string")
+
+    def refresh(run_s, *facts):
+        df = spark.createDataFrame([(s, e * times.DAY_US, int(t * times.HOUR_US), n) for s, e, t, n in facts], "siteid string, endtime bigint, starttime bigint, n int")
+        staged = warehouse.stage_local(df.withColumns(times.bucket_labels()), sites, run_s)
+        return rows(warehouse.refresh_warehouse(store, table, staged), "siteid", "endtime", "n", "startday")
+
+    # 10:00 UTC is the same day in New York, 02:00 the day before.
+    first = refresh(1, ("ny", 1, 10, 5), ("ny", 2, 34, 7), ("syd", 1, 20, 1))
+    assert first == [("ny", times.DAY_US, 5, "1970-01-01"), ("ny", 2 * times.DAY_US, 7, "1970-01-02"), ("syd", times.DAY_US, 1, "1970-01-02")]
+    moved = [("ny", times.DAY_US, 6, "1969-12-31"), ("ny", 2 * times.DAY_US, 7, "1970-01-02"), ("syd", times.DAY_US, 1, "1970-01-02")]
+    assert refresh(2, ("ny", 1, 2, 6)) == moved
+    # Played again, and after an old version came back from staging, it stays so.
+    assert refresh(2, ("ny", 1, 2, 6)) == moved
+    assert refresh(1, ("ny", 1, 10, 5)) == moved
+    # A day that lost its only row is gone, and one that was not touched is as before.
+    assert not store.drop_days("fs_daily", ["1970-01-01"])
+    assert refresh(3, ("ny", 2, 26, 8)) == [("ny", times.DAY_US, 6, "1969-12-31"), ("ny", 2 * times.DAY_US, 8, "1970-01-01"), ("syd", times.DAY_US, 1, "1970-01-02")]
+
+
+def test_days_around():
+    assert warehouse.days_around(["2024-03-01"], 1) == ["2024-02-29", "2024-03-01", "2024-03-02"]
+    assert warehouse.days_around([], 2) == [] and warehouse.days_around(["2024-01-01"], 0) == ["2024-01-01"]
