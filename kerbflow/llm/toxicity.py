@@ -48,10 +48,10 @@ class FactorizationMachine:
 
     def raw(self, rows: np.ndarray, feats: np.ndarray, n: int) -> np.ndarray:
         """Scores before the logistic function; rows ascending."""
-        total = self.bias + np.bincount(rows, self.weight[feats], n)
+        total = self.bias + _sums(rows, self.weight[feats], n)
         for f in self.factors.T:
             of = f[feats]
-            total += 0.5 * (np.bincount(rows, of, n) ** 2 - np.bincount(rows, of * of, n))
+            total += 0.5 * (_sums(rows, of, n) ** 2 - _sums(rows, of * of, n))
         return total
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -62,76 +62,118 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit(
-    features: list[np.ndarray],
-    labels: np.ndarray,
-    max_features: int = 2048,
-    min_rows: int = 4,
-    min_chi: float = 16.0,
-    rank: int = 6,
-    epochs: int = 40,
-    batch: int = 256,
-    rate: float = 0.2,
-    positive: float = 4.0,
-    decay: float = 2e-4,
-    seed: int = 5,
-) -> FactorizationMachine:
-    """Fit on the distinct slots of each labelled text.
+def _sums(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums per index, as floats also when there is nothing to add."""
+    return np.bincount(index, values, n).astype(float)
+
+
+def _chosen(features: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all rows in a row, and where each row's begin and end.
 
-    Features are the slots most associated with the label (chi-square) among those that
-    at least ``min_rows`` texts have.  Adagrad on the log loss, in which a toxic row counts
-    ``positive`` times because such rows are few; seeded.
+    ``kept`` are the slots that are features, ascending.
+    """
+    feature = np.full(SLOTS, -1, dtype=np.int32)
+    feature[kept] = np.arange(len(kept), dtype=np.int32)
+    own = [f[f >= 0] for f in (feature[slots] for slots in features)]
+    ends = np.concatenate([[0], np.cumsum([len(f) for f in own])]).astype(np.int64)
+    return np.concatenate([*own, np.empty(0, np.int32)]).astype(np.int32), ends
+
+
+def _descend(
+    flat: np.ndarray,
+    ends: np.ndarray,
+    labels: np.ndarray,
+    size: int,
+    rank: int,
+    epochs: int,
+    batch: int,
+    rate: float,
+    positive: float,
+    decay: float,
+    sparse: float,
+    start: float,
+    seed: int,
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and factors by Adagrad on the log loss.
+
+    Weights, and factors as one vector each, are drawn to zero by ``sparse``.
     """
-    labels = np.asarray(labels, dtype=np.float64)
     n = len(labels)
-    flat = np.concatenate([*features, np.empty(0, np.int64)]).astype(np.int64)
-    rows = np.repeat(np.arange(n), [len(f) for f in features])
-    feature = np.full(SLOTS, -1, dtype=np.int64)
+    rng = np.random.default_rng(seed)
     rate_of_ones = (labels.sum() + 1) / (n + 2)
     bias = float(np.log(rate_of_ones / (1 - rate_of_ones)))
-    if n == 0:
-        return FactorizationMachine(feature, bias, np.zeros(1), np.zeros((1, rank)))
-    seen = np.bincount(flat, minlength=SLOTS).astype(float)
-    ones = np.bincount(flat, labels[rows], minlength=SLOTS)
-    expected = seen * labels.mean()
-    chi = (ones - expected) ** 2 / np.maximum(expected * (1 - labels.mean()), 1e-9) * n / np.maximum(n - seen, 1)
-    chi[seen < min_rows] = 0
-    chosen = np.sort(np.argsort(-chi, kind="stable")[:max_features])
-    chosen = chosen[chi[chosen] >= min_chi]
-    feature[chosen] = np.arange(len(chosen))
-    kept = feature[flat] >= 0
-    rows, feats = rows[kept], feature[flat[kept]]
-    ends = np.searchsorted(rows, np.arange(n + 1))
-
-    rng = np.random.default_rng(seed)
-    size = max(1, len(chosen))
-    weight, factors = np.zeros(size), rng.normal(0, 0.02, (size, rank))
+    weight, factors = np.zeros(size), rng.normal(0, start, (size, rank))
     sum_w, sum_v, sum_b = np.full(size, 1e-2), np.full((size, rank), 1e-2), 1e-2
     for _ in range(epochs):
         order = rng.permutation(n)
         for at in range(0, n, batch):
             picked = order[at : at + batch]
             length = ends[picked + 1] - ends[picked]
+            if not length.sum():
+                continue
             local = np.repeat(np.arange(len(picked)), length)
-            place = np.repeat(ends[picked] - (np.cumsum(length) - length), length) + np.arange(length.sum())
-            own = feats[place]
+            place = np.repeat(ends[picked + 1] - np.cumsum(length), length) + np.arange(length.sum())
+            own = flat[place]
             vectors = factors[own]
-            sums = np.stack([np.bincount(local, v, len(picked)) for v in vectors.T], axis=1)
-            squares = np.bincount(local, (vectors**2).sum(1), len(picked))
-            raw = bias + np.bincount(local, weight[own], len(picked)) + 0.5 * ((sums**2).sum(1) - squares)
+            sums = np.stack([_sums(local, v, len(picked)) for v in vectors.T], axis=1)
+            squares = _sums(local, (vectors**2).sum(1), len(picked))
+            raw = bias + _sums(local, weight[own], len(picked)) + 0.5 * ((sums**2).sum(1) - squares)
             error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[picked]) * np.where(labels[picked] > 0, positive, 1)
             touched, back = np.unique(own, return_inverse=True)
             pull = error[local] / len(picked)
-            grad_w = np.bincount(back, pull, len(touched)) + decay * weight[touched]
-            grad_v = np.stack([np.bincount(back, pull * (sums[local, f] - vectors[:, f]), len(touched)) for f in range(rank)], axis=1)
+            grad_w = _sums(back, pull, len(touched)) + decay * weight[touched]
+            grad_v = np.stack([_sums(back, pull * (sums[local, f] - vectors[:, f]), len(touched)) for f in range(rank)], axis=1)
             grad_v += decay * factors[touched]
             grad_b = float(error.mean())
             sum_w[touched] += grad_w**2
             sum_v[touched] += grad_v**2
             sum_b += grad_b**2
-            weight[touched] -= rate * grad_w / np.sqrt(sum_w[touched])
-            factors[touched] -= 0.3 * rate * grad_v / np.sqrt(sum_v[touched])
+            step_w, step_v = rate / np.sqrt(sum_w[touched]), 0.3 * rate / np.sqrt(sum_v[touched])
+            weights, vectors = weight[touched] - step_w * grad_w, factors[touched] - step_v * grad_v
+            if sparse:
+                weights = np.sign(weights) * np.maximum(np.abs(weights) - step_w * sparse, 0)
+                norm = np.sqrt((vectors**2).sum(1, keepdims=True))
+                vectors *= np.maximum(0, 1 - step_v.mean(1, keepdims=True) * sparse / np.maximum(norm, 1e-9))
+            weight[touched], factors[touched] = weights, vectors
             bias -= rate * grad_b / np.sqrt(sum_b)
+    return bias, weight, factors
+
+
+def fit(
+    features: list[np.ndarray],
+    labels: np.ndarray,
+    rank: int = 6,
+    epochs: int = 40,
+    batch: int = 256,
+    rate: float = 0.2,
+    positive: float = 4.0,
+    decay: float = 2e-4,
+    sparse: float = 0.015,
+    min_rows: int = 3,
+    seed: int = 5,
+) -> FactorizationMachine:
+    """Fit on the distinct slots of each labelled text.
+
+    The machine is first fitted over all slots that ``min_rows`` texts have (a rarer one can
+    tell nothing of other texts), drawn to zero by ``sparse``: what a slot does alone or
+    only together with others decides whether it stays.  Then it is fitted anew, freely,
+    over those that stayed.  A toxic row counts ``positive`` times because such rows are
+    few; seeded.  Without rows, or where no slot stays, the model is its bias.
+    """
+    labels = np.asarray(labels, dtype=np.float64)
+    seen = np.zeros(SLOTS, dtype=np.int64)
+    for slots in features:
+        seen[slots] += 1
+    kept = np.flatnonzero(seen >= min_rows)
+    for first in (True, False):
+        flat, ends = _chosen(features, kept)
+        bias, weight, factors = _descend(
+            flat, ends, labels, len(kept), rank, epochs, batch, rate, positive, decay, sparse if first else 0.0, 0.1 if first else 0.02, seed
+        )
+        if first:
+            kept = kept[(weight != 0) | (factors != 0).any(axis=1)]
+    feature = np.full(SLOTS, -1, dtype=np.int64)
+    feature[kept] = np.arange(len(kept))
     return FactorizationMachine(feature, bias, weight, factors)
 
 
@@ -145,9 +187,10 @@ def train(
 ) -> FactorizationMachine:
     """Fit on at most ``max_rows`` labelled rows that are not held out.
 
-    The rows are the first of a seeded order of ids.  They are few enough to broadcast, so
-    the documents are not shuffled; only hash slots (at most ``SLOTS`` a text) reach the
-    driver.  Null labels are ignored.  Without labelled rows the model is its bias.
+    The rows are the first of a seeded order of ids, counted again after their texts have
+    been found, as ids may repeat.  They are few enough to broadcast, so the documents are
+    not shuffled; only hash slots (at most ``SLOTS`` a text) reach the driver.  Null labels
+    are ignored.  Without labelled rows the model is its bias.
     """
     order = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"))
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -163,7 +206,8 @@ def train(
             data = [found[x:y].astype("<i4").tobytes() for x, y in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary())], names=["o", "y", "slots"])
 
-    got = rows.mapInArrow(slots, "o long, y int, slots binary").toArrow().sort_by([("o", "ascending"), ("y", "ascending"), ("slots", "ascending")])
+    found = rows.mapInArrow(slots, "o long, y int, slots binary")
+    got = found.orderBy("o", "y", "slots").limit(max_rows).toArrow()
     features = [np.frombuffer(x, dtype="<i4") for x in got["slots"].to_pylist()]
     return fit(features, got["y"].to_numpy(), seed=seed)
 

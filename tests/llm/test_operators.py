@@ -194,6 +194,45 @@ def test_pairs_of_terms_are_learnt(spark):
     assert all(0 <= r.score <= 1 for r in scored)
 
 
+@pytest.mark.parametrize("words", [(35, 20), (2000, 60)])
+def test_pairs_that_no_additive_model_can_tell(words):
+    """Toxic are texts with exactly one of two terms: each term alone tells nothing."""
+    rng = np.random.default_rng(1)
+    vocabulary, length = words
+    features, labels = [], []
+    for _ in range(4500):
+        own = set(rng.integers(10, 10 + vocabulary, length).tolist())
+        insult, group = rng.random(2) < 0.5
+        features.append(np.array(sorted(own | ({1} if insult else set()) | ({2} if group else set()))))
+        labels.append(int(insult != group))
+    labels = np.array(labels)
+    model = fit(features[:4000], labels[:4000])
+
+    def right(raw):
+        return float(((raw >= 0) == labels[4000:]).mean())
+
+    of = np.repeat(np.arange(500), [len(f) for f in features[4000:]])
+    feats = model.feature[np.concatenate(features[4000:])]
+    assert right(model.raw(of[feats >= 0], feats[feats >= 0], 500)) > 0.9
+    # The best weights alone: least squares on the two terms and a bias.
+    terms = np.array([[1.0, 1 in f, 2 in f] for f in map(set, (f.tolist() for f in features))])
+    additive = np.linalg.lstsq(terms[:4000], labels[:4000] - 0.5, rcond=None)[0]
+    assert abs(right(terms[4000:] @ additive) - 0.5) < 0.1
+
+
+@pytest.mark.parametrize("n", [0, 1, 10, 40, 257, 500])
+@pytest.mark.parametrize("kind", ["mixed", "zeros", "ones", "no slots"])
+def test_any_label_set_can_be_fitted(n, kind):
+    rng = np.random.default_rng(n)
+    features = [np.unique(rng.integers(0, 400, 0 if kind == "no slots" else 8)) for _ in range(n)]
+    labels = {"zeros": np.zeros(n), "ones": np.ones(n)}.get(kind, rng.integers(0, 2, n))
+    model = fit(features, labels, epochs=4)
+    of = np.repeat(np.arange(n), [len(f) for f in features])
+    feats = model.feature[np.concatenate([*features, np.empty(0, np.int64)]).astype(int)]
+    raw = model.raw(of[feats >= 0], feats[feats >= 0], n)
+    assert np.isfinite(raw).all() and len(raw) == n
+
+
 def test_toxicity_of_odd_tables(odd, none, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = train(odd, labels)
