@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from kerbflow.llm.bpe_trie import text_encoder
+from kerbflow.llm.bpe_trie import slices, text_encoder
 from kerbflow.llm.common import stored
-from kerbflow.llm.tokens import _slices
 
 PIECE_STEPS = 64  # steps of the merge in one piece
 LINKS_AT_ONCE = 1_000_000  # links spread out at once in a task
@@ -199,7 +198,7 @@ def align_tokens(
     listed ids are several times as long as the text, and are then never written.  Each row counts for itself, also where ids repeat or are null; other
     columns are left out, so their names cannot clash; an empty table gives none.
 
-    Tasks read texts in slices of about 4 MB (longer texts are read whole) and count each
+    Tasks read texts in slices of about 2 MB (longer texts are read whole) and count each
     slice's pairs before they are shuffled, so a pair that all rows hold makes one row per
     slice.  Counts go back to slices, not to rows.  Aligned slices are written under the
     shared folder first, so that slice numbers stay as they are when tasks run again.
@@ -256,7 +255,7 @@ def _aligned(df: DataFrame, path_a: str, path_b: str, digest: bool) -> DataFrame
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
-            for low, high in _slices(texts):
+            for low, high in slices(texts):
                 found = Aligned(tokens, texts.slice(low, high - low).to_pylist())
                 text, pair, links = found.pairs()
                 groups = found.texts_of_groups()

@@ -23,9 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from kerbflow.llm.tokens import _byte_letters, _slices
+from kerbflow.llm.tokens import _byte_letters
 
-CACHE_WORDS = 300_000  # words a worker remembers
+SLICE_BYTES = 2_000_000  # text worked on at once in a task
+CACHE_WORDS = 200_000  # words a worker remembers
 CACHE_PAIRS = 500_000  # neighbouring tokens it remembers as parting or merging
 # Fixed by the tokenizer's file format: how its byte-level splitter parts a text into words.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -226,6 +227,17 @@ class TextEncoder:
         return found, np.diff(ends[bounds])
 
 
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most so many bytes of text, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        yield at, to
+        at = to
+
+
 def taken(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of ``values`` at some places one after the other, and where each one ends (from 0)."""
     size = sizes[place]
@@ -250,8 +262,8 @@ def encode_texts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     Returns ``id_col`` and ``ids`` (array of int), one row per row.  Null and empty texts
     have no ids; row ids may repeat or be null; other columns are left out, so their names
-    cannot clash; an empty table gives none.  Texts of any length are read whole, about 4 MB
-    of text at once.  Strings of added tokens become those tokens, as the library does it.
+    cannot clash; an empty table gives none.  Texts of any length are read whole, about
+    2 MB of text at once.  Strings of added tokens become those tokens, as the library does it.
     Nothing is shuffled.
     """
     schema = StructType([df.schema[id_col]]).add("ids", ArrayType(IntegerType()))
@@ -260,7 +272,7 @@ def encode_texts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         encoder = text_encoder(tokenizer_path)
         for batch in batches:
             texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
-            for a, b in _slices(texts):
+            for a, b in slices(texts):
                 ids, sizes = encoder.encode(texts.slice(a, b - a).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=schema.names)
