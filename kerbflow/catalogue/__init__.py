@@ -35,6 +35,7 @@ def all_queries() -> dict[str, Query]:
         dimension_queries,
         energy_queries,
         parking_queries,
+        run_queries,
         storage_queries,
         streaming_queries,
         traffic_queries,

@@ -104,9 +104,7 @@ def scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = store(spark, "pruned").append(
         "fs_device_alarms", _staged_alarms(spark, sf_dir), by=["startday"]
     )
-    timed = written.withColumn("alarm_us", F.col("alarmdate") * 1000)
-    window = scans.day_pruned_window(timed, "alarm_us", "startday", _MARK_US, _UNTIL_US)
-    return window.drop("alarm_us")
+    return scans.day_pruned_window(written, "alarmdate", "startday", _MARK_US, _UNTIL_US, unit_us=1000)
 
 
 @register(

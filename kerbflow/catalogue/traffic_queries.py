@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.catalogue import register
 from kerbflow.catalogue.standins import ctes, table
+from kerbflow.functions import times
 from kerbflow.functions.values import zero_as_null
 from kerbflow.plans import traffic
 
@@ -185,11 +186,8 @@ select case when type = 'ObjectDwellEvent' then 'D' else 'L' end as record_type,
 from traffic_status group by 1, 2""",
 )
 def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = table(spark, sf_dir, "traffic_status")
     is_dwell = F.col("type") == traffic.DWELL_TYPE
-    routed = status.filter(is_dwell).withColumn("record_type", F.lit("D")).unionByName(
-        status.filter(~is_dwell).withColumn("record_type", F.lit("L"))
-    )
+    routed = table(spark, sf_dir, "traffic_status").withColumn("record_type", F.when(is_dwell, "D").otherwise("L"))
     return routed.groupBy("record_type", "siteid").agg(
         F.count("*").alias("rows_routed"),
         F.min("time").alias("first_time"),
@@ -197,6 +195,48 @@ def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_RANK_ERROR = 0.02
+
+
+@register(
+    "percentiles_merged",
+    FACTS
+    + "\nunion all by name".join(
+        f"""
+select siteid, '{grain}' as aggregation_type, eventtype as type, objectclass,
+  starttime - starttime % {width} + {width} as endtime, count(*) as eventcnt,
+  round(avg({_SPEED}), 6) as avgvelocity, case when count({_SPEED}) > 0 then true end as median_near,
+  case when count({_SPEED}) > 0 then true end as p85_near
+from facts group by siteid, eventtype, objectclass, starttime - starttime % {width}"""
+        for grain, width in _WIDTHS.items()
+    ),
+)
+def percentiles_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All grains merged from 15-minute sketches; each percentile is checked to lie within
+    2 % of its rank among the speeds."""
+    found = facts(spark, sf_dir)
+    parts = traffic.sketched(found, by_event=False)
+    speed = zero_as_null(F.col("objectvelocity"))
+    results = []
+    for grain, width in traffic.GRAINS.items():
+        rolled = traffic.merged_rollup(parts, grain, by_event=False)
+        period = times.bucket_start(F.col("starttime"), width) + F.lit(width)
+        speeds = found.select("siteid", F.col("eventtype").alias("type"), "objectclass", period.alias("endtime"), speed.alias("v"))
+        keys = ["siteid", "aggregation_type", "type", "objectclass", "endtime", "eventcnt", "avgvelocity"]
+        near = [
+            (
+                (F.count_if(F.col("v") < F.col(q)) <= (p + _RANK_ERROR) * F.count("v") + 1)
+                & (F.count_if(F.col("v") <= F.col(q)) >= (p - _RANK_ERROR) * F.count("v") - 1)
+            )
+            for q, p in (("medianvelocity", 0.5), ("p85velocity", 0.85))
+        ]
+        near = [F.when(F.count("v") > 0, x) for x in near]
+        joined = rolled.join(speeds, ["siteid", "type", "objectclass", "endtime"])
+        results.append(joined.groupBy(*keys).agg(near[0].alias("median_near"), near[1].alias("p85_near")))
+    merged = results[0].unionByName(results[1]).unionByName(results[2])
+    return merged.withColumn("avgvelocity", F.round("avgvelocity", 6))
+
+
 @register(
     "approx_percentiles",
     """

@@ -48,3 +48,20 @@ def running_counter(
     return totals.join(batch, key, "left").select(
         key, (previous + F.coalesce("_new", F.lit(0))).alias("aggregated_count")
     )
+
+
+def merged_counter(
+    totals: DataFrame, events: DataFrame, key: str, time: str, mark_us: int
+) -> DataFrame:
+    """:func:`running_counter` with the plain counts, and with ids first seen among the events.
+
+    Totals and events are added up in one grouping, so neither side is joined to itself.
+    New ids have a plain count of 0; events without an id are left out.
+    """
+    fresh = events.filter((F.col(time) >= F.lit(mark_us)) & F.col(key).isNotNull())
+    previous = F.when(F.col("aggregated_count") == 0, F.col("count")).otherwise(F.col("aggregated_count"))
+    known = totals.select(key, "count", F.coalesce(previous, "count").alias("_total"))
+    one = fresh.select(key, F.lit(0).cast("long").alias("count"), F.lit(1).cast("long").alias("_total"))
+    return known.unionByName(one).groupBy(key).agg(
+        F.max("count").alias("count"), F.sum("_total").alias("aggregated_count")
+    )

@@ -10,26 +10,27 @@ from kerbflow.functions import times
 
 
 def time_window(
-    df: DataFrame, time: str, from_us: int, until_us: int, lookback_us: int = 0
+    df: DataFrame, time: str, from_us: int, until_us: int, lookback_us: int = 0, unit_us: int = 1
 ) -> DataFrame:
     """Rows with ``from - lookback <= time < until``.
 
-    ``time`` is epoch µs or a timestamp.  The bounds are literals of its own type, so the
-    file scan can skip row groups by them.
+    ``time`` is a timestamp or epoch time in units of ``unit_us`` (1000 for milliseconds).
+    The bounds are literals of its own type and unit, so the file scan can skip row groups
+    by them.
     """
     kind = df.schema[time].dataType
 
     def bound(us: int) -> Column:
         if isinstance(kind, (TimestampType, TimestampNTZType)):
             return F.timestamp_micros(F.lit(us)).cast(kind)
-        return F.lit(us)
+        return F.lit(-(-us // unit_us))
 
     column = F.col(time)
     return df.filter((column >= bound(from_us - lookback_us)) & (column < bound(until_us)))
 
 
 def day_pruned_window(
-    df: DataFrame, time: str, day: str, from_us: int, until_us: int, lookback_us: int = 0
+    df: DataFrame, time: str, day: str, from_us: int, until_us: int, lookback_us: int = 0, unit_us: int = 1
 ) -> DataFrame:
     """:func:`time_window` on a table partitioned by a day label.
 
@@ -39,7 +40,7 @@ def day_pruned_window(
     first = F.date_format(F.timestamp_micros(F.lit(from_us - times.DAY_US)), "yyyy-MM-dd")
     last = F.date_format(F.timestamp_micros(F.lit(until_us + times.DAY_US)), "yyyy-MM-dd")
     pruned = df.filter(F.col(day).between(first, last))
-    return time_window(pruned, time, from_us, until_us, lookback_us)
+    return time_window(pruned, time, from_us, until_us, lookback_us, unit_us)
 
 
 def only_keys(df: DataFrame, key: str, keys: DataFrame, unique: bool = False) -> DataFrame:

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from kerbflow.functions import times
 from kerbflow.operators import counters, scans, versions
 from kerbflow.operators.grids import Grid
-from kerbflow.plans import capacity, dimensions, energy, parking, traffic, warehouse
+from kerbflow.plans import capacity, dimensions, energy, parking, recompute, traffic, warehouse
 from kerbflow.session import remove_path, scratch_path
 from kerbflow.sources.control import ControlTable
-from kerbflow.sources.schemas import schema_of
+from kerbflow.sources.schemas import NULL_DEFAULTS, schema_of
 from kerbflow.sources.store import DAY, TableStore
 
 # Names in the control table.
@@ -25,6 +25,9 @@ LAG_LIMIT_KEY = "hwmlimitmins"
 ZERO_POWER_KEY = "threshold_zero_power"
 INTERVAL_KEY = "power_sampling_interval_sec"
 
+GRAINS = tuple(traffic.GRAINS)
+DAY_STATES = "parking_day_state"  # states of spots at the start of days
+
 
 @dataclass(frozen=True)
 class RunWindow:
@@ -254,18 +257,7 @@ class Jobs:
             areas = areas.filter(F.col("siteid") == only)
         with self._scratch() as written:
             zones = written(capacity.zone_capacity(areas, spots), "zone-capacity")
-            states = self.store.read_or_empty(
-                "aggregation_parking_status",
-                schema_of("aggregation_parking_status").add(DAY, "string"),
-            )
-            before = grid.start_us - grid.width_us
-            # The last known state of each spot, also where runs left a gap before the grid.
-            earlier = states.filter(
-                (F.col(DAY) <= day_span(before, before)[0]) & (F.col("starttime") <= before)
-            )
-            prior = versions.latest_per_key(
-                earlier, ["parkingspotid"], [F.col("starttime").desc(), F.col("occupancy").desc()]
-            )
+            prior = written(self.states_before(grid.start_us), "parking-prior")
             bridge = self.store.read("parking_zone_group", schema_of("parking_zone_group"))
             spot = written(parking.spot_15min(events, prior, spots, zones, bridge, grid), "parking-spots")
             zone = written(parking.zone_rollup(spot), "parking-zones")
@@ -284,19 +276,68 @@ class Jobs:
                 self.store.upsert(
                     table, facts, [*keys, "starttime"], days=day_span(grid.start_us, grid.end_us)
                 )
+            self._keep_day_states(prior, parking.end_states(spot), grid)
             self.move_mark("parking", window)
 
+    def states_before(self, start_us: int) -> DataFrame:
+        """The last known state of each spot before a bucket start, however long ago.
+
+        The states at the start of a day hold all that was known then, so only the newest
+        such day and the states stored since are read; partitions are pruned by literals.
+        """
+        day = day_span(start_us, start_us)[0]
+        starts = [d for d in self.store.days(DAY_STATES) if d <= day]
+        schema = schema_of("aggregation_parking_status").add(DAY, "string")
+        states = self.store.read_or_empty("aggregation_parking_status", schema).filter(
+            (F.col(DAY) <= day) & (F.col("starttime") < start_us)
+        )
+        if starts:
+            newest = max(starts)
+            states = states.filter(F.col(DAY) >= newest)
+            states = states.unionByName(self.store.read(DAY_STATES, schema).filter(F.col(DAY) == newest))
+        return versions.latest_per_key(
+            states.drop(DAY), ["parkingspotid"], [F.col("starttime").desc(), F.col("occupancy").desc()]
+        )
+
+    def _keep_day_states(self, prior: DataFrame, states: DataFrame, grid: Grid) -> None:
+        """Store the states at the start of each day that begins in the grid.
+
+        A run over days that were stored before replaces them, as late rows may have
+        changed what they say.
+        """
+        known = prior.select(*states.columns).unionByName(states)
+        first = -(-grid.start_us // times.DAY_US) * times.DAY_US
+        parts = [
+            versions.latest_per_key(
+                known.filter(F.col("starttime") < midnight),
+                ["parkingspotid"],
+                [F.col("starttime").desc(), F.col("occupancy").desc()],
+            ).withColumn(DAY, F.lit(day_span(midnight, midnight)[0]))
+            for midnight in range(first, grid.end_us + 1, times.DAY_US)
+        ]
+        for part in parts:
+            self.store.overwrite_days(DAY_STATES, part)
+
     def refresh(
         self, name: str, source: DataFrame, window: RunWindow, run_s: int, sites: DataFrame | None = None
     ) -> DataFrame:
-        """Copy one fact table's new and late rows into the warehouse."""
+        """Copy one fact table's new and late rows into the warehouse.
+
+        Codes, the connection nodes of the stored filter table, and the days a run may
+        rewrite follow the table's rules; days that are left out wait in staging.
+        """
         table = warehouse.FACT_TABLES[name]
-        scale = 1 if table.unit == "us" else 1000
+        filters = None
+        if table.connected_only and self.store.exists("aggregation_filters"):
+            filters = self.store.read("aggregation_filters", schema_of("aggregation_filters"))
+        source = warehouse.copied_rows(source, table, filters)
         rows = scans.time_window(
             source,
             table.time,
-            (window.from_us - table.overlap_us) // scale,
-            window.until_us // scale,
+            window.from_us,
+            window.until_us,
+            table.overlap_us,
+            unit_us=1 if table.unit == "us" else 1000,
         )
         if table.local:
             if sites is None:
@@ -304,19 +345,35 @@ class Jobs:
             batch = warehouse.stage_local(rows, sites, run_s)
         else:
             batch = warehouse.stage_utc(rows, table.time, table.unit, run_s)
+        days = warehouse.refresh_span(run_s) if table.hourly_span else None
         with self._scratch() as written:
-            return warehouse.refresh_warehouse(self.store, table, written(batch, name))
+            return warehouse.refresh_warehouse(self.store, table, written(batch, name), days)
+
+    def late_traffic(self, late: DataFrame, grains: Sequence[str] = GRAINS) -> None:
+        """Rebuild the traffic aggregates that late detections change.
+
+        ``late`` are detections that the warehouse already holds.
+        """
+        defaults = NULL_DEFAULTS["traffic_status"]
+        status = self.store.read(
+            f"{warehouse.WAREHOUSE_PREFIX}traffic_status",
+            schema_of("traffic_status").add(DAY, "string"),
+        )
+        with self._scratch() as written:
+            named = written(scans.with_defaults(late, defaults).select("siteid", "time"), "late-traffic")
+            recompute.rebuild_traffic(self.store, scans.with_defaults(status, defaults), named, grains)
 
     def update_counters(self, events: DataFrame, window: RunWindow) -> DataFrame:
-        """Add the window's events to the running totals per detection event."""
+        """Add the window's events to the running totals per detection event.
+
+        An event id that is first seen in the window starts a total of its own.
+        """
         name = "traffic_current_status"
         totals = self.store.read_input(name, schema_of(name))
         fresh = scans.time_window(events, "time", window.from_us, window.until_us)
-        counted = counters.running_counter(
+        merged = counters.merged_counter(
             totals, fresh, "trafficdetectioneventid", "time", window.from_us
-        )
-        plain = totals.select("count", "trafficdetectioneventid")
-        merged = plain.join(counted, "trafficdetectioneventid").select(*totals.columns)
+        ).select(*totals.columns)
         with self._scratch() as written:
             # The table is read and replaced, so the new rows are written elsewhere first.
             return self.store.replace(name, written(merged, name))

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbflow.functions import times
 from kerbflow.functions.values import zero_as_null
-from kerbflow.operators import versions
+from kerbflow.operators import scans, versions
 from kerbflow.sources.day_versions import days_of
+from kerbflow.sources.schemas import ALARM_CODES, SENSOR_CODES
 from kerbflow.sources.store import DAY, TableStore
 
 STAGING_PREFIX = "stg_"
 WAREHOUSE_PREFIX = "fs_"
 STAGING_DAYS = 3
+CONNECTION_NODES = "connection_nodes"  # fixed value: a type in the filter table
 
 LOCAL_COLUMNS = ("startdt", "enddt", "starthr", "startday")
 
@@ -33,6 +35,9 @@ class FactTable:
     times and are partitioned by the site's own day.  ``day_reach`` is how many days
     apart the versions of one key can lie: a local row is filed under the local day of the
     first bucket seen in its UTC period, which differs by less than a day between versions.
+    ``codes`` names a column and the values that are copied, ``connected_only`` restricts
+    rows to connection nodes, and ``hourly_span`` rewrites only today, and yesterday too in
+    the run at one o'clock.
     """
 
     name: str
@@ -41,6 +46,9 @@ class FactTable:
     unit: str = "us"
     overlap_us: int = times.MINUTE_US
     local: bool = False
+    codes: tuple[str, tuple[str, ...]] | None = None
+    connected_only: bool = False
+    hourly_span: bool = False
 
     @property
     def day_reach(self) -> int:
@@ -78,14 +86,23 @@ FACT_TABLES = {
             overlap_us=times.DAY_US,
             local=True,
         ),
-        FactTable("device_sensor_samples", ("nodeid", "sensor", "time"), "time"),
+        FactTable(
+            "device_sensor_samples",
+            ("nodeid", "sensor", "time"),
+            "time",
+            codes=("sensor", SENSOR_CODES),
+            connected_only=True,
+            hourly_span=True,
+        ),
         FactTable(
             "device_alarms",
             ("nodeid", "alarmtype", "alarmdate", "dateuuid"),
             "alarmdate",
             unit="ms",
+            codes=("alarmtype", ALARM_CODES),
+            connected_only=True,
         ),
-        FactTable("connection_status", ("nodeid", "since"), "since", unit="ms"),
+        FactTable("connection_status", ("nodeid", "since"), "since", unit="ms", connected_only=True),
         FactTable(
             "aggregation_connection_node",
             ("nodeid", "starttime"),
@@ -96,6 +113,21 @@ FACT_TABLES = {
 }
 
 
+def copied_rows(facts: DataFrame, table: FactTable, filters: DataFrame | None = None) -> DataFrame:
+    """The rows of a fact table that are copied.
+
+    ``filters`` is the filter table (type, obj), whose connection nodes restrict tables
+    that ask for it; without it all nodes count.
+    """
+    if table.codes is not None:
+        column, codes = table.codes
+        facts = facts.filter(F.col(column).isin(*dict.fromkeys(codes)))
+    if table.connected_only and filters is not None:
+        nodes = filters.filter(F.col("type") == CONNECTION_NODES).select(F.col("obj").alias("nodeid"))
+        facts = scans.only_keys(facts, "nodeid", nodes)
+    return facts
+
+
 def utc_day(time: Column, unit: str) -> Column:
     return times.day_label(time) if unit == "us" else times.day_of_millis(time)
 
@@ -142,13 +174,11 @@ def latest_version(staged: DataFrame, keys: Sequence[str], ties: Sequence[str] =
     return versions.latest_per_key(staged, keys, newest_first)
 
 
-def days_from(staged: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    return staged.filter(F.col(DAY).between(first_day, last_day))
-
-
-def refresh_span(run_hour: int, today: str, yesterday: str) -> list[str]:
-    """Days a samples, alarms or connections run rewrites: two after midnight, else one."""
-    return [yesterday, today] if run_hour == 1 else [today]
+def refresh_span(run_s: int) -> list[str]:
+    """Days a run rewrites: yesterday and today at one o'clock UTC, else today."""
+    now = datetime.fromtimestamp(run_s, timezone.utc)
+    today, yesterday = (f"{now - timedelta(days=k):%Y-%m-%d}" for k in (0, 1))
+    return [yesterday, today] if now.hour == 1 else [today]
 
 
 def days_around(days: Sequence[str], reach: int) -> list[str]:

@@ -114,6 +114,14 @@ class TableStore:
             df = versions.latest_per_key(df, keys, [*newest_first, *versions.remaining_columns(df, keys)] or [F.lit(1)])
         return self.overwrite_days(name, df, day)
 
+    def days(self, name: str, day: str = DAY) -> list[str]:
+        """The stored days of a table, from its directory names."""
+        if not self.exists(name):
+            return []
+        fs, path = self._files(name)
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        return sorted(n.removeprefix(f"{day}=") for n in names if n.startswith(f"{day}="))
+
     def drop_days(self, name: str, days: Sequence[str], day: str = DAY) -> list[str]:
         """Remove whole day partitions; returns the labels of those that were there."""
         fs, path = self._files(name)

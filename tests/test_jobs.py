@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbflow.functions.times import BUCKET_US, DAY_US, HOUR_US, SECOND_US
-from kerbflow.plans import energy, parking, runs
+from kerbflow.plans import energy, parking, recompute, runs
 from kerbflow.sources.schemas import schema_of
 from tests.conftest import rows
 
@@ -216,8 +216,11 @@ def test_refresh_counters_snapshots_and_dimensions(traffic_store):
     assert jobs.refresh("traffic_status", status, window, run_s=1).count() == 3
     assert jobs.refresh("traffic_status", status, window, run_s=2).select("ts").distinct().collect()[0][0] == 2
     put(store, "traffic_current_status", [(5, None, "d"), (3, 9, "x")])
-    assert rows(jobs.update_counters(status, window), "trafficdetectioneventid", "aggregated_count", "count") == [
+    first_seen = status.withColumn("trafficdetectioneventid", F.lit("new"))
+    counted = jobs.update_counters(status.unionByName(first_seen), window)
+    assert rows(counted, "trafficdetectioneventid", "aggregated_count", "count") == [
         ("d", 6, 5),
+        ("new", 1, 0),
         ("x", 9, 3),
     ]
     with pytest.raises(ValueError):
@@ -235,3 +238,70 @@ def test_refresh_counters_snapshots_and_dimensions(traffic_store):
 def test_end_states_feed_the_next_grid(spark):
     states = spark.createDataFrame([("s", 1, "p", True, 5)], "siteid string, starttime bigint, parkingspotid string, occupancy boolean, x int")
     assert parking.end_states(states).columns == ["siteid", "starttime", "parkingspotid", "occupancy"]
+
+
+def test_states_are_found_without_reading_all_days(store):
+    """Runs days apart: the last known state holds, and old partitions are not opened."""
+    day = DAY_US
+    parking_tables(store, [("p", T0 + BUCKET_US, True), ("q", T0 + BUCKET_US, True), ("q", T0 + 2 * BUCKET_US, False)])
+    jobs = runs.Jobs(store)
+    jobs.parking(runs.RunWindow(T0 + BUCKET_US, T0 + 4 * BUCKET_US))
+    # A run over two midnights stores the states at both.
+    jobs.parking(runs.RunWindow(T0 + day, T0 + 3 * day))
+    assert store.days(runs.DAY_STATES) == ["2024-01-03", "2024-01-04"]
+    start = T0 + 3 * day + 2 * HOUR_US
+    prior = jobs.states_before(start)
+    assert rows(prior, "parkingspotid", "occupancy") == [("p", True), ("q", False)]
+    plan = prior._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert len(filters) == 2
+    assert "startday#" in filters[0] and all(">= 2024-01-04" in f or "= 2024-01-04" in f for f in filters)
+    jobs.parking(runs.RunWindow(start + BUCKET_US, start + 3 * BUCKET_US))
+    spot = store.read("aggregation_parking_spot").filter(F.col("starttime") >= start)
+    assert rows(spot, "parkingspotid", "occduration") == [("p", BUCKET_US)] * 3
+    # A late change is in the window of a repeated run, which corrects the stored states.
+    store.append(
+        "parking_spot_historic",
+        store.spark.createDataFrame([("s", T0 + day + HOUR_US, 0, "n", "o", False, "o", "g", "p", "z")], schema_of("parking_spot_historic")),
+    )
+    jobs.parking(runs.RunWindow(T0 + day + BUCKET_US, T0 + 3 * day, partial=True))
+    assert rows(jobs.states_before(start), "parkingspotid", "occupancy") == [("p", False), ("q", False)]
+
+
+def test_late_detections_touch_their_periods_only(traffic_store):
+    """A late event splits a transition; other sites and days are neither read nor written."""
+    store, spark = traffic_store, traffic_store.spark
+    jobs = runs.Jobs(store)
+    status = store.read_input("traffic_status", schema_of("traffic_status"))
+    other = status.withColumns({"siteid": F.lit("far"), "nodeid": F.lit("m"), "time": F.col("time") + 5 * DAY_US})
+    window = runs.RunWindow(T0, T0 + 9 * DAY_US)
+    jobs.refresh("traffic_status", status.unionByName(other), window, run_s=1)
+    jobs.late_traffic(status.unionByName(other))
+    table = "aggregation_traffic_events"
+
+    def combos():
+        return rows(store.read(table).filter("type = 'COMBO' and aggregation_type = '1hr'"), "siteid", "eventid")
+
+    far = [("far", f"m==>e{i}==>e{i + 1}") for i in (0, 1)]
+    assert combos() == far + [("s", f"n==>e{i}==>e{i + 1}") for i in (0, 1)]
+    untouched = set(store.read(table).filter("siteid = 'far'").select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+    late = status.limit(1).withColumns({"time": F.lit(T0 + 10 * SECOND_US), "name": F.lit("late")})
+    jobs.refresh("traffic_status", late, window, run_s=2)
+    jobs.late_traffic(late)
+    # The transition that the late event splits is gone.
+    assert combos() == far + [("s", "n==>e0==>late"), ("s", "n==>e1==>e2"), ("s", "n==>late==>e1")]
+    assert untouched == set(store.read(table).filter("siteid = 'far'").select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+    daily = store.read(table).filter("siteid = 's' and type <> 'COMBO' and aggregation_type = '1day'")
+    assert daily.agg(F.sum("eventcnt")).first()[0] == 4
+
+
+def test_rows_of_periods_opens_only_their_days(spark, store):
+    facts = spark.createDataFrame([(s, DAY0 + d * DAY_US + b * BUCKET_US, f"2024-01-0{d + 1}") for s in "ab" for d in range(4) for b in (0, 1, 5)], "siteid string, time bigint, startday string")
+    stored = store.append("t", facts, by=["startday"])
+    late = spark.createDataFrame([("a", DAY0 + 2 * DAY_US + 7), ("a", None)], "siteid string, time bigint")
+    buckets = recompute.touched_buckets(late, ["siteid"], "time", ahead=1)
+    periods = recompute.touched_periods(buckets, ["siteid"], BUCKET_US)
+    got = recompute.rows_of_periods(stored, periods, ["siteid"], "time", BUCKET_US, before=1)
+    assert rows(got, "siteid", "time") == [("a", DAY0 + 2 * DAY_US), ("a", DAY0 + 2 * DAY_US + BUCKET_US)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [startday" in plan and "2024-01-03" in plan and "2024-01-04" not in plan

@@ -149,3 +149,31 @@ def test_hour_end_comes_from_the_hour(spark):
         "starttime", "endtime", F.col("enddt")
     )
     assert rows(hour) == [(T0 + BUCKET_US, T0 + 4 * BUCKET_US, "2024-01-01 00:30")]
+
+
+@pytest.mark.parametrize("by_event", [True, False])
+def test_grains_merged_from_sketches(spark, by_event):
+    """Few rows: sketches are exact, so merged grains equal those of the facts."""
+    events = []
+    for i in range(40):
+        data = seen({"class": "car", "detectedobjectid": i, "velocity": {"x": float(i % 9), "y": 0}}) if i % 5 else "na"
+        events.append((T0 + i * 7 * 60 * SECOND_US, data, "Enter", f"in{i % 2}"))
+    facts = traffic.traffic_facts(status(spark, *events)).cache()
+    parts = traffic.sketched(facts, by_event)
+    for grain in traffic.GRAINS:
+        merged, plain = traffic.merged_rollup(parts, grain, by_event), traffic.rollup(facts, grain, by_event)
+        assert merged.columns == plain.columns
+        near = [F.round(c, 9).alias(c) if c in ("avgvelocity", "avgdwell") else F.col(c) for c in plain.columns]
+        assert sorted(map(repr, merged.select(*near).collect())) == sorted(map(repr, plain.select(*near).collect()))
+
+
+def test_merged_percentiles_keep_their_rank(spark):
+    n = 20_000
+    facts = spark.range(n).select(
+        F.lit("s").alias("siteid"), F.lit("e").alias("eventid"), F.lit("Enter").alias("eventtype"), F.lit("car").alias("objectclass"),
+        F.lit("x").alias("eventname"), F.lit("n").alias("nodeid"), F.lit(0.0).alias("dwell"),
+        (F.lit(T0) + F.col("id") % 96 * BUCKET_US).alias("starttime"), (F.col("id") * 7919 % n + 1).cast("double").alias("objectvelocity"),
+    )
+    row = traffic.merged_rollup(traffic.sketched(facts, False), "1day", False).first()
+    assert row.eventcnt == n
+    assert abs(row.medianvelocity / n - 0.5) < 0.02 and abs(row.p85velocity / n - 0.85) < 0.02
