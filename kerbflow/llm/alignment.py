@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from kerbflow.llm.bpe_trie import slices, text_encoder
+from kerbflow.llm.bpe_trie import WORD_SPLIT, ByteVocabulary, slices
 from kerbflow.llm.common import stored
 
 PIECE_STEPS = 64  # steps of the merge in one piece
@@ -36,10 +36,14 @@ class Tokens:
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
 
-        self.a = text_encoder(path_a, added_as_text=True)
+        vocabulary = ByteVocabulary(path_a)
+        # Reads the strings of added tokens as plain text, and numbers tokens as merges do.
+        self.a = Encoding("a", pat_str=WORD_SPLIT, mergeable_ranks=vocabulary.number, special_tokens={})
+        self.ids_a = np.array(vocabulary.ids, dtype=np.int32)
         self.b = SentencePieceProcessor(model_file=path_b)
-        by_id = self.a.vocabulary.bytes_by_id()
+        by_id = vocabulary.bytes_by_id()
         self.bytes_a = [by_id.get(at, b"") for at in range(max(by_id) + 1)]
         self.bytes_b = [self._piece(at) for at in range(self.b.get_piece_size())]
         self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
@@ -56,15 +60,16 @@ class Tokens:
 
         Tokens of A always join to what was read; the model of B may change a text.
         """
+        none = self.ids_a[:0]
         out = []
-        ids, sizes = self.a.encode([" " + text for text in texts])
-        ids_a = np.split(ids, np.cumsum(sizes)[:-1])
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             some = texts[at : at + TEXTS_AT_ONCE]
-            for text, a, b in zip(some, ids_a[at:], self.b.encode(some, num_threads=1)):
-                held = b" " + text.encode()
-                same = text and b"".join(map(self.bytes_b.__getitem__, b)) == held
-                out.append((a, np.array(b, dtype=np.int32)) if same else (ids[:0], ids[:0]))
+            for text, b in zip(some, self.b.encode(some, num_threads=1)):
+                spaced = " " + text
+                if text and b"".join(map(self.bytes_b.__getitem__, b)) == spaced.encode():
+                    out.append((self.ids_a[self.a.encode_to_numpy(spaced)], np.array(b, dtype=np.int32)))
+                else:
+                    out.append((none, none))
         return out
 
 

@@ -257,19 +257,21 @@ def text_encoder(path: str, added_as_text: bool = False) -> TextEncoder:
     return _ENCODERS[key]
 
 
-def encode_texts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_texts(
+    df: DataFrame, tokenizer_path: str, added_as_text: bool = False, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Whole texts as ids of a byte-level tokenizer file.
 
     Returns ``id_col`` and ``ids`` (array of int), one row per row.  Null and empty texts
     have no ids; row ids may repeat or be null; other columns are left out, so their names
     cannot clash; an empty table gives none.  Texts of any length are read whole, about
-    2 MB of text at once.  Strings of added tokens become those tokens, as the library does it.
-    Nothing is shuffled.
+    2 MB of text at once.  Strings of added tokens become those tokens, as the library does it, or
+    with ``added_as_text`` stay text.  Nothing is shuffled.
     """
     schema = StructType([df.schema[id_col]]).add("ids", ArrayType(IntegerType()))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer_path)
+        encoder = text_encoder(tokenizer_path, added_as_text)
         for batch in batches:
             texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
             for a, b in slices(texts):
