@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbflow.catalogue import register
-from kerbflow.catalogue.standins import BASE_US, ctes, table
+from kerbflow.catalogue.standins import BASE_US, absent, ctes, table
 from kerbflow.functions import detections, times, values
 from kerbflow.operators import counters, numbering, scans, versions
 from kerbflow.plans import dimensions, warehouse
@@ -61,13 +61,12 @@ def scan_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     "with "
     + ctes("fixtures")
     + """
-select fixtureid, coalesce(LegacyPowerDraw, '') as LegacyPowerDraw,
-  coalesce(PowerDraw, '') as PowerDraw from fixtures""",
+select fixtureid, coalesce(LegacyPowerDraw, '') as LegacyPowerDraw, coalesce(PowerDraw, '') as PowerDraw, """
+    + absent(dimensions.FIXTURE_COLUMNS, "fixtureid", "LegacyPowerDraw", "PowerDraw")
+    + " from fixtures",
 )
 def dim_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.fixture_dimension(
-        table(spark, sf_dir, "fixtures"), ["fixtureid", "LegacyPowerDraw", "PowerDraw"]
-    )
+    return dimensions.fixture_dimension(table(spark, sf_dir, "fixtures"))
 
 
 @register(

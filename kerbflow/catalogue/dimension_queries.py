@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbflow.catalogue import register
-from kerbflow.catalogue.standins import ctes, table
+from kerbflow.catalogue.standins import absent, ctes, table
 from kerbflow.plans import dimensions
 from kerbflow.plans.runs import Jobs
 from kerbflow.session import scratch_path
@@ -17,14 +17,12 @@ from kerbflow.sources.store import TableStore
     "with "
     + ctes("sites", "site_org")
     + """
-select s.siteid, coalesce(o.orgid, '') as orgid, name, country, time_zone
-from sites s left join site_org o on s.siteid = o.siteid""",
+select s.siteid, coalesce(o.orgid, '') as orgid, name, country, time_zone, """
+    + absent(dimensions.SITE_COLUMNS, "siteid", "orgid", "name", "country", "time_zone")
+    + " from sites s left join site_org o on s.siteid = o.siteid",
 )
 def dim_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = dimensions.site_dimension(
-        table(spark, sf_dir, "sites"), table(spark, sf_dir, "site_org")
-    )
-    return sites.select("siteid", "orgid", "name", "country", "time_zone")
+    return dimensions.site_dimension(table(spark, sf_dir, "sites"), table(spark, sf_dir, "site_org"))
 
 
 @register(
@@ -32,14 +30,12 @@ def dim_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     "with "
     + ctes("nodes", "node_site")
     + """
-select distinct n.nodeid, s.siteid, name, model, coalesce(bssid, '') as bssid, '' as fixtureid
-from nodes n join node_site s on n.nodeid = s.nodeid where list_contains(labels, 'Active')""",
+select distinct n.nodeid, s.siteid, name, model, coalesce(bssid, '') as bssid, """
+    + absent(dimensions.NODE_COLUMNS, "nodeid", "siteid", "name", "model", "bssid")
+    + " from nodes n join node_site s on n.nodeid = s.nodeid where list_contains(labels, 'Active')",
 )
 def dim_node(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = dimensions.node_dimension(
-        table(spark, sf_dir, "nodes"), table(spark, sf_dir, "node_site")
-    )
-    return nodes.select("nodeid", "siteid", "name", "model", "bssid", "fixtureid")
+    return dimensions.node_dimension(table(spark, sf_dir, "nodes"), table(spark, sf_dir, "node_site"))
 
 
 @register(
@@ -79,14 +75,12 @@ def dim_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     "with "
     + ctes("orgs", "org_edges")
     + """
-select distinct c.orgid, c.name, c.type, coalesce(c.country, '') as country, '' as city
-from orgs c join org_edges e on c.orgid = e.orgid join orgs p on e.parent_orgid = p.orgid""",
+select distinct c.orgid, c.name, c.type, coalesce(c.country, '') as country, """
+    + absent(dimensions.CUSTOMER_COLUMNS, "orgid", "name", "type", "country")
+    + " from orgs c join org_edges e on c.orgid = e.orgid join orgs p on e.parent_orgid = p.orgid",
 )
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = dimensions.customer_dimension(
-        table(spark, sf_dir, "orgs"), table(spark, sf_dir, "org_edges")
-    )
-    return customers.select("orgid", "name", "type", "country", "city")
+    return dimensions.customer_dimension(table(spark, sf_dir, "orgs"), table(spark, sf_dir, "org_edges"))
 
 
 @register(

@@ -9,6 +9,7 @@ of the source tables are used.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -271,6 +272,11 @@ def ctes(*names: str) -> str:
     return ",\n".join(parts)
 
 
+def absent(columns: Sequence[str], *present: str) -> str:
+    """SQL for the declared columns that the benchmark tables cannot fill."""
+    return ", ".join(f"'' as {c}" for c in columns if c not in present)
+
+
 def _grid(spark: SparkSession, sf_dir: str, start: str) -> Grid:
     """The grid over all rows; its window ends inside the bucket behind the last one."""
     start_us, end_us = table(spark, sf_dir, "bounds").select(start, "grid_end").first()

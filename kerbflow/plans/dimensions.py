@@ -26,6 +26,13 @@ NODE_COLUMNS = (
     "note", "circuit", "remoteNetwork", "abcd", "apn", "publicKey", "firmwareLastUpdated",
     "time_zone", "mfgDate",
 )
+FIXTURE_COLUMNS = (
+    "name", "fixtureid", "MinPower100", "MinPower10", "description", "manufacturersku",
+    "MinPower50", "fixtureType", "MaxPower10", "nemasocket",
+    "MinimumLightLevelForFailureDetection", "MaxPower0", "MinPower0", "manufacturer",
+    "PowerDraw", "MaxPower100", "MaxPower50", "BallastCost", "BulbCost", "LegacyPowerDraw",
+    "DailyOperatingTime", "site",
+)
 USER_COLUMNS = ("userid", "name", "email", "roles", "updated", "created", "orgid")
 CUSTOMER_COLUMNS = (
     "orgid", "name", "type", "contact_name", "contact_phone", "contact_email", "street1",
@@ -57,7 +64,7 @@ def site_dimension(sites: DataFrame, site_org: DataFrame) -> DataFrame:
     return as_text(sites.join(site_org, "siteid", "left"), SITE_COLUMNS)
 
 
-def fixture_dimension(fixtures: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fixture_dimension(fixtures: DataFrame, columns: Sequence[str] = FIXTURE_COLUMNS) -> DataFrame:
     return as_text(fixtures, columns)
 
 
@@ -173,21 +180,23 @@ def node_energy_settings(paths: DataFrame) -> DataFrame:
 
 
 def node_groups(site_group: DataFrame, groups: DataFrame, group_node: DataFrame) -> DataFrame:
-    """Organizational groups (distinct) and lighting groups with their nodes."""
+    """Organizational groups (distinct) and lighting groups with their nodes.
+
+    Both kinds come from one join; equal rows are counted, and only lighting rows are given
+    out as often as they were counted.
+    """
+    kind = F.when(has_label("LightingGroup"), "Lighting").when(~has_label("ParkingGroup"), "Organizational")
     labelled = groups.select(
         "groupid",
-        "labels",
+        kind.alias("grouptype"),
         F.col("name").alias("groupname"),
         F.col("description").alias("groupdesc"),
         # Every label is followed by a blank.
         F.concat(F.array_join("labels", " "), F.when(F.size("labels") > 0, " ").otherwise("")).alias(
             "labellist"
         ),
-    )
+    ).filter("grouptype is not null")
     paths = labelled.join(site_group, "groupid").join(group_node, "groupid")
-    lighting = paths.filter(has_label("LightingGroup")).withColumn("grouptype", F.lit("Lighting"))
-    other = (
-        paths.filter(~has_label("LightingGroup") & ~has_label("ParkingGroup"))
-        .withColumn("grouptype", F.lit("Organizational"))
-    )
-    return as_text(other, GROUP_COLUMNS).distinct().unionByName(as_text(lighting, GROUP_COLUMNS))
+    counted = as_text(paths, GROUP_COLUMNS).groupBy(*GROUP_COLUMNS).agg(F.count("*").cast("int").alias("_rows"))
+    times_out = F.when(F.col("grouptype") == "Lighting", F.col("_rows")).otherwise(1)
+    return counted.withColumn("_rows", F.explode(F.sequence(F.lit(1), times_out))).drop("_rows")
