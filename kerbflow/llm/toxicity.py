@@ -150,6 +150,7 @@ def fit(
     decay: float = 2e-4,
     sparse: float = 0.015,
     min_rows: int = 3,
+    steps: int = 520,
     seed: int = 5,
 ) -> FactorizationMachine:
     """Fit on the distinct slots of each labelled text.
@@ -157,7 +158,8 @@ def fit(
     The machine is first fitted over all slots that ``min_rows`` texts have (a rarer one can
     tell nothing of other texts), drawn to zero by ``sparse``: what a slot does alone or
     only together with others decides whether it stays.  Then it is fitted anew, freely,
-    over those that stayed.  A toxic row counts ``positive`` times because such rows are
+    over those that stayed.  Each fit takes all rows ``epochs`` times, or fewer times (but
+    five) once it has taken ``steps`` batches.  A toxic row counts ``positive`` times because such rows are
     few; seeded.  Without rows, or where no slot stays, the model is its bias.
     """
     labels = np.asarray(labels, dtype=np.float64)
@@ -165,10 +167,12 @@ def fit(
     for slots in features:
         seen[slots] += 1
     kept = np.flatnonzero(seen >= min_rows)
+    epochs = min(epochs, max(5, -(-steps * batch // max(1, len(labels)))))
     for first in (True, False):
         flat, ends = _chosen(features, kept)
+        drawn, start = (sparse, 0.1) if first else (0.0, 0.02)
         bias, weight, factors = _descend(
-            flat, ends, labels, len(kept), rank, epochs, batch, rate, positive, decay, sparse if first else 0.0, 0.1 if first else 0.02, seed
+            flat, ends, labels, len(kept), rank, epochs, batch, rate, positive, decay, drawn, start, seed
         )
         if first:
             kept = kept[(weight != 0) | (factors != 0).any(axis=1)]
