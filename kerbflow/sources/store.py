@@ -80,8 +80,11 @@ class TableStore:
     def overwrite_days(self, name: str, df: DataFrame, day: str = DAY) -> DataFrame:
         """Replace exactly the day partitions that occur in ``df``.
 
-        New files are staged and moved in only when the whole job has succeeded, so
-        ``df`` may read the same table, and a failed run leaves the old days in place.
+        New files are staged and moved in, day by day, only when the whole job has
+        succeeded, so ``df`` may read the same table and a failed job changes nothing.  A
+        driver that is lost while days are moved can leave some of them new, and the one
+        being moved empty until the run is repeated; where that cannot be borne, use
+        :class:`kerbflow.sources.day_versions.DayVersions`.
         """
         self._writer(df, "overwrite", [day]).option("partitionOverwriteMode", "dynamic").save(
             self.path(name)
