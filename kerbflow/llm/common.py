@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let an operator name its working columns with a leading underscore.
+
+    Columns of the input that begin so too get other names while it runs.  A column the
+    operator is told to use must not begin so.
+    """
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        aside = {c: f"column {k} of the input" for k, c in enumerate(df.columns) if c.startswith("_")}
+        if not aside:
+            return operator(df, *args, **options)
+        result = operator(df.withColumnsRenamed(aside), *args, **options)
+        return result.withColumnsRenamed({name: c for c, name in aside.items()})
+
+    return run
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbflow.llm.common import own_names
+
 OUTPUTS = ("text", "n_chars")
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -264,6 +266,7 @@ def main_text(html: str | None) -> str:
     return "\n".join(line.text for line, good in zip(lines, chosen) if good or line.container in grown)
 
 
+@own_names
 def extract_text(df: DataFrame, html_col: str = "html") -> DataFrame:
     """Add ``text`` and ``n_chars`` (its characters) to each row.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import release, stored
+from kerbflow.llm.common import own_names, release, stored
 from kerbflow.llm.graphs import components
 from kerbflow.llm.shingles import mixed, overlap, row_slices, set_ids, shingle_sets
 
@@ -387,6 +387,7 @@ def _candidate_texts(df: DataFrame, sets: DataFrame, id_col: str, text_col: str,
     return found.dropDuplicates(["doc_id", "sid"]).select("sid", "text")
 
 
+@own_names
 def jaccard_join(
     df: DataFrame, width: int = 5, threshold: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

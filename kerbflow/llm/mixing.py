@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import n_words, stored
+from kerbflow.llm.common import n_words, own_names, stored
 
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 # Seeded order inside one (source, length): rows are ranked inside one of so many slices of
@@ -113,6 +113,7 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float,
     )
 
 
+@own_names
 def mix_sources(
     df: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
@@ -177,6 +178,7 @@ def mix_sources(
     )
 
 
+@own_names
 def mixed_documents(df: DataFrame, **options) -> DataFrame:
     """The mix itself: the input's rows, each as often as the mix takes it.
 

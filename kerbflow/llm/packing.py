@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from kerbflow.llm.common import own_names
+
 OUTPUTS = ("sequence_id", "offset")
 
 
@@ -51,6 +53,7 @@ def best_fit(lengths: np.ndarray, capacity: int, open_bins: int) -> tuple[np.nda
     return bins, offsets
 
 
+@own_names
 def pack_best_fit(
     pieces: DataFrame,
     capacity: int = 2048,

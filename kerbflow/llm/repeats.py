@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from kerbflow.llm.common import stored
+from kerbflow.llm.common import own_names, stored
 from kerbflow.llm.shingles import mixed, row_slices
 from kerbflow.llm.suffixes import permuted_common_prefixes, suffix_array
 
@@ -304,6 +304,7 @@ def _cut(rows: DataFrame, spans: DataFrame, as_text: bool) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+@own_names
 def remove_repeats(
     df: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False
 ) -> DataFrame:

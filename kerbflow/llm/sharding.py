@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from kerbflow.llm.common import n_bytes, stored
+from kerbflow.llm.common import n_bytes, own_names, stored
 
 OUTPUTS = ("shard", "slot")
 GROUP = 1024  # buckets summed together before the running sum over groups
@@ -37,6 +37,7 @@ def _bucket_offsets(counts: DataFrame) -> DataFrame:
     )
 
 
+@own_names
 def shuffle_into_shards(
     df: DataFrame,
     shards: int,

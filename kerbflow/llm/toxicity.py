@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbflow.llm.common import own_names
+
 OUTPUTS = ("score", "predicted")
 SLOTS = 1 << 18
 SLICE_BYTES = 4_000_000
@@ -216,6 +218,7 @@ def train(
     return fit(features, got["y"].to_numpy(), seed=seed)
 
 
+@own_names
 def score_toxicity(df: DataFrame, model: FactorizationMachine, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on) to each row.
 

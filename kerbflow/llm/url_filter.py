@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import ascii_lower
+from kerbflow.llm.common import ascii_lower, own_names
 
 ALLOW, BLOCK = "allow", "block"
 OUTPUTS = ("host", "path", "rule", "verdict")
@@ -105,6 +105,7 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+@own_names
 def judge_urls(
     df: DataFrame,
     rules: list[Rule],

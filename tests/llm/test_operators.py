@@ -542,3 +542,29 @@ def test_packing_is_tight(spark, none):
     assert packed.agg(F.max("n")).first()[0] <= 2048
     assert packed.count() <= 1.02 * np.ceil(pieces.agg(F.sum("length")).first()[0] / 2048)
     assert pack_best_fit(pieces.limit(0), 2048).collect() == []
+
+
+# names
+
+
+def test_columns_named_like_working_ones_come_through(spark):
+    """Extra columns with the names operators use inside; those that pass columns on keep them."""
+    names = ["_bucket", "_hash", "_group", "_doc", "_tie", "_text", "_host", "_best", "_t", "_id", "_copies", "_copy", "_first", "_start"]
+    rows = [(k, f"http://h{k}.com/en/x", f"text number {k} of a few", "en", "s", 9, *[f"{n}{k}" for n in names]) for k in range(4)]
+    columns = ["doc_id long", "url string", "text string", "lang string", "source string", "n_chars long", *[f"{n} string" for n in names]]
+    df = spark.createDataFrame(rows, ", ".join(columns)).repartition(2)
+    model = fit([], np.empty(0))
+    for result in (
+        shuffle_into_shards(df, 3),
+        pack_best_fit(df.withColumns({"piece": F.lit(0), "length": F.lit(5)})),
+        remove_repeats(df, length=100),
+        judge_urls(df, [Rule(BLOCK, "com", "/en/")]),
+        mixed_documents(df),
+        score_toxicity(df, model),
+    ):
+        assert set(names) <= set(result.columns)
+        held = {r.doc_id: [r[n] for n in names] for r in result.collect()}
+        assert held and all(v == [f"{n}{k}" for n in names] for k, v in held.items())
+    assert mix_sources(df).count() == 4 and jaccard_join(df).count() == 4
+    pages = df.select(F.col("doc_id").alias("page_id"), "url", F.col("text").alias("html"), *names)
+    assert html_text.extract_text(pages).count() == 4
