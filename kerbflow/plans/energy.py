@@ -113,13 +113,17 @@ def node_15min(
     """
     rates = positive_rates(samples, per_sensor, levels)
     summary = neighbour_summary(rates, grid, rules.zero_watts).join(one_per_node(settings), "nodeid")
-    rows = bucket_neighbours(summary, grid)
+    return savings(with_power(bucket_neighbours(summary, grid), rules), grid)
 
+
+def with_power(rows: DataFrame, rules: EnergyRules) -> DataFrame:
+    """Add the bucket's power: the mean of its own rates, else that of near neighbours, else
+    null."""
     gap_s = F.floor((F.col("q_time") - F.col("p_time")) / F.lit(times.SECOND_US))
     between = (F.col("p_rate") + F.col("q_rate")) / 2
     fillable = (gap_s <= F.lit(2 * rules.interval_s)) & (between > rules.zero_watts)
     power = F.coalesce("own_rate", F.when(fillable, between))
-    return savings(rows.withColumn("power", power), grid)
+    return rows.withColumn("power", power)
 
 
 def savings(rows: DataFrame, grid: Grid) -> DataFrame:

@@ -24,11 +24,7 @@ def from_rates(spark, points, until=G0 + 8 * BUCKET_US, rules=energy.EnergyRules
     settings = spark.createDataFrame([("s", "n", 100.0, 40.0)], SETTINGS)
     grid = Grid(G0, until)
     summary = energy.neighbour_summary(rates, grid, rules.zero_watts).join(settings, "nodeid")
-    placed = energy.bucket_neighbours(summary, grid)
-    gap = F.floor((F.col("q_time") - F.col("p_time")) / SECOND_US)
-    between = (F.col("p_rate") + F.col("q_rate")) / 2
-    power = F.coalesce("own_rate", F.when((gap <= 2 * rules.interval_s) & (between > rules.zero_watts), between))
-    out = energy.savings(placed.withColumn("power", power), grid)
+    out = energy.savings(energy.with_power(energy.bucket_neighbours(summary, grid), rules), grid)
     return {(r.starttime - G0) // BUCKET_US: r for r in out.collect()}
 
 
