@@ -544,6 +544,21 @@ def test_packing_is_tight(spark, none):
     assert pack_best_fit(pieces.limit(0), 2048).collect() == []
 
 
+def test_few_open_bins_close_and_lose_little(spark):
+    """Lengths as texts have them: the bound on open bins is reached, at under 1 % of room."""
+    rng = np.random.default_rng(6)
+    lengths = np.minimum(2048, rng.lognormal(6.3, 0.9, 20_000).astype(int) + 1)
+    pieces = spark.createDataFrame([(int(i), 0, int(n)) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+
+    def sequences(open_bins):
+        return pack_best_fit(pieces, 2048, open_bins=open_bins).select("sequence_id").distinct().count()
+
+    bound = np.ceil(lengths.sum() / 2048)
+    assert sequences(512) <= 1.01 * bound
+    # With fewer, more are closed before they are full.
+    assert sequences(512) < sequences(32)
+
+
 # names
 
 
