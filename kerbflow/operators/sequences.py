@@ -20,12 +20,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.functions.times import DAY_US, HOUR_US, MINUTE_US, SECOND_US, bucket_start
+from kerbflow.functions.times import HOUR_US, MINUTE_US, SECOND_US, bucket_start
 
 SLICE = "_slice"
-# Slice widths, finest first: for rows seconds to minutes apart, and for dense ones.
-LEVELS = (HOUR_US, DAY_US)
-DENSE_LEVELS = (MINUTE_US, HOUR_US, DAY_US)
+# Slice widths, finest first: for rows seconds to minutes apart, and for dense ones.  By key
+# alone then meet at most two rows for each hour.
+LEVELS = (HOUR_US,)
+DENSE_LEVELS = (MINUTE_US, HOUR_US)
 
 
 def _returned(time: str, payload: Sequence[str]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbflow.functions import times
-from kerbflow.operators import counters, scans, versions
+from kerbflow.operators import counters, scans, sequences, versions
 from kerbflow.operators.grids import Grid
 from kerbflow.plans import capacity, dimensions, energy, parking, recompute, traffic, warehouse
 from kerbflow.session import remove_path, scratch_path
@@ -215,7 +215,10 @@ class Jobs:
         window: RunWindow,
         rules: energy.EnergyRules | None = None,
         only: str | None = None,
+        levels: Sequence[int] = sequences.LEVELS,
     ) -> None:
+        """``levels`` cut the time lines of meters; ``sequences.DENSE_LEVELS`` suits meters
+        with many samples a second."""
         rules = rules or self.energy_rules()
         grid = energy_grid(window.from_us, window.until_us)
         samples = self._input(
@@ -227,7 +230,7 @@ class Jobs:
             settings = settings.filter(F.col("siteid") == only)
             samples = scans.only_keys(samples, "nodeid", settings)
         with self._scratch() as written:
-            buckets = written(energy.node_15min(samples, settings, grid, rules), "energy-buckets")
+            buckets = written(energy.node_15min(samples, settings, grid, rules, levels=levels), "energy-buckets")
             node = buckets
             site = energy.site_rollup(buckets, "15min")
             for grain in ("1hr", "1day"):
