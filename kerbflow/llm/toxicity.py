@@ -69,16 +69,16 @@ def _sums(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(index, values, n).astype(float)
 
 
-def _chosen(features: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chosen(flat: np.ndarray, ends: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Features of all rows in a row, and where each row's begin and end.
 
     ``kept`` are the slots that are features, ascending.
     """
     feature = np.full(SLOTS, -1, dtype=np.int32)
     feature[kept] = np.arange(len(kept), dtype=np.int32)
-    own = [f[f >= 0] for f in (feature[slots] for slots in features)]
-    ends = np.concatenate([[0], np.cumsum([len(f) for f in own])]).astype(np.int64)
-    return np.concatenate([*own, np.empty(0, np.int32)]).astype(np.int32), ends
+    found = feature[flat]
+    inside = found >= 0
+    return found[inside], np.concatenate([[0], np.cumsum(inside)])[ends]
 
 
 def _descend(
@@ -141,8 +141,15 @@ def _descend(
     return bias, weight, factors
 
 
-def fit(
-    features: list[np.ndarray],
+def fit(features: list[np.ndarray], labels: np.ndarray, **options) -> FactorizationMachine:
+    """:func:`fit_flat` of the distinct slots of each labelled text."""
+    flat = np.concatenate([*features, np.empty(0, np.int32)]).astype(np.int32)
+    return fit_flat(flat, np.concatenate([[0], np.cumsum([len(f) for f in features])]).astype(np.int64), labels, **options)
+
+
+def fit_flat(
+    flat: np.ndarray,
+    ends: np.ndarray,
     labels: np.ndarray,
     rank: int = 6,
     epochs: int = 40,
@@ -155,7 +162,7 @@ def fit(
     steps: int = 520,
     seed: int = 5,
 ) -> FactorizationMachine:
-    """Fit on the distinct slots of each labelled text.
+    """Fit on the distinct slots of each labelled text, all in a row, and where they end.
 
     The machine is first fitted over all slots that ``min_rows`` texts have (a rarer one can
     tell nothing of other texts), drawn to zero by ``sparse``: what a slot does alone or
@@ -165,16 +172,13 @@ def fit(
     few; seeded.  Without rows, or where no slot stays, the model is its bias.
     """
     labels = np.asarray(labels, dtype=np.float64)
-    seen = np.zeros(SLOTS, dtype=np.int64)
-    for slots in features:
-        seen[slots] += 1
-    kept = np.flatnonzero(seen >= min_rows)
+    kept = np.flatnonzero(np.bincount(flat, minlength=SLOTS) >= min_rows)
     epochs = min(epochs, max(5, -(-steps * batch // max(1, len(labels)))))
     for first in (True, False):
-        flat, ends = _chosen(features, kept)
+        own, own_ends = _chosen(flat, ends, kept)
         drawn, start = (sparse, 0.1) if first else (0.0, 0.02)
         bias, weight, factors = _descend(
-            flat, ends, labels, len(kept), rank, epochs, batch, rate, positive, decay, drawn, start, seed
+            own, own_ends, labels, len(kept), rank, epochs, batch, rate, positive, decay, drawn, start, seed
         )
         if first:
             kept = kept[(weight != 0) | (factors != 0).any(axis=1)]
@@ -193,8 +197,8 @@ def train(
 ) -> FactorizationMachine:
     """Fit on at most ``max_rows`` labelled rows that are not held out.
 
-    The rows are the first of a seeded order of ids, counted again after their texts have
-    been found, as ids may repeat.  They are few enough to broadcast, so the documents are
+    The rows are the first of a seeded order of ids, and again of the texts found for them,
+    as ids may repeat.  They are few enough to broadcast, so the documents are
     not shuffled; only hash slots (at most ``SLOTS`` a text) reach the driver.  Null labels
     are ignored.  Without labelled rows the model is its bias.
     """
@@ -213,9 +217,15 @@ def train(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary())], names=["o", "y", "slots"])
 
     found = rows.mapInArrow(slots, "o long, y int, slots binary")
-    got = found.orderBy("o", "y", "slots").limit(max_rows).toArrow()
-    features = [np.frombuffer(x, dtype="<i4") for x in got["slots"].to_pylist()]
-    return fit(features, got["y"].to_numpy(), seed=seed)
+    got = found.toArrow().sort_by([("o", "ascending"), ("y", "ascending"), ("slots", "ascending")]).slice(0, max_rows)
+    found_slots = got["slots"].cast(pa.large_binary()).combine_chunks()
+    if not len(found_slots):
+        return fit([], np.empty(0), seed=seed)
+    # Views of one buffer: as many small arrays would leave the driver's memory in pieces.
+    offsets = np.frombuffer(found_slots.buffers()[1], np.int64)[found_slots.offset : found_slots.offset + len(found_slots) + 1]
+    held = found_slots.buffers()[2]
+    flat = np.frombuffer(held, "<i4", (offsets[-1] - offsets[0]) // 4, offsets[0]) if offsets[-1] > offsets[0] else np.empty(0, np.int32)
+    return fit_flat(flat, (offsets - offsets[0]) // 4, got["y"].to_numpy(), seed=seed)
 
 
 @own_names
