@@ -4,28 +4,36 @@ The state is two numbers per spot: the first bucket not yet given out and whethe
 was occupied at the end of the one before.  Changes are first reduced to the last one per
 spot and bucket, in every task, so a busy spot brings one row per closed bucket; event-time
 timers give out the buckets of spots that sent nothing.
+
+Spots are kept in a fixed number of blocks, by hash: a call of the processor, its reads and
+writes of the state and its timers cost far more than a spot in it.  The processor gives
+out spans of equal buckets; they become one row per bucket outside Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from kerbflow.functions import times
 from kerbflow.streaming.tumbling import BATCH, drain, keep_batches
 
-STATE_SCHEMA = "next_us bigint, occupied boolean"
-OUTPUT_SCHEMA = "parkingspotid string, starttime bigint, occupancy boolean"
+BLOCKS = 2048  # part of what a checkpoint holds: another number cannot go on from it
+STATE_SCHEMA = "parkingspotid array<string>, next_us array<bigint>, occupied array<boolean>"
+# The spans of one call, side by side: a bucket's start is in [first_us, end_us).
+SPANS_SCHEMA = "parkingspotid array<string>, first_us array<bigint>, end_us array<bigint>, occupancy array<boolean>"
 # State with timers needs this store; Spark remembers it in the checkpoint.
 STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class CarriedState(StatefulProcessor):
-    """Gives out one row per spot and bucket, in order and once, when the bucket is over."""
+    """Gives out every bucket of a block's spots, in order and once, when the bucket is over."""
 
     def __init__(self, start_us: int, width_us: int):
         self.start_us = start_us
@@ -35,44 +43,68 @@ class CarriedState(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("state", STATE_SCHEMA)
 
-    def _keep(self, next_us: int, occupied: bool) -> None:
-        self.state.update((next_us, occupied))
+    def _known(self) -> dict[str, tuple[int, bool]]:
+        """The first bucket not yet given out and the state before it, by spot."""
+        if not self.state.exists():
+            return {}
+        spots, next_us, occupied = self.state.get()
+        return dict(zip(spots, zip(next_us, occupied)))
+
+    def _keep(self, known: dict[str, tuple[int, bool]]) -> None:
+        next_us, occupied = (list(x) for x in zip(*known.values()))
+        self.state.update((list(known), next_us, occupied))
         # Earlier timers may still go off; they find nothing to give out.
-        self.handle.registerTimer((next_us + self.width_us) // times.MILLI_US)
+        self.handle.registerTimer((min(next_us) + self.width_us) // times.MILLI_US)
 
-    def _until(self, key, next_us: int, end_us: int, occupied: bool) -> Iterator[Row]:
-        for start in range(next_us, end_us, self.width_us):
-            yield Row(parkingspotid=key[0], starttime=start, occupancy=occupied)
+    def _given_out(self, spans: list[tuple[str, int, int, bool]]) -> Iterator[Row]:
+        if spans:
+            spots, first_us, end_us, occupancy = (list(x) for x in zip(*spans))
+            yield Row(parkingspotid=spots, first_us=first_us, end_us=end_us, occupancy=occupancy)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._keep(self.start_us, bool(initialState.occupancy))
+        free = dict.fromkeys(initialState.free, (self.start_us, False))
+        self._keep(free | dict.fromkeys(initialState.taken, (self.start_us, True)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if key[0] is None:
-            return  # a row without a spot only tells the time
-        next_us, occupied = self.state.get() if self.state.exists() else (self.start_us, False)
-        for bucket, state in sorted((row.bucket, row.occupancy) for row in rows):
-            yield from self._until(key, next_us, bucket, occupied)
-            if bucket >= self.start_us:
-                yield Row(parkingspotid=key[0], starttime=bucket, occupancy=state)
-                next_us = bucket + self.width_us
-            occupied = state
-        self._keep(next_us, occupied)
+        # A row without a spot only tells the time.
+        heard = sorted((r.parkingspotid, r.bucket, r.occupancy) for r in rows if r.parkingspotid is not None)
+        if not heard:
+            return
+        known, spans = self._known(), []
+        for spot, of_spot in groupby(heard, key=itemgetter(0)):
+            next_us, occupied = known.get(spot, (self.start_us, False))
+            first_us = next_us
+            for _, bucket, state in of_spot:
+                if state != occupied and bucket > first_us:
+                    spans.append((spot, first_us, bucket, occupied))
+                    first_us = bucket
+                next_us, occupied = max(next_us, bucket + self.width_us), state
+            if next_us > first_us:
+                spans.append((spot, first_us, next_us, occupied))
+            known[spot] = next_us, occupied
+        self._keep(known)
+        yield from self._given_out(spans)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.state.exists():
-            return
-        next_us, occupied = self.state.get()
-        passed = timerValues.getCurrentWatermarkInMs() * times.MILLI_US - next_us
-        end_us = next_us + max(0, passed) // self.width_us * self.width_us
-        if end_us > next_us:
-            yield from self._until(key, next_us, end_us, occupied)
-            self._keep(end_us, occupied)
+        watermark_us = timerValues.getCurrentWatermarkInMs() * times.MILLI_US
+        known, spans = self._known(), []
+        for spot, (next_us, occupied) in known.items():
+            end_us = next_us + max(0, watermark_us - next_us) // self.width_us * self.width_us
+            if end_us > next_us:
+                spans.append((spot, next_us, end_us, occupied))
+                known[spot] = end_us, occupied
+        if spans:
+            self._keep(known)
+            yield from self._given_out(spans)
 
     def close(self) -> None:
         pass
 
 
+def block_of(spot: str) -> Column:
+    return F.pmod(F.xxhash64(spot), F.lit(BLOCKS)).alias("block")
+
+
 def closed_buckets(stream: DataFrame, start_us: int, width_us: int, late: str) -> DataFrame:
     """The last state of each spot and bucket, once the bucket is over."""
     origin = f"{start_us % width_us // times.MILLI_US} milliseconds"
@@ -84,6 +116,7 @@ def closed_buckets(stream: DataFrame, start_us: int, width_us: int, late: str) -
         .groupBy("parkingspotid", F.window("moment", width, width, origin))
         .agg(last)
         .select(
+            block_of("parkingspotid"),
             "parkingspotid",
             F.window_time("window").alias("moment"),
             F.unix_micros("window.start").alias("bucket"),
@@ -95,7 +128,8 @@ def closed_buckets(stream: DataFrame, start_us: int, width_us: int, late: str) -
 def carried_stream(
     stream: DataFrame, prior: DataFrame, start_us: int, width_us: int = times.BUCKET_US, late: str = "1 hour"
 ) -> DataFrame:
-    """A stream of end-of-bucket states from ``start_us`` on, as buckets close.
+    """A stream of end-of-bucket states from ``start_us`` on, as buckets close; in spans,
+    which :func:`by_bucket` turns into rows.
 
     ``stream`` has parkingspotid, since and occupancy (null counts as free).  Spots of
     ``prior`` start with its occupancy, others free; a spot is given out from the first
@@ -104,20 +138,37 @@ def carried_stream(
     from any spot, or one without a spot; changes that come later than that are dropped, so
     ``late`` has to cover the delay of the source.
     """
-    initial = prior.where("parkingspotid is not null").select("parkingspotid", F.coalesce("occupancy", F.lit(False)).alias("occupancy"))
+    taken = F.coalesce("occupancy", F.lit(False))
+    initial = (
+        prior.where("parkingspotid is not null")
+        .groupBy(block_of("parkingspotid"))
+        .agg(
+            F.collect_set(F.when(taken, F.col("parkingspotid"))).alias("taken"),
+            F.collect_set(F.when(~taken, F.col("parkingspotid"))).alias("free"),
+        )
+    )
     return (
         closed_buckets(stream, start_us, width_us, late)
-        .groupBy("parkingspotid")
+        .groupBy("block")
         .transformWithState(
             CarriedState(start_us, width_us),
-            OUTPUT_SCHEMA,
+            SPANS_SCHEMA,
             "append",
             "eventTime",
-            initialState=initial.groupBy("parkingspotid"),
+            initialState=initial.groupBy("block"),
         )
     )
 
 
+def by_bucket(spans: DataFrame, width_us: int) -> DataFrame:
+    """One row per spot and bucket."""
+    columns = ("parkingspotid", "first_us", "end_us", "occupancy")
+    starts = F.sequence("first_us", F.col("end_us") - F.lit(width_us), F.lit(width_us))
+    return spans.select(F.inline(F.arrays_zip(*columns))).select(
+        "parkingspotid", F.explode(starts).alias("starttime"), "occupancy"
+    )
+
+
 def run_carried(
     stream: DataFrame,
     prior: DataFrame,
@@ -141,4 +192,4 @@ def run_carried(
     finally:
         spark.conf.set(STORE_CONF, before)
     drain(query, timeout_s)
-    return spark.read.schema(f"{OUTPUT_SCHEMA}, {BATCH} bigint").parquet(path).drop(BATCH)
+    return by_bucket(spark.read.schema(f"{SPANS_SCHEMA}, {BATCH} bigint").parquet(path), width_us)

@@ -158,3 +158,20 @@ def test_state_goes_on_between_runs(spark, tmp_path):
     heard = carry.carried_states(known, prior, grid)
     silent = [(s, grid.start_us + i * BUCKET_US, s == "silent") for s in ("silent", "free") for i in range(grid.size)]
     assert rows(got) == sorted(rows(heard) + silent)
+
+
+def test_silent_spots_share_calls_and_spans(spark, tmp_path):
+    """What is stored follows the blocks and the changes, not spots times buckets."""
+    grid = Grid(T0, T0 + 40 * BUCKET_US)
+    prior = spark.range(6000).selectExpr("concat('s', id) as parkingspotid", "id % 3 = 0 as occupancy")
+    made = [("s0", T0 + 5 * BUCKET_US, False), ("s0", T0 + 6 * BUCKET_US, False), ("s0", T0 + 9 * BUCKET_US, True)]
+    made += [("new", T0 + 7 * BUCKET_US, True), (None, grid.end_us, None)]
+    source, path, checkpoint = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    spark.createDataFrame(made, SPOTS).write.parquet(source)
+    got = keyed_state.run_carried(paced_stream(spark, source, SPOTS), prior, grid.start_us, path, checkpoint, late="0 seconds")
+    stored = spark.read.parquet(path).groupBy("batch_id").count().agg(F.max("count")).first()[0]
+    # A block is called for its rows and for its timers.
+    assert stored <= 2 * keyed_state.BLOCKS
+    changed = {"s0": [True] * 5 + [False] * 4 + [True] * 31, "new": [False] * 7 + [True] * 33}
+    spots = {f"s{i}": [i % 3 == 0] * grid.size for i in range(6000)} | changed
+    assert rows(got) == sorted((s, grid.start_us + i * BUCKET_US, x) for s, xs in spots.items() for i, x in enumerate(xs))
