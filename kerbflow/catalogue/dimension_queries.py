@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbflow.catalogue import register
 from kerbflow.catalogue.standins import absent, ctes, table
+from kerbflow.operators.grids import spread_by_key
 from kerbflow.plans import dimensions
 from kerbflow.plans.runs import Jobs
 from kerbflow.session import scratch_path
@@ -179,8 +180,10 @@ union all by name
 select * exclude (labels), 'Lighting' as grouptype from paths where list_contains(labels, 'LightingGroup')""",
 )
 def dim_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Dealt out first, so that the pairs of a whole file piece are not made distinct in one task.
+    lines = spread_by_key(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
     names = ("site_group", "groups", "group_node")
-    return dimensions.node_groups(*(table(spark, sf_dir, n) for n in names))
+    return dimensions.node_groups(*(table(spark, sf_dir, n, given={"lineitem": lines}) for n in names))
 
 
 @register(

@@ -179,11 +179,23 @@ def node_energy_settings(paths: DataFrame) -> DataFrame:
     return per_node.join(site, "nodeid").select("siteid", "nodeid", "legacy_power", "max_led_power")
 
 
+def counted(df: DataFrame, columns: Sequence[str], rows: str) -> DataFrame:
+    """Rows of a group as text, equal ones once and counted in ``rows``.
+
+    They are dealt out before they are counted, and tasks must not be merged because their
+    input packs well: a task then counts its share and nothing else.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = as_text(df.filter("groupid is not null"), columns)
+    return texts.repartition(count, *columns).groupBy(*columns).agg(F.count("*").alias(rows))
+
+
 def node_groups(site_group: DataFrame, groups: DataFrame, group_node: DataFrame) -> DataFrame:
     """Organizational groups (distinct) and lighting groups with their nodes.
 
-    Both kinds come from one join; equal rows are counted, and only lighting rows are given
-    out as often as they were counted.
+    Both kinds come from one join.  Equal rows are counted in each table, while they are
+    narrow, so the joined rows differ from each other and need no grouping of their own; only
+    lighting rows are given out as often as the counts say.
     """
     kind = F.when(has_label("LightingGroup"), "Lighting").when(~has_label("ParkingGroup"), "Organizational")
     labelled = groups.select(
@@ -196,7 +208,10 @@ def node_groups(site_group: DataFrame, groups: DataFrame, group_node: DataFrame)
             "labellist"
         ),
     ).filter("grouptype is not null")
-    paths = labelled.join(site_group, "groupid").join(group_node, "groupid")
-    counted = as_text(paths, GROUP_COLUMNS).groupBy(*GROUP_COLUMNS).agg(F.count("*").cast("int").alias("_rows"))
-    times_out = F.when(F.col("grouptype") == "Lighting", F.col("_rows")).otherwise(1)
-    return counted.withColumn("_rows", F.explode(F.sequence(F.lit(1), times_out))).drop("_rows")
+    paths = (
+        counted(labelled, labelled.columns, "_groups")
+        .join(counted(site_group, ["groupid", "siteid"], "_sites"), "groupid")
+        .join(counted(group_node, ["groupid", "nodeid"], "_nodes"), "groupid")
+    )
+    times_out = F.when(F.col("grouptype") == "Lighting", F.col("_groups") * F.col("_sites") * F.col("_nodes")).otherwise(1)
+    return paths.select(*GROUP_COLUMNS, F.explode(F.sequence(F.lit(1), times_out)).alias("_row")).drop("_row")
