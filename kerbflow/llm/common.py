@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,29 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return the memory this process has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for ``mapInArrow`` whose worker keeps no freed memory after the task.
+
+    Workers are used again and take turns, more of them than tasks run at once, so each
+    would hold on to the most it ever needed.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbflow.llm.common import own_names, release, stored
+from kerbflow.llm.common import lean, own_names, release, stored
 from kerbflow.llm.graphs import components
 from kerbflow.llm.shingles import mixed, overlap, row_slices, set_ids, shingle_sets
 
@@ -131,6 +131,7 @@ def _digest(df: DataFrame, id_col: str, text_col: str, width: int, threshold: Th
     names = ["doc_id", "n", "sid", *(f"p{i}" for i in range(PARITY)), "parity", "part", "counts"]
     kinds = "doc_id long, n int, sid long, " + ", ".join(f"p{i} long" for i in range(PARITY)) + ", parity binary, part int, counts binary"
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
@@ -207,6 +208,7 @@ def _postings(df: DataFrame, text_col: str, width: int, threshold: Threshold, sk
                 yield _shorter(keys[twice]), PROBES, None
                 yield shorter[twice[seg]], PROBES, None
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # sets this task has posted: copies add nothing
         for batch in batches:
@@ -236,6 +238,7 @@ def _shared_keys(postings: DataFrame) -> DataFrame:
     row: the first of the running key.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, shared = None, False  # first row of the running key; whether it is known to be shared
         for batch in batches:
@@ -284,6 +287,7 @@ def _still_close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> Dat
     smaller one's size, halves exclusively or-ed.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good, bits = [], []
@@ -310,6 +314,7 @@ def _still_close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> Dat
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshold) -> DataFrame:
     """The (a, b) pairs of set ids that really link."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, None
         for batch in batches:
@@ -361,6 +366,7 @@ def _candidate_texts(df: DataFrame, sets: DataFrame, id_col: str, text_col: str,
     def hit(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
         return (bits[slot >> 3] >> (slot & 7)) & 1 == 1
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_ids, of_sets = held.value
         seen: set[int] = set()  # sets of rows without an id

@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from kerbflow.llm.common import own_names, stored
+from kerbflow.llm.common import give_back, lean, own_names, stored
 from kerbflow.llm.shingles import mixed, row_slices
 from kerbflow.llm.suffixes import permuted_common_prefixes, suffix_array
 
 OUTPUTS = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
 ANCHOR = 32
-SLICE_BYTES = 1_000_000
-SHARD_BYTES = 2_000_000
+# Texts and contexts worked on at once in a task; arrays take some 90 bytes for each.
+SLICE_BYTES = 250_000
+SHARD_BYTES = 500_000
 NO_ID = (1 << 63) - 1  # rows without an id come last
 # One run of strings in a long: 31 bits start, 7 bits number of strings.  Its order is the
 # order of occurrence inside a text.
@@ -103,6 +104,7 @@ def anchored_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np
 
 
 def _runs(docs: DataFrame, length: int) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.string())
@@ -127,6 +129,7 @@ def _repeated(runs: DataFrame) -> DataFrame:
     and the last row of the running anchor.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # first and last row of the running anchor
         several = False  # whether that anchor is known to have differing contexts
@@ -167,6 +170,7 @@ def _repeated(runs: DataFrame) -> DataFrame:
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of each wanted run, of equal rows once per task at most."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
@@ -236,6 +240,7 @@ def _marked(contexts: DataFrame, shards: int, length: int) -> DataFrame:
         tails = np.append(heads[1:], len(later)) - 1 if len(heads) else heads
         own = row[heads] if len(heads) else np.empty(0, np.int64)
         start = (at[own] >> START_SHIFT) - bounds[own]
+        give_back()
         return pa.table(
             {
                 "doc": table["doc"].take(pa.array(own)),
@@ -259,6 +264,7 @@ def _cut(rows: DataFrame, spans: DataFrame, as_text: bool) -> DataFrame:
     schema = schema.add("n_bytes", LongType()).add("n_removed", LongType()).add("n_spans", LongType())
     schema = schema.add("spans", ArrayType(span)).add("kept", StringType() if as_text else BinaryType())
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").cast(pa.string())

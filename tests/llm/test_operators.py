@@ -6,6 +6,7 @@ import hashlib
 import html
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kerbflow.llm import html_text, queries
+from kerbflow.llm import html_text, queries, repeats
 from kerbflow.llm.fingerprints import edit_check, fingerprints
 from kerbflow.llm.graphs import components
 from kerbflow.llm.jaccard import Threshold, allocate, bands_of, jaccard_join
@@ -506,6 +507,19 @@ def test_repeats_of_texts_that_share_an_id(spark, doc_id):
     assert len(got) == len(rows) + 2
 
 
+def test_repeats_are_found_in_little_memory():
+    """The most that a worker holds for one slice of texts and for one shard."""
+    rng = random.Random(11)
+    peaks = []
+    for size, work in ((repeats.SLICE_BYTES, repeats.anchored_runs), (repeats.SHARD_BYTES, repeats.later_strings)):
+        data = np.frombuffer(sentence(rng, size // 3).encode()[:size].ljust(size), dtype=np.uint8)
+        tracemalloc.start()
+        work(data, np.append(np.arange(0, size, 1000), size), 100)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 64_000_000
+
+
 # packing
 
 
