@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import os
-import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +12,51 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
+from kerbflow.llm.common import lean
+
 OUTPUTS = ("piece", "start", "length", "ids")
 SLICE_BYTES = 4_000_000  # text worked on at once in a task
-CACHE_ENTRIES = 300_000  # chunks a worker remembers
-# Latin-1 letters, which are their own normal form, and then a run of punctuation.
-PLAIN_CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+CACHE_ENTRIES = 300_000  # chunks, and pre-tokens, that a worker remembers
+# Latin-1 letters, which are their own normal form, and then a run of ASCII punctuation.
+PLAIN_CHUNK = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
+
+
+def _picked(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the strings at the places ``at`` of a table, in a row, and how many each has."""
+    own = sizes[at]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    first = np.cumsum(sizes) - sizes
+    return ids[np.repeat(first[at] - (ends - own), own) + np.arange(total)], own
+
+
+class _Known:
+    """Ids of the strings met so far, up to ``CACHE_ENTRIES`` of them, as Arrow and flat arrays."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.string())
+        self.ids = np.empty(0, np.uint32)
+        self.sizes = np.empty(0, np.int64)
+
+    def table(self, words: pa.Array, learn: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids in a row, how many each string has, and the places of the given distinct strings."""
+        found = pc.index_in(words, value_set=self.words)
+        missing = found.is_null().to_numpy(zero_copy_only=False)
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        if not missing.any():
+            return self.ids, self.sizes, at
+        fresh = words.filter(pa.array(missing))
+        at[missing] = len(self.words) + np.arange(len(fresh))
+        fresh_ids, fresh_sizes = learn(fresh)
+        ids, sizes = np.concatenate([self.ids, fresh_ids]), np.concatenate([self.sizes, fresh_sizes])
+        if len(self.words) <= CACHE_ENTRIES:
+            self.words, self.ids, self.sizes = pa.concat_arrays([self.words, fresh]), ids, sizes
+        return ids, sizes, at
+
+
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
 
 class ChunkEncoder:
@@ -25,9 +64,10 @@ class ChunkEncoder:
 
     The tokenizer must never join text across blanks, and must lower-case and split words
     from punctuation, as ``word_bpe_49k`` does: then a text's ids are those of its
-    blank-separated chunks one after the other.  Each distinct chunk is encoded once and
-    its ids are kept for later texts of the worker, up to ``CACHE_ENTRIES`` chunks; later
-    ones are encoded each time they are met.
+    blank-separated chunks one after the other, and a plain chunk's those of its lower-cased
+    letters and of its punctuation.  Each distinct chunk, and each distinct part of plain
+    ones, is encoded once and its ids are kept for later texts of the worker, up to
+    ``CACHE_ENTRIES`` each; later ones are encoded once for each slice they are met in.
     """
 
     def __init__(self, path: str):
@@ -36,64 +76,38 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.known: dict[str, int] = {}
-        self.ids = array("I")
-        self.starts = array("q")
-        self.sizes = array("q")
-
-    def _add(self, chunk: str, ids: list[int]) -> None:
-        self.known[chunk] = len(self.starts)
-        self.starts.append(len(self.ids))
-        self.sizes.append(len(ids))
-        self.ids.extend(ids)
-
-    def _word(self, letters: str) -> list[int]:
-        """Ids of one pre-token, which needs no normalising any more."""
-        if not letters.isascii():
-            letters = "".join(map(self.letters.__getitem__, letters.encode()))
-        return [t.id for t in self.model.tokenize(letters)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        known, ids = self.known, self.ids
-        others = []
-        for chunk in chunks:
-            plain = PLAIN_CHUNK.fullmatch(chunk)
-            if plain is None:
-                others.append(chunk)
-                continue
-            stem, tail = plain[1].lower(), plain[2]
-            if stem not in known:
-                self._add(stem, self._word(stem))
-            if chunk != stem:
-                at = known[stem]
-                own = ids[self.starts[at] : self.starts[at] + self.sizes[at]].tolist()
-                self._add(chunk, own + self._word(tail) if tail else own)
-        for chunk, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self._add(chunk, found.ids)
+        letters = _byte_letters()
+        self.letters = "".join(letters[b] for b in range(256))
+        self.chunks, self.parts = _Known(), _Known()
+
+    def _part_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, which need no normalising any more."""
+        tokenize, letters = self.model.tokenize, self.letters
+        words = (p if p.isascii() else p.encode().decode("latin-1").translate(letters) for p in parts.to_pylist())
+        return _flat([[t.id for t in tokenize(w)] if w else [] for w in words])
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.extract_regex(chunks, PLAIN_CHUNK)
+        plain = split.is_valid().to_numpy(zero_copy_only=False)
+        stems, tails = split.filter(split.is_valid()).flatten()
+        coded = pa.concat_arrays([pc.utf8_lower(stems), tails]).dictionary_encode()
+        ids, sizes, at = self.parts.table(coded.dictionary, self._part_ids)
+        ids, sizes = _picked(ids, sizes, at[coded.indices.to_numpy()].reshape(2, -1).T.ravel())
+        others = chunks.filter(pa.array(~plain)).to_pylist()
+        other_ids, other_sizes = _flat([e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)])
+        place = np.empty(len(chunks), dtype=np.int64)
+        place[plain] = np.arange(len(stems))
+        place[~plain] = len(stems) + np.arange(len(others))
+        return _picked(np.concatenate([ids, other_ids]), np.concatenate([sizes.reshape(-1, 2).sum(axis=1), other_sizes]), place)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
         chunks = pc.ascii_split_whitespace(texts)
         bounds = chunks.offsets.to_numpy().astype(np.int64)
         coded = chunks.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        known = self.known
-        before, used = len(self.starts), len(self.ids)
-        if fresh := [w for w in words if w not in known]:
-            self._learn(fresh)
-        place = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-        place = place[coded.indices.to_numpy()]
-        sizes = np.array(self.sizes)[place]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.repeat(np.array(self.starts)[place] - (ends - sizes), sizes) + np.arange(total)
-        per_text = np.concatenate([[0], ends])[bounds - bounds[0]]
-        found = np.array(self.ids)[source]
-        if before > CACHE_ENTRIES:
-            for word in [w for w, at in zip(reversed(known), range(len(known) - before))]:
-                del known[word]
-            del self.starts[before:], self.sizes[before:], self.ids[used:]
+        ids, sizes, at = self.chunks.table(coded.dictionary, self._chunk_ids)
+        found, own = _picked(ids, sizes, at[coded.indices.to_numpy()])
+        per_text = np.concatenate([[0], np.cumsum(own)])[bounds - bounds[0]]
         return found, np.diff(per_text)
 
 
@@ -144,6 +158,7 @@ def token_pieces(
     schema = StructType([df.schema[id_col]])
     schema = schema.add("piece", IntegerType()).add("start", LongType()).add("length", LongType()).add("ids", BinaryType())
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         for batch in batches:
