@@ -74,8 +74,7 @@ def give_back() -> None:
 def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """A function for ``mapInArrow`` whose worker keeps no freed memory after the task.
 
-    Workers are used again and take turns, more of them than tasks run at once, so each
-    would hold on to the most it ever needed.
+    Workers are used again, so each may hold on to the most it ever needed.
     """
 
     @wraps(work)
